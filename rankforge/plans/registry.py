@@ -28,8 +28,8 @@ class Query:
     def run(self, spark: SparkSession, root: str) -> DataFrame:
         df = self.fn(spark, root)
         if self.doubles:
-            df = df.select(*[F.round(F.col(c).cast("double"), DIGITS).alias(c)
-                             if c in self.doubles else F.col(c) for c in df.columns])
+            df = df.select(*[F.round(F.col(f"`{c}`").cast("double"), DIGITS).alias(c)
+                             if c in self.doubles else F.col(f"`{c}`") for c in df.columns])
         return df
 
     def oracle(self) -> str | None:
