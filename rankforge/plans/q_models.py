@@ -1 +1,203 @@
-"""Registered queries."""
+"""Registered queries: model operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rankforge.operators import models as MD
+from rankforge.operators import metrics as M
+from rankforge.plans import sql_prelude as P
+from rankforge.plans.canonical import TOP_N, Canonical
+from rankforge.plans.registry import register
+from rankforge.session import checkpoint_dir
+from rankforge.sources.tables import Tables, interactions, items, users
+from rankforge.streaming.jobs import derive, feature_columns
+
+
+@register("minmax", ops="L6", doubles=("item_price_scaled", "item_size_scaled"), sql="""
+SELECT p_partkey AS item_id,
+  CASE WHEN max(p_retailprice) OVER () > min(p_retailprice) OVER ()
+       THEN (p_retailprice - min(p_retailprice) OVER ())
+            / (max(p_retailprice) OVER () - min(p_retailprice) OVER ()) ELSE 0.0 END
+    AS item_price_scaled,
+  CASE WHEN max(p_size) OVER () > min(p_size) OVER ()
+       THEN (p_size - min(p_size) OVER ()) / (max(p_size) OVER () - min(p_size) OVER ())
+       ELSE 0.0 END AS item_size_scaled
+FROM part""")
+def minmax(spark, root):
+    it = items(Tables(spark, root))
+    return MD.minmax_scale(it, ["item_price", "item_size"]).select(
+        "item_id", "item_price_scaled", "item_size_scaled")
+
+
+@register("scaled", ops="L2", doubles=("item_price_std", "item_size_std"), sql="""
+SELECT p_partkey AS item_id,
+  (p_retailprice - avg(p_retailprice) OVER ()) / stddev_samp(p_retailprice) OVER ()
+    AS item_price_std,
+  (p_size - avg(p_size) OVER ()) / stddev_samp(p_size) OVER () AS item_size_std
+FROM part""")
+def scaled(spark, root):
+    it = items(Tables(spark, root))
+    return MD.standardize(it, ["item_price", "item_size"]).select(
+        "item_id", "item_price_std", "item_size_std")
+
+
+RUNS_SQL = P.FULL + """,
+preds AS (
+  SELECT 'global_mean' AS model, 1 AS ord, t.rating,
+         greatest(1.0::DOUBLE, least(5.0::DOUBLE, mu.mu)) AS pred
+  FROM test t CROSS JOIN mu
+  UNION ALL
+  SELECT 'item_mean', 2, t.rating, greatest(1.0::DOUBLE, least(5.0::DOUBLE, coalesce(ib.im, mu.mu)))
+  FROM test t CROSS JOIN mu LEFT JOIN ib ON t.item_id = ib.item_id
+  UNION ALL
+  SELECT 'user_mean', 3, t.rating, greatest(1.0::DOUBLE, least(5.0::DOUBLE, coalesce(ub.um, mu.mu)))
+  FROM test t CROSS JOIN mu LEFT JOIN ub ON t.user_id = ub.user_id
+  UNION ALL
+  SELECT 'bias', 4, rating, pred FROM scored),
+runs AS (SELECT model, ord, sqrt(avg(pow(rating - pred, 2))) AS rmse, count(*) AS n,
+                CASE WHEN count(*) > 0 THEN 'success' ELSE 'failed' END AS status
+         FROM preds GROUP BY model, ord)"""
+
+
+def _runs(spark, root):
+    c = Canonical(spark, root)
+    return MD.model_runs(MD.baseline_predictions(c.train, c.test))
+
+
+@register("model_runs", ops="L14,M10", doubles=("rmse",),
+          sql=RUNS_SQL + " SELECT model, ord, rmse, n, status FROM runs")
+def model_runs(spark, root):
+    return _runs(spark, root)
+
+
+@register("best_model", ops="G8", doubles=("rmse",), sql=RUNS_SQL + """
+SELECT arg_min(model, (rmse, ord)) AS best_model, min(rmse) AS rmse, count(*) AS n_candidates
+FROM runs WHERE status = 'success'""")
+def best_model(spark, root):
+    return MD.best_model(_runs(spark, root))
+
+
+@register("promote", ops="L16", doubles=("rmse",), sql=RUNS_SQL + """,
+p AS (SELECT ord AS version, model, rmse,
+             (min(rmse) OVER (ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+               IS NULL
+             OR rmse < min(rmse) OVER (ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING
+                                                          AND 1 PRECEDING) AS promoted
+      FROM runs)
+SELECT version, model, rmse, promoted,
+       CASE WHEN version = (SELECT max(version) FROM p WHERE promoted) THEN 'production'
+            WHEN promoted THEN 'archived' ELSE 'staging' END AS stage
+FROM p""")
+def promote(spark, root):
+    runs = _runs(spark, root).filter(F.col("status") == "success")
+    return MD.promotion(runs.select(F.col("ord").alias("version"), "model", "rmse"))
+
+
+MI_FEATURES = ("user_segment", "user_region", "item_brand", "size_bucket", "price_bucket",
+               "interaction_type")
+
+
+@register("mutual_info", ops="L15", doubles=("mi",), sql=P.INTERACTIONS_ONLY + """,
+e AS (SELECT i.interaction_type, c.c_mktsegment AS user_segment, r.r_name AS user_region,
+             p.p_brand AS item_brand, CAST(p.p_size // 10 AS VARCHAR) AS size_bucket,
+             CAST(CAST(floor(p.p_retailprice / 500.0) AS BIGINT) AS VARCHAR) AS price_bucket,
+             i.rating >= 4.0 AS y
+      FROM inter i LEFT JOIN customer c ON i.user_id = c.c_custkey
+      LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+      LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+      LEFT JOIN part p ON i.item_id = p.p_partkey),
+l AS (UNPIVOT (SELECT CAST(y AS VARCHAR) AS y, user_segment, user_region, item_brand,
+                      size_bucket, price_bucket, interaction_type FROM e)
+      ON user_segment, user_region, item_brand, size_bucket, price_bucket, interaction_type
+      INTO NAME feature VALUE value),
+nn AS (SELECT count(*) AS n FROM e),
+j AS (SELECT feature, value, y, count(*) AS nxy FROM l GROUP BY ALL),
+px AS (SELECT feature, value, count(*) AS nx FROM l GROUP BY ALL),
+py AS (SELECT feature, y, count(*) AS ny FROM l GROUP BY ALL),
+mi AS (SELECT j.feature, sum(nxy / nn.n * ln(nxy * nn.n / (nx * ny))) AS mi
+       FROM j JOIN px USING (feature, value) JOIN py USING (feature, y) CROSS JOIN nn
+       GROUP BY j.feature)
+SELECT feature, mi, CAST(row_number() OVER (ORDER BY mi DESC, feature) AS INTEGER) AS rank
+FROM mi QUALIFY rank <= 100""")
+def mutual_info(spark, root):
+    t = Tables(spark, root)
+    e = interactions(t).join(users(t), "user_id", "left").join(items(t), "item_id", "left")
+    e = e.select("interaction_type", "user_segment", "user_region", "item_brand",
+                 F.floor(F.col("item_size") / 10).cast("string").alias("size_bucket"),
+                 F.floor(F.col("item_price") / 500.0).cast("string").alias("price_bucket"),
+                 (F.col("rating") >= 4.0).cast("string").alias("y"))
+    return MD.mutual_information(e, MI_FEATURES, "y", 100)
+
+
+@register("item_knn", ops="L12", doubles=("similarity",), sql=P.SPLIT_BASE + """,
+cnt AS (SELECT item_id, sqrt(sum(rating * rating)) AS norm FROM train GROUP BY item_id
+        HAVING count(*) >= 5),
+x AS (SELECT t.user_id, t.item_id, t.rating FROM train t JOIN cnt USING (item_id)),
+co AS (SELECT a.item_id AS i, b.item_id AS j, sum(a.rating * b.rating) AS dot
+       FROM x a JOIN x b ON a.user_id = b.user_id AND a.item_id < b.item_id GROUP BY 1, 2),
+s AS (SELECT i, j, round(dot / (ci.norm * cj.norm), 9) AS sim
+      FROM co JOIN cnt ci ON ci.item_id = i JOIN cnt cj ON cj.item_id = j),
+b AS (SELECT i, j, sim FROM s UNION ALL SELECT j, i, sim FROM s)
+SELECT i AS item_id, j AS neighbor_id, sim AS similarity,
+       CAST(row_number() OVER (PARTITION BY i ORDER BY sim DESC, j) AS INTEGER) AS rank
+FROM b WHERE sim >= 0.1 QUALIFY rank <= 20""")
+def item_knn(spark, root):
+    return MD.item_knn(Canonical(spark, root).train)
+
+
+@register("pca_features", ops="L1,L2,L3,L4")
+def pca_features(spark, root):
+    """Assemble -> standardise -> PCA(2) over enriched interactions; rows-only
+    (component signs are arbitrary)."""
+    t = Tables(spark, root)
+    e = derive(interactions(t)).join(users(t), "user_id", "left").join(items(t), "item_id",
+                                                                       "left")
+    _, out = MD.pca_fit_transform(e, feature_columns())
+    from pyspark.ml.functions import vector_to_array
+    arr = vector_to_array("pca_features")
+    return out.select("user_id", "item_id", arr[0].alias("pc1"), arr[1].alias("pc2"))
+
+
+@register("pca_variance", ops="L5")
+def pca_variance(spark, root):
+    t = Tables(spark, root)
+    e = derive(interactions(t)).join(users(t), "user_id", "left").join(items(t), "item_id",
+                                                                       "left")
+    model, _ = MD.pca_fit_transform(e, feature_columns())
+    return MD.explained_variance(spark, model)
+
+
+@register("als_recs", ops="L8,L9,J8")
+def als_recs(spark, root):
+    """Non-negative ALS (rank 10, seed 42) on train; top-20 unseen items for
+    every truth user."""
+    c = Canonical(spark, root)
+    model = MD.als_fit(c.train)
+    return MD.als_recommend(model, c.truth.select("user_id"), c.seen, TOP_N)
+
+
+@register("als_eval", ops="L8,L14,M14")
+def als_eval(spark, root):
+    """Evaluation report of the ALS model: ranking metrics of its lists and
+    RMSE/R2 of its rating predictions on the test rows."""
+    c = Canonical(spark, root)
+    model = MD.als_fit(c.train)
+    recs = MD.als_recommend(model, c.truth.select("user_id"), c.seen, TOP_N)
+    test = c.test.select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating")
+    pred = model.transform(test).select(F.col("user_id").cast("long"),
+                                        F.col("item_id").cast("long"), "rating",
+                                        F.col("prediction").cast("double").alias("pred"))
+    return M.evaluation_report(recs, c.truth, pred, c.popularity, c.total_items(),
+                               c.total_users())
+
+
+@register("svd_factors", ops="L7")
+def svd_factors(spark, root):
+    """Truncated SVD (10 components, seed 42) of the zero-filled train
+    matrix by a distributed randomized range finder; user factors U*S."""
+    checkpoint_dir(spark)
+    c = Canonical(spark, root)
+    a = c.train.select("user_id", "item_id", F.col("rating").alias("v"))
+    user_f, _, _ = MD.randomized_svd(spark, a, k=10, seed=42)
+    return user_f.select("user_id", F.col("j").alias("component"), F.col("v").alias("value"))
