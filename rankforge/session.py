@@ -44,19 +44,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint root named by the cluster in ``spark.checkpoint.dir``.
-
-    Only when the session does not name one (local tests) do we pick a
-    private temporary directory and register it with the session.
+    """Shared checkpoint root: the context's checkpoint directory, else the
+    cluster's ``spark.checkpoint.dir``.  Only when neither is set (local
+    tests) a private temporary directory is registered with the context.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="rankforge-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
