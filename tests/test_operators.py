@@ -79,18 +79,29 @@ def test_item_knn_matches_brute_force(spark):
     rows = [(int(u), int(i), float(rng.integers(1, 6)))
             for u in range(40) for i in rng.choice(30, size=8, replace=False)]
     train = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
-    got = {(r["item_id"], r["neighbor_id"]): r["similarity"]
-           for r in models.item_knn(train, min_interactions=1, top=50, min_similarity=0.0,
-                                    item_blocks=3, user_chunks=2).collect()}
     m = np.zeros((40, 30))
     for u, i, r in rows:
         m[u, i] = r
     norms = np.linalg.norm(m, axis=0)
-    for (i, j), s in got.items():
-        assert s == pytest.approx(m[:, i] @ m[:, j] / (norms[i] * norms[j]), abs=1e-8)
     co = m.T @ m
     expected = {(i, j) for i in range(30) for j in range(30) if i != j and co[i, j] > 0}
-    assert set(got) == expected
+    for blocks, chunks in ((3, 2), (3, 1), (1, 1)):
+        got = {(r["item_id"], r["neighbor_id"]): r["similarity"]
+               for r in models.item_knn(train, min_interactions=1, top=50, min_similarity=0.0,
+                                        item_blocks=blocks, user_chunks=chunks).collect()}
+        for (i, j), s in got.items():
+            assert s == pytest.approx(m[:, i] @ m[:, j] / (norms[i] * norms[j]), abs=1e-8)
+        assert set(got) == expected
+
+
+def test_item_knn_top_k_paths_agree(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(u), int(i), float(rng.integers(1, 6)))
+            for u in range(60) for i in rng.choice(50, size=10, replace=False)]
+    train = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    a = models.item_knn(train, min_interactions=2, top=5, item_blocks=4, user_chunks=1)
+    b = models.item_knn(train, min_interactions=2, top=5, item_blocks=2, user_chunks=3)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
 def test_randomized_svd_singular_values(spark):
