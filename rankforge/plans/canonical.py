@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from rankforge.functions.columns import clip, dbl
 from rankforge.operators import features, profiles, ranking
+from rankforge.session import checkpoint_dir
 from rankforge.sources.tables import Tables, interactions
 
 # Fixed values of the canonical evaluation.
@@ -32,8 +33,14 @@ RATING_LO, RATING_HI = 1.0, 5.0
 
 @dataclass
 class Canonical:
+    """Lazy canonical inputs.  With ``materialize=True`` the deduplicated
+    interactions are written once (reliable checkpoint in the shared
+    checkpoint directory) and every derived input scans that table: jobs
+    with many metric branches then pay the big join + dedup shuffle once,
+    and lineage is cut, so a lost executor re-reads the written table."""
     spark: SparkSession
     root: str
+    materialize: bool = True
 
     @cached_property
     def t(self) -> Tables:
@@ -45,7 +52,11 @@ class Canonical:
 
     @cached_property
     def dedup(self) -> DataFrame:
-        return features.dedup_last(self.raw)
+        d = features.dedup_last(self.raw)
+        if self.materialize:
+            checkpoint_dir(self.spark)
+            d = d.checkpoint(eager=True)
+        return d
 
     @cached_property
     def train(self) -> DataFrame:
@@ -70,7 +81,10 @@ class Canonical:
 
     @cached_property
     def recs(self) -> DataFrame:
-        return ranking.popularity_recs(self.truth.select("user_id"), self.seen, self.pool, TOP_N)
+        r = ranking.popularity_recs(self.truth.select("user_id"), self.seen, self.pool, TOP_N)
+        if self.materialize:
+            r = r.checkpoint(eager=True)
+        return r
 
     @cached_property
     def popularity(self) -> DataFrame:

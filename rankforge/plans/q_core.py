@@ -27,7 +27,7 @@ def scan_interactions(spark, root):
 @register("dedup_last", ops="D2", doubles=("rating", "timestamp"),
           sql=P.BASE + f" SELECT {IC}, l_orderkey, l_linenumber FROM dedup")
 def dedup_last(spark, root):
-    return Canonical(spark, root).dedup.select(
+    return Canonical(spark, root, materialize=False).dedup.select(
         "user_id", "item_id", "rating", "interaction_type", "timestamp", "session_id",
         "l_orderkey", "l_linenumber")
 
@@ -128,7 +128,8 @@ SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items,
        CAST(count(*) AS DOUBLE) / (count(DISTINCT user_id) * count(DISTINCT item_id)) AS density
 FROM dedup""")
 def matrix_shape(spark, root):
-    return profiles.matrix_shape(Canonical(spark, root).dedup).drop("n_items_approx")
+    return profiles.matrix_shape(Canonical(spark, root, materialize=False).dedup) \
+        .drop("n_items_approx")
 
 
 @register("feature_stats", ops="G3,D7", doubles=("value",), sql=P.INTERACTIONS_ONLY + """
@@ -159,7 +160,7 @@ SELECT user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS it
        count(*) AS n
 FROM dedup GROUP BY user_id""")
 def user_item_lists(spark, root):
-    lists = features.user_item_lists(Canonical(spark, root).dedup)
+    lists = features.user_item_lists(Canonical(spark, root, materialize=False).dedup)
     return lists.select("user_id", F.array_join("items", ",").alias("items"),
                         F.size("items").cast("long").alias("n"))
 
@@ -172,7 +173,7 @@ SELECT user_id,
   coalesce(sum(CASE WHEN interaction_type = 'view' THEN rating END), 0.0) AS "view"
 FROM dedup GROUP BY user_id""")
 def pivot_matrix(spark, root):
-    d = Canonical(spark, root).dedup
+    d = Canonical(spark, root, materialize=False).dedup
     return profiles.pivot_sum(d, "user_id", "interaction_type",
                               ["purchase", "rating", "view"], "rating")
 

@@ -157,7 +157,7 @@ SELECT 'novelty', nv FROM nv"""
 
 @register("eval_report", ops="M14", doubles=("value",), sql=EVAL_SQL)
 def eval_report(spark, root):
-    c = Canonical(spark, root)
+    c = Canonical(spark, root, materialize=True)
     return M.evaluation_report(c.recs, c.truth, c.scored, c.popularity, c.total_items(),
                                c.total_users())
 
@@ -275,7 +275,7 @@ SELECT user_id, item_id,
 FROM dedup""")
 def split(spark, root):
     """Repeatable hash split (20 % test) independent of partitioning."""
-    d = Canonical(spark, root).dedup
+    d = Canonical(spark, root, materialize=False).dedup
     u = C.unit_hash(F.lit("split42"), F.col("user_id"), F.col("item_id"))
     return d.select("user_id", "item_id",
                     F.when(u < C.dbl(0.2), "test").otherwise("train").alias("part"))
