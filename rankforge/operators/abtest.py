@@ -179,3 +179,13 @@ def listing(experiments: DataFrame) -> DataFrame:
     u = active.unionByName(done)
     return (u.groupBy("experiment_id")
             .agg(F.min_by("status", "_prio").alias("status")))
+
+
+def stop(experiments: DataFrame, experiment_id: str, at) -> DataFrame:
+    """Mark an experiment stopped at ``at`` (a timestamp Column); its
+    final analysis is ``variant_stats``/``significance`` over its rows and
+    ``listing`` reports it as completed."""
+    hit = F.col("experiment_id") == F.lit(experiment_id)
+    return experiments.withColumn(
+        "stopped_at", F.when(hit & F.col("stopped_at").isNull(), at)
+        .otherwise(F.col("stopped_at")))

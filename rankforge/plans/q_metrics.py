@@ -44,7 +44,7 @@ def map_at_k(spark, root):
     return M.per_user_ranking(c.recs, c.truth).select("user_id", "ap")
 
 
-@register("hit_rate", ops="M5", doubles=("hit",),
+@register("hit_rate", ops="M5,J3,J4,P13", doubles=("hit",),
           sql=P.WITH_HITS + " SELECT user_id, hit FROM per_user")
 def hit_rate(spark, root):
     c = Canonical(spark, root)
