@@ -442,3 +442,33 @@ def randomized_svd(spark: SparkSession, a: DataFrame, k: int = 10, oversample: i
     inv_s = np.where(s > 0, 1.0 / np.where(s > 0, s, 1.0), 0.0)
     item_f = _times_small(spark, b, "item_id", ub * inv_s)       # B^T U_B S^-1
     return user_f, item_f, s.tolist()
+
+
+def factor_model(spark: SparkSession, user_f: DataFrame, item_f: DataFrame, rank: int,
+                 path: str):
+    """Wrap externally computed factors (long (id, j, v) tables) as an MLlib
+    ``ALSModel`` by writing its persisted layout (JSON metadata +
+    ``userFactors``/``itemFactors`` parquet), so scoring and top-k use
+    MLlib's blocked routine instead of a hand-written cross product.
+    Ids must fit in int, as for ALS."""
+    import json
+    import time as _t
+    from pyspark.ml.recommendation import ALSModel
+
+    def to_arrays(m: DataFrame, key: str) -> DataFrame:
+        return (m.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("j", "v"))).alias("a"))
+                .select(F.col(key).cast("int").alias("id"),
+                        F.transform("a", lambda e: e["v"].cast("float")).alias("features")))
+    meta = {"class": "org.apache.spark.ml.recommendation.ALSModel",
+            "timestamp": int(_t.time() * 1000), "sparkVersion": spark.version,
+            "uid": "ALS_factors", "paramMap": {"userCol": "user_id", "itemCol": "item_id",
+                                               "coldStartStrategy": "drop"},
+            "defaultParamMap": {"blockSize": 4096, "coldStartStrategy": "nan",
+                                "itemCol": "item", "predictionCol": "prediction",
+                                "userCol": "user"},
+            "rank": rank}
+    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1) \
+        .write.mode("overwrite").text(f"{path}/metadata")
+    to_arrays(user_f, "user_id").write.mode("overwrite").parquet(f"{path}/userFactors")
+    to_arrays(item_f, "item_id").write.mode("overwrite").parquet(f"{path}/itemFactors")
+    return ALSModel.load(path)

@@ -201,3 +201,16 @@ def svd_factors(spark, root):
     a = c.train.select("user_id", "item_id", F.col("rating").alias("v"))
     user_f, _, _ = MD.randomized_svd(spark, a, k=10, seed=42)
     return user_f.select("user_id", F.col("j").alias("component"), F.col("v").alias("value"))
+
+
+@register("svd_recs", ops="L7,L9")
+def svd_recs(spark, root):
+    """L9 for "svd": top-20 unseen items per truth user scored by the
+    truncated SVD reconstruction (U S) V^T, via MLlib's blocked top-k."""
+    from rankforge.session import scratch_path
+    checkpoint_dir(spark)
+    c = Canonical(spark, root)
+    a = c.train.select("user_id", "item_id", F.col("rating").alias("v"))
+    user_f, item_f, _ = MD.randomized_svd(spark, a, k=10, seed=42)
+    model = MD.factor_model(spark, user_f, item_f, 10, scratch_path(spark, "svd_model"))
+    return MD.als_recommend(model, c.truth.select("user_id"), c.seen, TOP_N)

@@ -135,3 +135,17 @@ def test_promotion_rules(spark):
                               "version int, model string, rmse double")
     got = {r["version"]: r["stage"] for r in models.promotion(v).collect()}
     assert got == {1: "archived", 2: "staging", 3: "production", 4: "staging"}
+
+
+def test_factor_model_scores_are_dot_products(spark, tmp_path):
+    uf = spark.createDataFrame([(1, 0, 1.0), (1, 1, 2.0), (2, 0, 0.5), (2, 1, 0.0)],
+                               "user_id long, j int, v double")
+    itf = spark.createDataFrame([(10, 0, 1.0), (10, 1, 1.0), (11, 0, 3.0), (11, 1, -1.0)],
+                                "item_id long, j int, v double")
+    m = models.factor_model(spark, uf, itf, 2, str(tmp_path / "fm"))
+    pairs = spark.createDataFrame([(1, 10), (1, 11), (2, 11)], "user_id int, item_id int")
+    got = {(r["user_id"], r["item_id"]): r["prediction"] for r in m.transform(pairs).collect()}
+    assert got == {(1, 10): 3.0, (1, 11): 1.0, (2, 11): 1.5}
+    seen = spark.createDataFrame([(1, 10)], "user_id long, item_id long")
+    recs = models.als_recommend(m, spark.createDataFrame([(1,)], "user_id long"), seen, 1)
+    assert [(r["item_id"], r["rank"]) for r in recs.collect()] == [(11, 1)]
