@@ -26,6 +26,7 @@ DEFAULTS = {
 }
 Z_95 = 1.959963984540054     # two-sided 95 % normal quantile used for the CI
 INTERIM_MIN_PER_SIDE = 10
+VALUE_BUCKETS = 1024
 
 CONTROL, TREATMENT = "control", "treatment"
 
@@ -87,13 +88,20 @@ def mann_whitney(observations: DataFrame) -> DataFrame:
     Values are first counted per (experiment, value) -- combined map-side --
     so the rank window runs over distinct values, not over raw rows.
     """
+    from rankforge.operators.features import running_sum_in_buckets
     is_t = F.col("variant") == TREATMENT
     c = observations.groupBy("experiment_id", "value").agg(
         F.count(F.lit(1)).alias("cnt"),
         F.sum(F.when(is_t, 1).otherwise(0)).alias("cnt_t"))
-    w = (Window.partitionBy("experiment_id").orderBy("value")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    c = c.withColumn("before", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
+    # Rows before each distinct value: running sum in value buckets (monotone
+    # in value; bounds are lazy scalar subqueries), so one experiment with a
+    # huge share of the rows is not ranked in a single task.
+    lo = c.agg(F.min("value")).scalar()
+    width = c.agg((F.max("value") - F.min("value")) / dbl(VALUE_BUCKETS)).scalar()
+    c = c.withColumn("_vb", F.when(width > 0, F.floor((F.col("value") - lo) / width))
+                     .otherwise(F.lit(0)))
+    c = running_sum_in_buckets(c, ["experiment_id"], ["value"], ["cnt"], "_vb", ["before"],
+                               inclusive=False)
     c = c.withColumn("avg_rank", F.col("before") + (F.col("cnt") + dbl(1.0)) / dbl(2.0))
     g = c.groupBy("experiment_id").agg(
         F.sum(F.col("avg_rank") * F.col("cnt_t")).alias("rank_sum_t"),

@@ -111,63 +111,99 @@ def profile_lookup(df: DataFrame, user_prof: DataFrame, item_prof: DataFrame) ->
             .drop("_uavg", "_ucnt", "_ipop", "_iavg"))
 
 
-def _bucketed(df: DataFrame, user_col: str, bucket_seconds: float) -> DataFrame:
-    return df.withColumn("_tb", F.floor(F.col("timestamp") / dbl(bucket_seconds)))
+def lag_in_buckets(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence,
+                   value_col: str, bucket_col: str, out_col: str) -> DataFrame:
+    """``lag(value)`` per key under ``order_cols``, computed in two levels.
+
+    ``bucket_col`` must be monotone in the order (e.g. a time bucket).  The
+    window runs per (key, bucket), so a heavy key is spread over many
+    tasks; the first row of a bucket takes the last value of the key's
+    previous non-empty bucket from the small per-(key, bucket) aggregate.
+    """
+    keys = list(key_cols)
+    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    w = Window.partitionBy(*keys, bucket_col).orderBy(*order)
+    b = df.withColumn("_lag", F.lag(value_col).over(w))
+    last = b.groupBy(*keys, bucket_col).agg(
+        F.max_by(F.col(value_col), F.struct(*order)).alias("_blast"))
+    wb = Window.partitionBy(*keys).orderBy(bucket_col)
+    last = last.withColumn("_carry", F.lag("_blast").over(wb)).drop("_blast")
+    return (b.join(last, [*keys, bucket_col], "left")
+            .withColumn(out_col, F.coalesce(F.col("_lag"), F.col("_carry")))
+            .drop("_lag", "_carry"))
+
+
+def running_sum_in_buckets(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence,
+                           value_cols: Sequence[str], bucket_col: str,
+                           out_cols: Sequence[str], inclusive: bool = True) -> DataFrame:
+    """Running ``sum`` of each value column per key (including or excluding
+    the current row) in two levels: one window per (key, bucket) plus the
+    totals of all earlier buckets of the key (prefix sums over the small
+    per-bucket table).  All columns share one window and one join."""
+    keys = list(key_cols)
+    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    w = (Window.partitionBy(*keys, bucket_col).orderBy(*order)
+         .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
+    b = df
+    for v, o in zip(value_cols, out_cols):
+        b = b.withColumn(f"_in_{o}", F.coalesce(F.sum(v).over(w), F.lit(0)))
+    tot = b.groupBy(*keys, bucket_col).agg(*[F.sum(v).alias(f"_bt_{o}")
+                                             for v, o in zip(value_cols, out_cols)])
+    wb = (Window.partitionBy(*keys).orderBy(bucket_col)
+          .rowsBetween(Window.unboundedPreceding, -1))
+    tot = tot.select(*keys, bucket_col, *[
+        F.coalesce(F.sum(f"_bt_{o}").over(wb), F.lit(0)).alias(f"_carry_{o}") for o in out_cols])
+    b = b.join(tot, [*keys, bucket_col], "left")
+    for o in out_cols:
+        b = b.withColumn(o, F.col(f"_in_{o}") + F.col(f"_carry_{o}")) \
+            .drop(f"_in_{o}", f"_carry_{o}")
+    return b
 
 
 def recency(df: DataFrame, user_col: str = "user_id", tie_cols: Sequence[str] = (),
             bucket_seconds: float = 86400.0 * 30) -> DataFrame:
-    """Seconds since the user's previous interaction (NULL for the first).
-
-    Skew-aware: the window runs per (user, time bucket), so one heavy user is
-    spread over many tasks.  The first row of a bucket takes its predecessor
-    from the previous non-empty bucket of the same user, found on the small
-    per-(user, bucket) aggregate.
-    """
-    order = [F.col("timestamp")] + [F.col(c) for c in tie_cols]
-    b = _bucketed(df, user_col, bucket_seconds)
-    w = Window.partitionBy(user_col, "_tb").orderBy(*order)
-    b = b.withColumn("_prev", F.lag("timestamp").over(w))
-    last = b.groupBy(user_col, "_tb").agg(F.max("timestamp").alias("_bmax"))
-    wb = Window.partitionBy(user_col).orderBy("_tb")
-    last = last.withColumn("_carry", F.lag("_bmax").over(wb)).drop("_bmax")
-    j = b.join(last, [user_col, "_tb"], "left")
-    prev = F.coalesce(F.col("_prev"), F.col("_carry"))
-    return (j.withColumn("time_since_last_interaction", F.col("timestamp") - prev)
-            .drop("_prev", "_carry", "_tb"))
+    """Seconds since the user's previous interaction (NULL for the first),
+    by ``lag_in_buckets`` over time buckets (skew-aware)."""
+    b = df.withColumn("_tb", F.floor(F.col("timestamp") / dbl(bucket_seconds)))
+    r = lag_in_buckets(b, [user_col], ["timestamp", *tie_cols], "timestamp", "_tb", "_prev")
+    return (r.withColumn("time_since_last_interaction", F.col("timestamp") - F.col("_prev"))
+            .drop("_prev", "_tb"))
 
 
 def profile_asof(df: DataFrame, user_col: str = "user_id",
                  tie_cols: Sequence[str] = ORDER_COLS[1:] + ("item_id", "rating"),
                  bucket_seconds: float = 86400.0 * 30) -> DataFrame:
-    """Profile known strictly before each event (no leakage):
-    prior count and prior average rating of the user.
-
-    Same two-level scheme as ``recency``: running sums inside (user, bucket)
-    plus the totals of all earlier buckets of the user.
-    """
-    order = [F.col("timestamp")] + [F.col(c) for c in tie_cols]
-    b = _bucketed(df, user_col, bucket_seconds)
-    w = (Window.partitionBy(user_col, "_tb").orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    b = (b.withColumn("_c", F.count(F.lit(1)).over(w))
-         .withColumn("_s", F.sum("rating").over(w))
-         .withColumn("_n", F.count("rating").over(w)))
-    tot = b.groupBy(user_col, "_tb").agg(F.count(F.lit(1)).alias("_bc"),
-                                          F.sum("rating").alias("_bs"),
-                                          F.count("rating").alias("_bn"))
-    wb = (Window.partitionBy(user_col).orderBy("_tb")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    tot = tot.select(user_col, "_tb",
-                     F.coalesce(F.sum("_bc").over(wb), F.lit(0)).alias("_pc"),
-                     F.coalesce(F.sum("_bs").over(wb), dbl(0)).alias("_ps"),
-                     F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_pn"))
-    j = b.join(tot, [user_col, "_tb"], "left")
-    n = F.col("_n") + F.col("_pn")
-    s = F.coalesce(F.col("_s"), dbl(0)) + F.col("_ps")
-    return (j.withColumn("prior_count", (F.col("_c") + F.col("_pc")).cast("long"))
-            .withColumn("prior_avg_rating", F.when(n > 0, s / n))
-            .drop("_c", "_s", "_n", "_pc", "_ps", "_pn", "_tb"))
+    """Profile known strictly before each event (no leakage): prior
+    count and prior average rating of the user (exclusive running sums in
+    time buckets, skew-aware)."""
+    order = ["timestamp", *tie_cols]
+    b = (df.withColumn("_tb", F.floor(F.col("timestamp") / dbl(bucket_seconds)))
+         .withColumn("_one", F.lit(1))
+         .withColumn("_has", F.when(F.col("rating").isNotNull(), 1).otherwise(0)))
+    b = running_sum_in_buckets(b, [user_col], order, ["_one", "rating", "_has"], "_tb",
+                               ["_c", "_s", "_n"], inclusive=False)
+    return (b.withColumn("prior_count", F.col("_c").cast("long"))
+            .withColumn("prior_avg_rating",
+                        F.when(F.col("_n") > 0, F.col("_s") / F.col("_n")))
+            .drop("_c", "_s", "_n", "_tb", "_one", "_has"))
+
+
+def gap_sessions(df: DataFrame, user_col: str, ts_col: str, tie_col: str,
+                 gap_seconds: float = 1800.0, bucket_seconds: float = 86400.0) -> DataFrame:
+    """W6 without a session id: a new session starts when the gap to the
+    user's previous event is >= ``gap_seconds``.  Session ids are running
+    counts of session starts; both steps run in time buckets, then one
+    grouped aggregation per (user, session) -- no per-user merge task."""
+    t = F.unix_micros(F.col(ts_col).cast("timestamp")) / dbl(1e6)
+    b = df.withColumn("_t", t).withColumn("_tb", F.floor(F.col("_t") / dbl(bucket_seconds)))
+    b = lag_in_buckets(b, [user_col], ["_t", tie_col], "_t", "_tb", "_prev")
+    b = b.withColumn("_new", F.when(F.col("_prev").isNull()
+                                    | (F.col("_t") - F.col("_prev") >= dbl(gap_seconds)), 1)
+                     .otherwise(0))
+    b = running_sum_in_buckets(b, [user_col], ["_t", tie_col], ["_new"], "_tb", ["session_no"])
+    return b.groupBy(user_col, "session_no").agg(
+        F.min(ts_col).alias("session_start"), F.max(ts_col).alias("session_last"),
+        F.count(F.lit(1)).alias("n_events"))
 
 
 def distinct_keys(df: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rankforge.functions.columns import col_
 
-DEFAULT_SALT_BUCKETS = 16
+DEFAULT_SALT_BUCKETS = 32
 
 
 def top_k_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column],

@@ -422,14 +422,13 @@ SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start,
        epoch(max(ts)) - epoch(min(ts)) AS duration_s, count(*) AS n_events
 FROM s GROUP BY user_id, sid""")
 def event_sessions(spark, root):
-    """W6 without a session id: 30-minute inactivity sessions per user
-    (``session_window``), the batch twin of the streaming X6."""
-    e = Tables(spark, root).events.withColumn("ts", F.col("ts").cast("timestamp"))
-    g = e.groupBy("user_id", F.session_window("ts", "30 minutes").alias("sw")).agg(
-        F.min("ts").alias("t0"), F.max("ts").alias("t1"), F.count(F.lit(1)).alias("n_events"))
-    return g.select("user_id", C.ts_text("t0").alias("session_start"),
-                    (C.epoch_seconds("t1") - C.epoch_seconds("t0")).alias("duration_s"),
-                    "n_events")
+    """W6 without a session id: 30-minute inactivity sessions per user (the
+    batch twin of the streaming X6), skew-aware gap sessions."""
+    e = Tables(spark, root).events.select("user_id", "ts", "event_id")
+    g = features.gap_sessions(e, "user_id", "ts", "event_id", 1800.0)
+    return g.select("user_id", C.ts_text("session_start").alias("session_start"),
+                    (C.epoch_seconds("session_last") - C.epoch_seconds("session_start"))
+                    .alias("duration_s"), "n_events")
 
 
 @register("recency", ops="W7", doubles=("time_since_last_interaction",), sql="""
