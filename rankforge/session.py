@@ -40,9 +40,39 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def configure(spark: SparkSession) -> SparkSession:
     for k, v in _REQUIRED.items():
         spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rankforge`` importable in executor Python workers (pandas UDFs
+    pickle functions by module reference): zip the package once per
+    SparkContext and ``addPyFile`` it, the programmatic form of
+    ``--py-files``.  The zip is a driver-side file that Spark itself serves
+    to every executor; no data goes through it."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    import rankforge
+    pkg_dir = os.path.dirname(os.path.abspath(rankforge.__file__))
+    base = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="rankforge-pyfiles-"), "rankforge.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint root: the context's checkpoint directory, else the
     cluster's ``spark.checkpoint.dir``.  Only when neither is set (local

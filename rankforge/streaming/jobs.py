@@ -107,14 +107,27 @@ def decode_events(messages: DataFrame) -> DataFrame:
                          F.to_timestamp("e.timestamp").alias("ts"))
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """Stateful operators keep one state store per shuffle partition, fixed
+    in the checkpoint when the query first starts.  Size it to the cluster
+    (2 x default parallelism), not to the batch ``spark.sql.shuffle.partitions``."""
+    return max(2, 2 * spark.sparkContext.defaultParallelism)
+
+
 def _start(df: DataFrame, name: str, ckpt: str, trigger: dict | None,
            sink: str | None = None, fmt: str = "parquet", mode: str = "append",
            batch_fn: Callable | None = None):
+    spark = df.sparkSession
     w = df.writeStream.queryName(name).option("checkpointLocation", ckpt).outputMode(mode)
     w = w.trigger(**(trigger or DEFAULT_TRIGGER))
-    if batch_fn is not None:
-        return w.foreachBatch(batch_fn).start()
-    return w.format(fmt).option("path", sink).start()
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark)))
+    try:
+        if batch_fn is not None:
+            return w.foreachBatch(batch_fn).start()
+        return w.format(fmt).option("path", sink).start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
 def run_to_completion(query) -> None:
