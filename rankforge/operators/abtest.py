@@ -96,8 +96,10 @@ def mann_whitney(observations: DataFrame) -> DataFrame:
     # Rows before each distinct value: running sum in value buckets (monotone
     # in value; bounds are lazy scalar subqueries), so one experiment with a
     # huge share of the rows is not ranked in a single task.
-    lo = c.agg(F.min("value")).scalar()
-    width = c.agg((F.max("value") - F.min("value")) / dbl(VALUE_BUCKETS)).scalar()
+    bounds = c.agg(F.struct(F.min("value").alias("lo"),
+                            ((F.max("value") - F.min("value")) / dbl(VALUE_BUCKETS))
+                            .alias("w"))).scalar()
+    lo, width = bounds["lo"], bounds["w"]
     c = c.withColumn("_vb", F.when(width > 0, F.floor((F.col("value") - lo) / width))
                      .otherwise(F.lit(0)))
     c = running_sum_in_buckets(c, ["experiment_id"], ["value"], ["cnt"], "_vb", ["before"],

@@ -102,7 +102,7 @@ def promotion(versions: DataFrame) -> DataFrame:
     w = Window.orderBy("version").rowsBetween(Window.unboundedPreceding, -1)
     v = versions.withColumn("_prev_min", F.min("rmse").over(w))
     v = v.withColumn("promoted", F.col("_prev_min").isNull() | (F.col("rmse") < F.col("_prev_min")))
-    last = v.filter("promoted").agg(F.max("version")).scalar()
+    last = F.max(F.when(F.col("promoted"), F.col("version"))).over(Window.partitionBy())
     return v.select("version", "model", "rmse", "promoted",
                     F.when(F.col("version") == last, "production")
                     .when(F.col("promoted"), "archived").otherwise("staging").alias("stage"))
@@ -119,11 +119,13 @@ def mutual_information(df: DataFrame, feature_cols: Sequence[str], label_col: st
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
         for c in feature_cols])).alias("f")).select("f.feature", "f.value",
                                                     F.col(label_col).alias("y"))
-    n = df.agg(F.count(F.lit(1))).scalar()
+    # One pass over the input: the joint counts.  Marginals and n are sums
+    # over the (small) joint table, per feature.
     joint = long.groupBy("feature", "value", "y").agg(F.count(F.lit(1)).alias("nxy"))
-    px = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("nx"))
-    py = long.groupBy("feature", "y").agg(F.count(F.lit(1)).alias("ny"))
-    j = joint.join(px, ["feature", "value"]).join(py, ["feature", "y"])
+    j = (joint.withColumn("nx", F.sum("nxy").over(Window.partitionBy("feature", "value")))
+         .withColumn("ny", F.sum("nxy").over(Window.partitionBy("feature", "y")))
+         .withColumn("n", F.sum("nxy").over(Window.partitionBy("feature"))))
+    n = F.col("n")
     term = (F.col("nxy") / n) * F.log((F.col("nxy") * n) / (F.col("nx") * F.col("ny")))
     mi = j.groupBy("feature").agg(F.sum(term).alias("mi"))
     return top_k_per_group(mi.withColumn("_g", F.lit(0)), ["_g"],

@@ -33,12 +33,21 @@ def experiments_table(events: DataFrame) -> DataFrame:
         F.when(et == "signup", F.col("last_ts")).alias("stopped_at"))
 
 
-def _setup(spark, root):
+def _setup(spark, root, materialize: bool = False):
+    """Events, experiment table, assigned observations.  Queries that read
+    the observations in several branches (statistics, ranks, bounds) set
+    ``materialize``: the observation table is then written once
+    (checkpoint) and every branch scans it instead of re-joining events."""
     e = Tables(spark, root).events
     exps = AB.with_defaults(experiments_table(e))
     units = e.join(exps.select("experiment_id", "event_type"), "event_type") \
         .select("event_id", "experiment_id", "user_id", "value")
     obs = AB.assign(units, exps)
+    if materialize:
+        from rankforge.session import checkpoint_dir
+        checkpoint_dir(spark)
+        obs = obs.select("event_id", "experiment_id", "user_id", "value", "variant") \
+            .checkpoint(eager=True)
     return e, exps, obs
 
 
@@ -138,7 +147,7 @@ SELECT experiment_id,
   sum((tcnt * tcnt * tcnt - tcnt) / tcnt) AS tie_term
 FROM rk GROUP BY experiment_id""")
 def mann_whitney_u(spark, root):
-    _, _, obs = _setup(spark, root)
+    _, _, obs = _setup(spark, root, materialize=True)
     return AB.mann_whitney(obs)
 
 
@@ -146,7 +155,7 @@ def mann_whitney_u(spark, root):
 def ab_pvalue(spark, root):
     """p-value (Student t), post-hoc power, significance flag and the
     Mann-Whitney p-value; one row per experiment.  Rows-only check."""
-    _, exps, obs = _setup(spark, root)
+    _, exps, obs = _setup(spark, root, materialize=True)
     sig = AB.significance(AB.variant_stats(obs), exps)
     mw = AB.mann_whitney(obs).select(
         "experiment_id", S.mann_whitney_p_udf(F.col("u_stat"), F.col("treatment_size"),
