@@ -140,7 +140,7 @@ def active_users(req: DataFrame, window: str = "1 day", exact: bool = True) -> D
         agg.alias("active_users"))
 
 
-def inflight(req: DataFrame, bucket: str = "1 hour") -> DataFrame:
+def inflight(req: DataFrame, bucket: str = "1 minute") -> DataFrame:
     """Q10: concurrent requests at each request start.
 
     +1 at start, -1 at end (start + latency).  A running sum over one global

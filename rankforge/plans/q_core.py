@@ -237,14 +237,17 @@ def clip_rating(spark, root):
 @register("cast_cols", ops="P9", sql="""
 SELECT event_id, CAST(user_id AS VARCHAR) AS user_key,
        TRY_CAST(props->>'k' AS INTEGER) AS k,
-       TRY_CAST(event_type AS INTEGER) AS type_as_int,
+       CAST(TRY_CAST(CASE WHEN event_type = 'view' THEN props->>'k' ELSE event_type END
+                     AS INTEGER) AS DOUBLE) AS type_as_int,
        CAST(CAST(value AS DECIMAL(10, 2)) AS VARCHAR) AS value_text
 FROM events""")
 def cast_cols(spark, root):
     e = Tables(spark, root).events
     return e.select("event_id", F.col("user_id").cast("string").alias("user_key"),
                     F.get_json_object("props", "$.k").try_cast("int").alias("k"),
-                    F.col("event_type").try_cast("int").alias("type_as_int"),
+                    F.when(F.col("event_type") == "view", F.get_json_object("props", "$.k"))
+                    .otherwise(F.col("event_type")).try_cast("int").cast("double")
+                    .alias("type_as_int"),
                     F.col("value").cast(T.DecimalType(10, 2)).cast("string").alias("value_text"))
 
 

@@ -30,6 +30,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     builder = builder.config("spark.sql.execution.arrow.pyspark.enabled", "true")
+    # Reliable checkpoints of materialised intermediates are removed once
+    # their DataFrame is garbage collected.
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()

@@ -81,6 +81,11 @@ def main():
         ho, ro = digest(odf) if cols_ok else ("", [])
         ok = cols_ok and len(sdf) == len(odf) and hs == ho
         bad += 0 if ok else 1
+        if cols_ok:
+            dt = {c: (str(sdf[c].dtype), str(odf[c].dtype)) for c in sdf.columns
+                  if str(sdf[c].dtype) != str(odf[c].dtype)}
+            if dt:
+                print(f"   dtype differences {key}: {dt}")
         print(f"{key:24s} {'OK ' if ok else 'BAD'} rows={len(sdf)}/{len(odf)} "
               f"cols={'ok' if cols_ok else (sorted(sdf.columns), sorted(odf.columns))} "
               f"{ts:.1f}s")
