@@ -242,6 +242,17 @@ def _minmax_per_user(df):
                      .alias("s"))
 
 
+def blend(a, b, n: int = 10):
+    """L10 blend: min-max scale each list's score per user, average (a
+    missing score counts 0), full outer join on (user, item), top ``n``."""
+    sa = _minmax_per_user(a).withColumnRenamed("s", "sa")
+    sb = _minmax_per_user(b).withColumnRenamed("s", "sb")
+    bl = sa.join(sb, ["user_id", "item_id"], "full_outer").select(
+        "user_id", "item_id",
+        ((F.coalesce("sa", C.dbl(0)) + F.coalesce("sb", C.dbl(0))) / C.dbl(2)).alias("score"))
+    return R.rank_candidates(bl, n)
+
+
 def hybrid_recs(c: Canonical, n: int = 10):
     """Blend of two scorers, each min-max scaled per user, averaged.
 
@@ -254,12 +265,7 @@ def hybrid_recs(c: Canonical, n: int = 10):
              .filter(F.col("n") >= 5))
     pool_b = R.scored_pool(imean, POOL_SIZE)
     recs_b = R.popularity_recs(c.truth.select("user_id"), c.seen, pool_b, 20)
-    a = _minmax_per_user(c.recs).withColumnRenamed("s", "sa")
-    b = _minmax_per_user(recs_b).withColumnRenamed("s", "sb")
-    bl = a.join(b, ["user_id", "item_id"], "full_outer").select(
-        "user_id", "item_id",
-        ((F.coalesce("sa", C.dbl(0)) + F.coalesce("sb", C.dbl(0))) / C.dbl(2)).alias("score"))
-    return R.rank_candidates(bl, n)
+    return blend(c.recs, recs_b, n)
 
 
 @register("hybrid_blend", ops="L10", doubles=("score",), sql=HYBRID_SQL)

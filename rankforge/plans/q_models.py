@@ -214,3 +214,23 @@ def svd_recs(spark, root):
     user_f, item_f, _ = MD.randomized_svd(spark, a, k=10, seed=42)
     model = MD.factor_model(spark, user_f, item_f, 10, scratch_path(spark, "svd_model"))
     return MD.als_recommend(model, c.truth.select("user_id"), c.seen, TOP_N)
+
+
+@register("hybrid_models", ops="L10,L8,L7")
+def hybrid_models(spark, root):
+    """L10 over the factor models: blend of the ALS (non-negative) and SVD
+    top-20 lists per truth user, min-max scaled per user and averaged;
+    top-10.  Rows-only (model outputs)."""
+    from rankforge.plans.q_metrics import blend
+    from rankforge.session import scratch_path
+    checkpoint_dir(spark)
+    c = Canonical(spark, root)
+    users_ = c.truth.select("user_id")
+    als = MD.als_recommend(MD.als_fit(c.train), users_, c.seen, TOP_N)
+    a = c.train.select("user_id", "item_id", F.col("rating").alias("v"))
+    uf, itf, _ = MD.randomized_svd(spark, a, k=10, seed=42)
+    svd = MD.als_recommend(MD.factor_model(spark, uf, itf, 10, scratch_path(spark, "svd_model")),
+                           users_, c.seen, TOP_N)
+    return blend(als.select("user_id", "item_id", "score"),
+                 svd.select("user_id", "item_id", "score"), 10).select(
+        "user_id", "item_id", "score", "rank")
