@@ -33,7 +33,8 @@ def main() -> None:
     reps = int(os.environ.get("BENCH_REPS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus),
-                        app_name="rankforge-bench")
+                        app_name="rankforge-bench",
+                        driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
     spark.sparkContext.setLogLevel("ERROR")
     reg = load_all()
     times: dict[str, float] = {}
@@ -45,6 +46,8 @@ def main() -> None:
             runs.append(time.perf_counter() - t0)
         times[key] = round(statistics.median(runs[1:]), 3)
     m = re.search(r"sf([0-9.]+)", root)
+    spark.stop()                     # no JVM output after the result line
+    sys.stdout.flush()
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times,
                       "sf": float(m.group(1)) if m else root,

@@ -24,10 +24,14 @@ _REQUIRED = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "rankforge") -> SparkSession:
+                app_name: str = "rankforge", driver_memory: str | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        # In local mode the driver JVM is the only executor: its heap is the
+        # executor memory.  Only effective when this call starts the JVM.
+        builder = builder.config("spark.driver.memory", driver_memory)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     builder = builder.config("spark.sql.execution.arrow.pyspark.enabled", "true")
     # Reliable checkpoints of materialised intermediates are removed once
