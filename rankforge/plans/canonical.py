@@ -37,10 +37,13 @@ class Canonical:
     interactions are written once (reliable checkpoint in the shared
     checkpoint directory) and every derived input scans that table: jobs
     with many metric branches then pay the big join + dedup shuffle once,
-    and lineage is cut, so a lost executor re-reads the written table."""
+    and lineage is cut, so a lost executor re-reads the written table.
+    ``materialize_recs`` does the same for the recommendation lists, for
+    jobs that read them in several branches (the evaluation report)."""
     spark: SparkSession
     root: str
     materialize: bool = True
+    materialize_recs: bool = False
 
     @cached_property
     def t(self) -> Tables:
@@ -82,7 +85,8 @@ class Canonical:
     @cached_property
     def recs(self) -> DataFrame:
         r = ranking.popularity_recs(self.truth.select("user_id"), self.seen, self.pool, TOP_N)
-        if self.materialize:
+        if self.materialize_recs:           # only worth it when several branches read it
+            checkpoint_dir(self.spark)
             r = r.checkpoint(eager=True)
         return r
 

@@ -157,7 +157,7 @@ SELECT 'novelty', nv FROM nv"""
 
 @register("eval_report", ops="M14", doubles=("value",), sql=EVAL_SQL)
 def eval_report(spark, root):
-    c = Canonical(spark, root, materialize=True)
+    c = Canonical(spark, root, materialize=True, materialize_recs=True)
     return M.evaluation_report(c.recs, c.truth, c.scored, c.popularity, c.total_items(),
                                c.total_users())
 
