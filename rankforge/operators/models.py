@@ -427,14 +427,17 @@ def randomized_svd(spark: SparkSession, a: DataFrame, k: int = 10, oversample: i
         return a.join(mu, "user_id").groupBy("item_id", "j").agg(
             F.sum(F.col("v") * F.col("q")).alias("v"))
 
-    y = _orthonormal(spark, a_times(omega), "user_id")
+    def cut(m: DataFrame) -> DataFrame:
+        # Each product is read twice (Gram matrix, then the r x r multiply):
+        # write it once so the join with A is not recomputed; also cuts lineage.
+        return m.checkpoint(eager=True) if checkpoint else m
+
+    y = _orthonormal(spark, cut(a_times(omega)), "user_id")
     for _ in range(n_iter):
-        z = _orthonormal(spark, at_times(y), "item_id")
-        y = a_times(z.withColumnRenamed("v", "w"))
-        y = _orthonormal(spark, y, "user_id")
-        if checkpoint:
-            y = y.checkpoint()
-    b = at_times(y)                          # B^T: items x r  (B = Q^T A)
+        z = _orthonormal(spark, cut(at_times(cut(y))), "item_id")
+        y = _orthonormal(spark, cut(a_times(z.withColumnRenamed("v", "w"))), "user_id")
+    y = cut(y)
+    b = cut(at_times(y))                     # B^T: items x r  (B = Q^T A)
     bbt = _gram(b, "item_id")                # B B^T, r x r
     vals, vecs = np.linalg.eigh(bbt)
     order = np.argsort(vals)[::-1][:k]
