@@ -30,26 +30,25 @@ SIM_DIGITS = 9
 def minmax_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(x - min) / (max - min) per column; 0 for a constant column.
 
-    The per-column min/max are scalar subqueries (one aggregate row)."""
-    stats = df.agg(*[F.min(c).alias(f"{c}__lo") for c in cols],
-                   *[F.max(c).alias(f"{c}__hi") for c in cols])
+    All min/max come from one aggregate row, used as a single scalar
+    subquery (one scan of the input for the statistics)."""
+    stats = df.agg(F.struct(*[F.min(c).cast("double").alias(f"{c}__lo") for c in cols],
+                            *[F.max(c).cast("double").alias(f"{c}__hi") for c in cols])).scalar()
     out = df
     for c in cols:
-        lo = stats.select(F.col(f"{c}__lo").cast("double")).scalar()
-        hi = stats.select(F.col(f"{c}__hi").cast("double")).scalar()
+        lo, hi = stats[f"{c}__lo"], stats[f"{c}__hi"]
         out = out.withColumn(f"{c}_scaled", safe_div(F.col(c) - lo, hi - lo))
     return out
 
 
 def standardize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """L2: (x - mean) / sample std, like ``StandardScaler(withMean, withStd)``."""
-    stats = df.agg(*[F.avg(c).alias(f"{c}__m") for c in cols],
-                   *[F.stddev_samp(c).alias(f"{c}__s") for c in cols])
+    stats = df.agg(F.struct(*[F.avg(c).alias(f"{c}__m") for c in cols],
+                            *[F.stddev_samp(c).alias(f"{c}__s") for c in cols])).scalar()
     out = df
     for c in cols:
-        m = stats.select(F.col(f"{c}__m")).scalar()
-        s = stats.select(F.col(f"{c}__s")).scalar()
-        out = out.withColumn(f"{c}_std", safe_div(F.col(c) - m, s))
+        m, sd = stats[f"{c}__m"], stats[f"{c}__s"]
+        out = out.withColumn(f"{c}_std", safe_div(F.col(c) - m, sd))
     return out
 
 
