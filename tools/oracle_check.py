@@ -48,11 +48,26 @@ def main():
     args = sys.argv[1:]
     root = args[0] if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
     keys = [a for a in args if not os.path.isdir(a)]
-    spark = get_session("local[8]", 8)
+    if os.environ.get("DRIVER_LIKE"):
+        # A plain session with default settings, as a driver would create it.
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    else:
+        spark = get_session("local[8]", 8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{root}/{t}.parquet')")
+    if os.environ.get("DRIVER_LIKE"):
+        import importlib.util
+        spec = importlib.util.spec_from_file_location(
+            "spark_entry", os.path.join(os.path.dirname(os.path.dirname(
+                os.path.abspath(__file__))), "__spark_entry__.py"))
+        entry_mod = importlib.util.module_from_spec(spec)
+        spec.loader.exec_module(entry_mod)
+        n = len(entry_mod.entry(spark).collect())
+        print(f"entry rows={n}")
     reg = load_all()
     bad = 0
     for key, q in reg.items():
