@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rankforge.functions import columns as C
 from rankforge.operators import profiles
+from rankforge.plans import sql_prelude as P
 from rankforge.plans.registry import register
 from rankforge.session import scratch_path
 from rankforge.sources.tables import Tables, interactions, items, users
@@ -41,7 +43,9 @@ def _event_source(spark, root, copies: int = 1):
     return base, J.write_messages(J.event_messages(t.events, copies), base + "/source", N_FILES)
 
 
-@register("stream_ingest", ops="S6,S7,S10,X1,X2,F1,F3,V3")
+@register("stream_ingest", ops="S6,S7,S10,X1,X2,F1,F3,V3", doubles=("rating", "timestamp"),
+          sql=P.INTERACTIONS_ONLY + """
+SELECT user_id, item_id, rating, interaction_type, "timestamp", session_id FROM inter""")
 def stream_ingest(spark, root):
     base, src = _interaction_source(spark, root, with_bad=True)
     paths = J.ingest(spark, src, base, AVAILABLE_NOW)
@@ -50,11 +54,13 @@ def stream_ingest(spark, root):
     return good
 
 
-@register("stream_dead_letter", ops="F3")
+@register("stream_dead_letter", ops="F3", sql="""
+SELECT CAST(user_id AS VARCHAR) AS key, 'undecodable' AS reject_reason
+FROM events WHERE event_type = 'error'""")
 def stream_dead_letter(spark, root):
     base, src = _interaction_source(spark, root, with_bad=True)
     paths = J.ingest(spark, src, base, AVAILABLE_NOW)
-    return spark.read.parquet(paths["dead_letter"]).select("user_id", "reject_reason")
+    return spark.read.parquet(paths["dead_letter"]).select("key", "reject_reason")
 
 
 @register("stream_features", ops="X3,X4,L1,L2,L3,L4,G3,F5")
@@ -65,7 +71,11 @@ def stream_features(spark, root):
     return spark.read.parquet(out["batch_stats"]).select("batch_id", "name", "value")
 
 
-@register("stream_profiles", ops="X5,G11,S4")
+@register("stream_profiles", ops="X5,G11,S4", doubles=("avg_rating", "last_interaction"),
+          sql=P.INTERACTIONS_ONLY + """
+SELECT user_id, avg(rating) AS avg_rating, count(*) AS interaction_count,
+       max("timestamp") AS last_interaction, CAST(count(DISTINCT item_id) AS INTEGER) AS n_items
+FROM inter GROUP BY user_id""")
 def stream_profiles(spark, root):
     t = Tables(spark, root)
     base, src = _interaction_source(spark, root)
@@ -75,25 +85,67 @@ def stream_profiles(spark, root):
                          F.size("interacted_items").alias("n_items"))
 
 
-@register("stream_sessions", ops="X6")
+@register("stream_sessions", ops="X6", doubles=("duration_s",), sql="""
+WITH g AS (
+  SELECT user_id, ts, event_id,
+         CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
+                OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
+                   >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS new_s
+  FROM events),
+s AS (SELECT *, sum(new_s) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                                 ROWS UNBOUNDED PRECEDING) AS sid FROM g),
+ss AS (SELECT user_id, min(ts) AS t0, max(ts) AS t1, count(*) AS n_events
+       FROM s GROUP BY user_id, sid)
+SELECT user_id, strftime(t0, '%Y-%m-%d %H:%M:%S.%f') AS session_start,
+       epoch(t1) - epoch(t0) AS duration_s, n_events
+FROM ss
+WHERE t1 + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 30 MINUTE""")
 def stream_sessions(spark, root):
+    """Sessions closed by the watermark (open ones stay in state)."""
     base, src = _event_source(spark, root)
-    return spark.read.parquet(J.session_job(spark, src, base, trigger=AVAILABLE_NOW))
-
-
-@register("stream_rates", ops="X7")
+    s = spark.read.parquet(J.session_job(spark, src, base, trigger=AVAILABLE_NOW))
+    return s.select("user_id",
+                    F.date_format("first_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("session_start"),
+                    (C.epoch_seconds("last_ts") - C.epoch_seconds("first_ts")).alias("duration_s"),
+                    "n_events")
+
+
+@register("stream_rates", ops="X7", doubles=("request_rate",), sql="""
+WITH w AS (
+  SELECT time_bucket(INTERVAL 1 MINUTE, ts) - to_minutes(k) AS ws, event_type
+  FROM events, range(0, 5) t(k))
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n,
+       CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS errors,
+       count(*) / 300.0 AS request_rate
+FROM w
+WHERE ws + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+GROUP BY ws""")
 def stream_rates(spark, root):
+    """Sliding 5-minute windows emitted once the watermark passes them."""
     base, src = _event_source(spark, root)
-    return spark.read.parquet(J.rates_job(spark, src, base, trigger=AVAILABLE_NOW))
+    r = spark.read.parquet(J.rates_job(spark, src, base, trigger=AVAILABLE_NOW))
+    return r.select(C.ts_text("window_start").alias("window_start"), "n",
+                    F.col("errors").cast("long").alias("errors"), "request_rate")
 
 
-@register("stream_dedup", ops="D8")
+@register("stream_dedup", ops="D8", doubles=("value",), sql="""
+SELECT CASE event_type WHEN 'view' THEN 'recommendations_served'
+                       WHEN 'error' THEN 'model_updates' ELSE 'user_interactions' END AS topic,
+       event_id, user_id, event_type, value,
+       strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts
+FROM events""")
 def stream_dedup(spark, root):
     base, src = _event_source(spark, root, copies=3)
-    return spark.read.parquet(J.dedup_job(spark, src, base, trigger=AVAILABLE_NOW))
+    d = spark.read.parquet(J.dedup_job(spark, src, base, trigger=AVAILABLE_NOW))
+    return d.select("topic", "event_id", "user_id", "event_type", "value",
+                    F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
 
 
-@register("stream_route", ops="S9")
+@register("stream_route", ops="S9", sql="""
+SELECT CASE event_type WHEN 'view' THEN 'recommendations_served'
+                       WHEN 'error' THEN 'model_updates' ELSE 'user_interactions' END AS topic,
+       count(*) AS n
+FROM events GROUP BY 1""")
 def stream_route(spark, root):
     base, src = _event_source(spark, root)
     paths = J.route_job(spark, src, base, AVAILABLE_NOW)

@@ -94,11 +94,24 @@ def message_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -
             .option("maxFilesPerTrigger", files_per_trigger).json(path))
 
 
+_CORRUPT = "_corrupt_record"
+_DECODE_SCHEMA = T.StructType(STREAM_INTERACTION_SCHEMA.fields
+                              + [T.StructField(_CORRUPT, T.StringType(), True)])
+
+
 def decode_interactions(messages: DataFrame) -> DataFrame:
-    """JSON value to typed columns; undecodable values keep ``_bad``."""
+    """JSON value to typed columns.  A malformed value does not become a
+    NULL struct (PERMISSIVE parsing yields NULL fields), so the raw text is
+    captured in a corrupt-record column and flagged ``_bad``; the message
+    key is kept for the dead-letter output."""
     parsed = messages.filter(F.col("topic") == "user_interactions").select(
-        F.from_json(F.col("value"), STREAM_INTERACTION_SCHEMA).alias("data"), "value")
-    return parsed.select("data.*", F.col("data").isNull().alias("_bad"))
+        "key", F.from_json(F.col("value"), _DECODE_SCHEMA,
+                           {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+        .alias("data"))
+    return parsed.select("key", *[F.col(f"data.{f.name}")
+                                  for f in STREAM_INTERACTION_SCHEMA.fields],
+                         (F.col("data").isNull() | F.col(f"data.{_CORRUPT}").isNotNull())
+                         .alias("_bad"))
 
 
 def decode_events(messages: DataFrame) -> DataFrame:
@@ -155,7 +168,7 @@ def ingest(spark: SparkSession, source: str, root: str, trigger=None) -> dict[st
         batch = batch.persist()
         try:
             good = batch.filter(F.col("reject_reason").isNull()).drop("reject_reason",
-                                                                       "is_valid")
+                                                                       "is_valid", "key")
             bad = batch.filter(F.col("reject_reason").isNotNull())
             # Overwrite of the batch's own partition: replay-safe.
             good.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
@@ -199,7 +212,8 @@ def feature_job(spark: SparkSession, source: str, root: str, users: DataFrame,
     the feature pipeline once (saved, reloaded after restart), transform,
     write mergeable user/item partials and per-batch feature statistics."""
     msgs = message_stream(spark, source)
-    inter = derive(decode_interactions(msgs).filter(~F.col("_bad")).drop("_bad", "context"))
+    inter = derive(decode_interactions(msgs).filter(~F.col("_bad"))
+                   .drop("_bad", "context", "key"))
     model_path = os.path.join(root, "feature_model")
     out = {k: os.path.join(root, k) for k in ("user_partials", "item_partials", "batch_stats",
                                               "pca_rows")}
