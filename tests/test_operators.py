@@ -1,6 +1,5 @@
 """Operator behaviour on small fixtures and brute-force checks."""
 
-import math
 
 import numpy as np
 import pytest
