@@ -302,8 +302,11 @@ def item_knn(train: DataFrame, min_interactions: int = KNN_MIN_INTERACTIONS,
         s = s.unionByName(s.select(F.col("j").alias("i"), F.col("i").alias("j"),
                                    "similarity"))
     s = s.filter(F.col("similarity") >= dbl(min_similarity))
+    # In-group path: at most about ``top`` candidates per item and block pair
+    # (bounded); the partial-sum path can hold every co-occurring item, so it
+    # keeps the salted two-phase top-k.
     ranked = top_k_per_group(s, ["i"], [F.col("similarity").desc(), F.col("j").asc()], top,
-                             salt_col="j")
+                             salt_col=None if user_chunks == 1 else "j")
     return ranked.select(F.col("i").alias("item_id"), F.col("j").alias("neighbor_id"),
                          "similarity", "rank")
 

@@ -39,11 +39,16 @@ def top_k_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
 
 
 def rank_candidates(cands: DataFrame, k: int, user_col: str = "user_id",
-                    score_col: str = "score", item_col: str = "item_id") -> DataFrame:
-    """W1 + W2: rank by score desc, item id asc; keep rank <= k."""
+                    score_col: str = "score", item_col: str = "item_id",
+                    bounded: bool = False) -> DataFrame:
+    """W1 + W2: rank by score desc, item id asc; keep rank <= k.
+
+    ``bounded=True`` when each user's candidate list has a fixed size bound
+    (e.g. the union of two top-20 lists): one window suffices.  Otherwise
+    the two-phase salted top-k keeps a hot user off a single task."""
     return top_k_per_group(cands, [user_col],
                            [F.col(score_col).desc(), F.col(item_col).asc()], k,
-                           salt_col=item_col)
+                           salt_col=None if bounded else item_col)
 
 
 def exclude_seen(cands: DataFrame, seen: DataFrame, keys=("user_id", "item_id")) -> DataFrame:

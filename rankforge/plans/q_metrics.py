@@ -250,7 +250,8 @@ def blend(a, b, n: int = 10):
     bl = sa.join(sb, ["user_id", "item_id"], "full_outer").select(
         "user_id", "item_id",
         ((F.coalesce("sa", C.dbl(0)) + F.coalesce("sb", C.dbl(0))) / C.dbl(2)).alias("score"))
-    return R.rank_candidates(bl, n)
+    # Both inputs are bounded top lists, so the blend is bounded per user.
+    return R.rank_candidates(bl, n, bounded=True)
 
 
 def hybrid_recs(c: Canonical, n: int = 10):
