@@ -199,8 +199,8 @@ def cold_start(spark, root):
     """Users without history get the popularity list (no seen items)."""
     c = Canonical(spark, root)
     cold = c.test.select("user_id").join(c.train.select("user_id"), "user_id", "left_anti")
-    empty_seen = c.seen.limit(0)
-    return R.popularity_recs(cold, empty_seen, c.pool, 10)
+    # Cold users have no training rows, so nothing of theirs is in ``seen``.
+    return R.popularity_recs(cold, c.seen, c.pool, 10)
 
 
 HYBRID_SQL = P.FULL + """,
