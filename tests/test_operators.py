@@ -148,3 +148,41 @@ def test_factor_model_scores_are_dot_products(spark, tmp_path):
     seen = spark.createDataFrame([(1, 10)], "user_id long, item_id long")
     recs = models.als_recommend(m, spark.createDataFrame([(1,)], "user_id long"), seen, 1)
     assert [(r["item_id"], r["rank"]) for r in recs.collect()] == [(11, 1)]
+
+
+def test_running_sums_and_gap_sessions_equal_plain_windows(spark):
+    from pyspark.sql import Window
+    rng = np.random.default_rng(11)
+    n = 4000
+    users = np.where(rng.random(n) < 0.4, 0, rng.integers(1, 30, n))      # hot user 0
+    ts = rng.integers(0, 3 * 86400, n).astype(float)                       # many ties
+    rating = rng.integers(1, 6, n).astype(float)
+    rows = [(int(u), int(i), float(t), float(r)) for i, (u, t, r) in
+            enumerate(zip(users, ts, rating))]
+    df = spark.createDataFrame(rows, "user_id long, event_id long, timestamp double, "
+                                     "rating double")
+    b = df.withColumn("_tb", F.floor(F.col("timestamp") / 7200.0)).withColumn("_one", F.lit(1))
+    got = features.running_sum_in_buckets(b, ["user_id"], ["timestamp", "event_id"],
+                                          ["_one", "rating"], "_tb", ["c", "s"],
+                                          inclusive=False)
+    w = (Window.partitionBy("user_id").orderBy("timestamp", "event_id")
+         .rowsBetween(Window.unboundedPreceding, -1))
+    ref = df.select("event_id", F.coalesce(F.count(F.lit(1)).over(w), F.lit(0)).alias("c2"),
+                    F.coalesce(F.sum("rating").over(w), F.lit(0.0)).alias("s2"))
+    j = got.join(ref, "event_id")
+    assert j.filter((F.col("c") != F.col("c2")) | (F.abs(F.col("s") - F.col("s2")) > 1e-9)) \
+        .count() == 0
+
+    ev = df.select("user_id", "event_id", F.timestamp_seconds("timestamp").alias("ts"))
+    sessions = features.gap_sessions(ev, "user_id", "ts", "event_id", gap_seconds=1800.0,
+                                      bucket_seconds=3600.0)
+    wu = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    t = F.unix_seconds("ts")
+    flag = F.when(F.lag(t).over(wu).isNull() | (t - F.lag(t).over(wu) >= 1800), 1).otherwise(0)
+    ref_s = (ev.withColumn("f", flag)
+             .withColumn("sid", F.sum("f").over(wu.rowsBetween(Window.unboundedPreceding, 0)))
+             .groupBy("user_id", "sid").agg(F.count(F.lit(1)).alias("n_events"),
+                                            F.min("ts").alias("session_start")))
+    a = sessions.select("user_id", "session_start", "n_events")
+    bb = ref_s.select("user_id", "session_start", "n_events")
+    assert a.exceptAll(bb).count() == 0 and bb.exceptAll(a).count() == 0
