@@ -183,7 +183,10 @@ def als_eval(spark, root):
     RMSE/R2 of its rating predictions on the test rows."""
     c = Canonical(spark, root)
     model = MD.als_fit(c.train)
-    recs = MD.als_recommend(model, c.truth.select("user_id"), c.seen, TOP_N)
+    # Four metric branches read the lists: score all items once, then reuse.
+    checkpoint_dir(spark)
+    recs = MD.als_recommend(model, c.truth.select("user_id"), c.seen, TOP_N) \
+        .checkpoint(eager=True)
     test = c.test.select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating")
     pred = model.transform(test).select(F.col("user_id").cast("long"),
                                         F.col("item_id").cast("long"), "rating",
