@@ -186,3 +186,15 @@ def test_running_sums_and_gap_sessions_equal_plain_windows(spark):
     a = sessions.select("user_id", "session_start", "n_events")
     bb = ref_s.select("user_id", "session_start", "n_events")
     assert a.exceptAll(bb).count() == 0 and bb.exceptAll(a).count() == 0
+
+
+def test_blend_minmax_average_full_outer(spark):
+    from rankforge.plans.q_metrics import blend
+    a = spark.createDataFrame([(1, 10, 5.0), (1, 11, 3.0), (1, 12, 1.0)],
+                              "user_id long, item_id long, score double")
+    b = spark.createDataFrame([(1, 12, 0.9), (1, 13, 0.1)],
+                              "user_id long, item_id long, score double")
+    got = [(r["item_id"], round(r["score"], 6), r["rank"])
+           for r in blend(a, b, 3).orderBy("rank").collect()]
+    # a scaled: 10->1, 11->0.5, 12->0; b scaled: 12->1, 13->0; mean with 0 for missing
+    assert got == [(10, 0.5, 1), (12, 0.5, 2), (11, 0.25, 3)]
