@@ -23,7 +23,7 @@ from rankforge.llm.labelled import fold_of, labelled_sample, shuffled
 
 BITS = 20
 #: Labelled documents that the model is fitted on, at most.
-SAMPLE = 12_000
+SAMPLE = 8_000
 THRESHOLD = 0.3
 BEGINNINGS = (4, 5, 6)
 
@@ -93,8 +93,8 @@ class Ftrl:
         return out
 
 
-def fit(texts: list[str], labels: np.ndarray, bits: int = BITS, alpha: float = 0.1,
-        beta: float = 1.0, l1: float = 1.0, l2: float = 1.0, epochs: int = 3,
+def fit(texts: list[str], labels: np.ndarray, bits: int = BITS, alpha: float = 0.3,
+        beta: float = 1.0, l1: float = 6.0, l2: float = 1.0, epochs: int = 6,
         seed: int = 7) -> Ftrl:
     """FTRL-proximal over the texts, shuffled anew in every epoch.  Without
     texts all scores are 0.5."""
