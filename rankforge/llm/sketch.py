@@ -112,7 +112,8 @@ def with_next(docs: DataFrame, values: dict[str, str], id_col: str = "doc_id",
     first = spark.createDataFrame(
         [(r[bucket], heads[i - 1][bucket], tuple(r[key])) for i, r in enumerate(heads)],
         f"{at} int, {prev} int, {ghost} struct<id:long,tie:long>")
-    homes = dealt.join(first, (F.col(bucket) == F.col(at)) & F.col(key).eqNullSafe(F.col(ghost)),
+    # At most ``buckets`` rows of four numbers.
+    homes = dealt.join(F.broadcast(first), (F.col(bucket) == F.col(at)) & F.col(key).eqNullSafe(F.col(ghost)),
                        "left").drop(ghost)
     own = F.struct(F.col(bucket).alias("b"), F.lit(False).alias("g"))
     copy = F.struct(F.col(prev).alias("b"), F.lit(True).alias("g"))
