@@ -135,10 +135,9 @@ def redact(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_c
             out.append(text)
         return pa.array(out, pa.string())
 
-    joined = docs.withColumn(blob, _blob(text_col)).join(found, blob, "left")
-    changed = F.col(findings).isNotNull()
-    new = cut(F.col(text_col), F.col(findings))
-    out = joined.filter(changed).withColumn(text_col, new)
+    out = docs.withColumn(blob, _blob(text_col)).join(found, blob, "left")
+    out = out.withColumn(text_col, cut(F.col(text_col).cast("string"), F.col(findings)))
     if chars_col and chars_col in docs.columns:
-        out = out.withColumn(chars_col, F.char_length(text_col).cast(docs.schema[chars_col].dataType))
-    return joined.filter(~changed).select(*docs.columns).union(out.select(*docs.columns))
+        out = out.withColumn(chars_col, F.when(F.col(findings).isNull(), F.col(chars_col)).otherwise(
+            F.char_length(text_col)).cast(docs.schema[chars_col].dataType))
+    return out.select(*docs.columns)
