@@ -43,8 +43,8 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def steps(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """(first row, slice) pieces of about ``STEP_BYTES``; nulls become empty texts."""
+def steps(texts: pa.Array, step_bytes: int = STEP_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, slice) pieces of about ``step_bytes``; nulls become empty texts."""
     if not len(texts):
         return
     texts = texts.fill_null("")
@@ -52,7 +52,7 @@ def steps(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
     start = 0
     while start < len(texts):
         base = sizes[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(sizes, base + STEP_BYTES, side="right")))
+        end = max(start + 1, int(np.searchsorted(sizes, base + step_bytes, side="right")))
         yield start, texts.slice(start, end - start)
         start = end
 

@@ -3,9 +3,9 @@ word n-grams and skip-grams.
 
 Features of a text: its words and word beginnings, pairs of neighbours, and
 pairs with one word between, hashed to ``2 ** bits`` places; a feature's value
-is 1 + ln(its count).  Each coordinate has its own learning rate, and the L1
-term keeps most weights at zero, so the model is a short list of places and
-weights that is broadcast.
+is 1 + ln(its count).  Places that several training texts have take part.
+Each coordinate has its own learning rate, and the L1 term keeps most weights
+at zero, so the model is a short list of places and weights that is broadcast.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from rankforge.llm.common import steps, word_codes
 from rankforge.llm.labelled import fold_of, labelled_sample, shuffled
 
-BITS = 20
+BITS = 24
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE = 8_000
 THRESHOLD = 0.3
@@ -29,7 +29,10 @@ BEGINNINGS = (4, 5, 6)
 
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 _CACHE: dict[str, tuple[int, ...]] = {}
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 200_000
+#: Smaller steps for the driver's memory.
+_FIT_BYTES = 1 << 20
+_LEAD = 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -87,22 +90,40 @@ class Ftrl:
     weights: np.ndarray
     bias: float
 
-    def dense(self) -> np.ndarray:
-        out = np.zeros(1 << self.bits)
-        out[self.places] = self.weights
-        return out
+    def totals(self, texts: pa.Array) -> np.ndarray:
+        """Weighted sums of a slice of texts, with the intercept."""
+        where, place = occurrences(texts, self.bits)
+        shift = max(0, self.bits - _LEAD)
+        lead = np.zeros(1 << self.bits - shift, bool)      # most places are ruled out here
+        lead[self.places >> shift] = True
+        some = lead[place >> shift]
+        where, place, value = features(where[some], place[some], self.bits)
+        at = np.minimum(np.searchsorted(self.places, place), max(0, len(self.places) - 1))
+        if not len(self.places):
+            return np.full(len(texts), self.bias)
+        gain = np.where(self.places[at] == place, self.weights[at], 0.0) * value
+        return np.bincount(where, gain, len(texts)) + self.bias
 
 
 def fit(texts: list[str], labels: np.ndarray, bits: int = BITS, alpha: float = 0.3,
         beta: float = 1.0, l1: float = 6.0, l2: float = 1.0, epochs: int = 6,
-        seed: int = 7) -> Ftrl:
-    """FTRL-proximal over the texts, shuffled anew in every epoch.  Without
-    texts all scores are 0.5."""
-    size = 1 << bits
-    z, n = np.zeros(size + 1), np.zeros(size + 1)           # the last place is the intercept
-    rows = []
-    for start, part in steps(pa.array(texts, pa.string())):
-        where, place, value = features(*occurrences(part, bits), bits)
+        min_texts: int = 4, seed: int = 7) -> Ftrl:
+    """FTRL-proximal over the texts, shuffled anew in every epoch.  Places that
+    fewer than ``min_texts`` texts have take no part.  Without texts all
+    scores are 0.5."""
+    texts = pa.array(texts, pa.string())
+    seen = np.zeros(1 << bits, np.uint8)
+    for _, part in steps(texts, _FIT_BYTES):
+        place, count = np.unique(features(*occurrences(part, bits), bits)[1], return_counts=True)
+        seen[place] = np.minimum(seen[place] + count, 255)
+    places = np.flatnonzero(seen >= min_texts)
+    size, rows = len(places), []
+    z, n = np.zeros(size + 1), np.zeros(size + 1)          # the last place is the intercept
+    for _, part in steps(texts, _FIT_BYTES):
+        where, place = occurrences(part, bits)
+        often = seen[place] >= min_texts
+        where, place, value = features(where[often], place[often], bits)
+        place = np.searchsorted(places, place)
         cut = np.searchsorted(where, np.arange(len(part) + 1))
         rows += [(np.append(place[a:b], size).astype(np.int32),
                   np.append(value[a:b], 1.0).astype(np.float32)) for a, b in zip(cut, cut[1:])]
@@ -122,8 +143,8 @@ def fit(texts: list[str], labels: np.ndarray, bits: int = BITS, alpha: float = 0
             z[i] += g - sigma * w
             n[i] += g * g
     w = weight(np.arange(size + 1))
-    places = np.flatnonzero(w[:-1])
-    return Ftrl(bits, places, w[places], float(w[-1]))
+    used = np.flatnonzero(w[:-1])
+    return Ftrl(bits, places[used], w[used], float(w[-1]))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4, held: int = 2,
@@ -134,28 +155,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     return fit(rows["text"].tolist(), rows["label"].to_numpy(float))
 
 
-_DENSE: dict[str, np.ndarray] = {}
-
-
 def score_column(spark: SparkSession, model: Ftrl, text: Column) -> Column:
     """Score of a text column in 0..1; null texts count as empty."""
     sent = spark.sparkContext.broadcast(model)
-    key = xxhash.xxh64_hexdigest(model.places.tobytes() + model.weights.tobytes())
 
     @F.arrow_udf("double")
     def of(texts: pa.Array) -> pa.Array:
-        model = sent.value
-        if key not in _DENSE:
-            _DENSE.clear()
-            _DENSE[key] = model.dense()
-        dense = _DENSE[key]
-        out = np.zeros(len(texts))
-        for start, part in steps(texts):
-            where, place = occurrences(part, model.bits)
-            known = dense[place] != 0
-            where, place, value = features(where[known], place[known], model.bits)
-            out[start:start + len(part)] = np.bincount(where, dense[place] * value, len(part))
-        return pa.array(1 / (1 + np.exp(-np.clip(out + model.bias, -30, 30))))
+        out = [sent.value.totals(part) for _, part in steps(texts)]
+        total = np.concatenate(out) if out else np.zeros(0)
+        return pa.array(1 / (1 + np.exp(-np.clip(total, -30, 30))))
     return of(text)
 
 
