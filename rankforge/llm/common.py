@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rankforge.session import scratch_path
 
 #: Bytes of text that one vectorised step handles at once; a longer text is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 
 def fresh(df: DataFrame, *bases: str) -> list[str]:

@@ -23,7 +23,7 @@ from rankforge.llm.labelled import fold_of, labelled_sample, shuffled
 
 BITS = 24
 #: Labelled documents that the model is fitted on, at most.
-SAMPLE = 8_000
+SAMPLE = 6_000
 THRESHOLD = 0.3
 BEGINNINGS = (4, 5, 6)
 
