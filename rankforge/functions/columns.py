@@ -23,9 +23,11 @@ def rnd(c, digits: int = DIGITS) -> Column:
 
 
 def safe_div(num, den, default: float = 0.0) -> Column:
-    """Ratio with zero guard (ANSI mode raises on division by zero)."""
+    """Ratio, ``default`` for a zero denominator (ANSI mode raises on division by
+    zero); an unknown (NULL) denominator makes the ratio unknown."""
     num, den = col_(num), col_(den)
-    return F.when(den != 0, num.cast("double") / den.cast("double")).otherwise(dbl(default))
+    return F.when(den.isNull(), F.lit(None).cast("double")) \
+        .when(den != 0, num.cast("double") / den.cast("double")).otherwise(dbl(default))
 
 
 def clip(c, lo: float, hi: float) -> Column:

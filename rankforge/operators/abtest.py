@@ -121,11 +121,14 @@ def significance(stats: DataFrame, experiments: DataFrame) -> DataFrame:
     """B6 (p), B9, B10 on the one-row-per-experiment table (pandas UDFs)."""
     j = stats.join(experiments.select("experiment_id", "significance_level"), "experiment_id")
     dfree = (F.col("control_size") + F.col("treatment_size") - 2).cast("double")
-    j = j.withColumn("p_value", S.t_pvalue_udf(F.col("t_stat"), dfree))
+    # Without spread any difference is certain; without a difference p is undefined.
+    j = j.withColumn("p_value", F.when((F.col("std_error") == 0) & (F.col("diff") != 0), dbl(0.0))
+                     .otherwise(S.t_pvalue_udf(F.col("t_stat"), dfree)))
     z_alpha = S.norm_ppf_udf(dbl(1.0) - F.col("significance_level") / dbl(2.0))
     j = j.withColumn("statistical_power",
                      dbl(1.0) - S.norm_cdf_udf(z_alpha - F.abs(F.col("t_stat"))))
-    return j.withColumn("is_significant", F.col("p_value") < F.col("significance_level"))
+    return j.withColumn("is_significant", F.coalesce(
+        F.col("p_value") < F.col("significance_level"), F.lit(False)))
 
 
 def decision(sig: DataFrame, experiments: DataFrame, parity: bool = False) -> DataFrame:
@@ -134,7 +137,9 @@ def decision(sig: DataFrame, experiments: DataFrame, parity: bool = False) -> Da
     j = sig.join(experiments.select("experiment_id", "min_effect_size"), "experiment_id")
     eff = F.col("effect_size") if parity else F.abs(F.col("effect_size"))
     lift = F.col("lift_percentage")
-    text = (F.when(~F.col("is_significant"),
+    text = (F.when((F.col("control_size") == 0) | (F.col("treatment_size") == 0),
+                   F.lit("Insufficient data for analysis"))
+            .when(~F.col("is_significant"),
                    F.lit("No significant difference detected. Consider longer experiment "
                          "duration or larger sample size."))
             .when(eff < F.col("min_effect_size"),
@@ -174,8 +179,9 @@ def status(sizes: DataFrame, experiments: DataFrame, as_of) -> DataFrame:
         F.floor((F.unix_micros(as_of.cast("timestamp"))
                  - F.unix_micros(F.col("started_at").cast("timestamp"))) / F.lit(86400000000))
         .cast("long").alias("days_running"),
-        ((F.col("control_size") > INTERIM_MIN_PER_SIDE)
-         & (F.col("treatment_size") > INTERIM_MIN_PER_SIDE)).alias("interim_ready"),
+        ((F.coalesce("control_size", F.lit(0)) > INTERIM_MIN_PER_SIDE)
+         & (F.coalesce("treatment_size", F.lit(0)) > INTERIM_MIN_PER_SIDE))
+        .alias("interim_ready"),
         F.when(F.col("stopped_at").isNotNull(), "completed").otherwise("active")
         .alias("lifecycle"))
 

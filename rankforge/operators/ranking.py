@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.functions.columns import col_
+from rankforge.session import written
 
 DEFAULT_SALT_BUCKETS = 32
+RANK_BLOCK = 65536
 
 
 def top_k_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column],
@@ -56,54 +58,71 @@ def exclude_seen(cands: DataFrame, seen: DataFrame, keys=("user_id", "item_id"))
     return cands.join(seen.select(*keys), list(keys), "left_anti")
 
 
-def popularity_pool(train: DataFrame, pool_size: int, item_col: str = "item_id") -> DataFrame:
-    """The ``pool_size`` most interacted items: (item_id, cnt, prank)."""
-    counts = train.groupBy(item_col).agg(F.count(F.lit(1)).alias("cnt"))
-    # A global order over the per-item counts; the final sort only sees the
-    # best ``pool_size`` rows of each partition (TakeOrderedAndProject).
-    top = counts.orderBy(F.col("cnt").desc(), F.col(item_col).asc()).limit(pool_size)
-    w = Window.orderBy(F.col("cnt").desc(), F.col(item_col).asc())
-    return (top.withColumn("prank", F.row_number().over(w))
-            .withColumn("score", F.col("cnt").cast("double")))
-
-
-def scored_pool(item_scores: DataFrame, pool_size: int, score_col: str = "score",
-                item_col: str = "item_id") -> DataFrame:
-    """Generic bounded pool: the ``pool_size`` best items by score desc, id asc."""
-    top = item_scores.orderBy(F.col(score_col).desc(), F.col(item_col).asc()).limit(pool_size)
-    w = Window.orderBy(F.col(score_col).desc(), F.col(item_col).asc())
-    return top.select(item_col, F.col(score_col).cast("double").alias("score"),
-                      F.row_number().over(w).alias("prank"))
+def item_ranking(item_scores: DataFrame, score_col: str = "score",
+                 item_col: str = "item_id") -> DataFrame:
+    """All items ranked by score desc, id asc: (item_id, score, prank from 1).
+
+    One distributed sort; a row's rank is its place inside its range partition
+    plus the sizes of the partitions before (one row per partition).  The
+    sorted rows are written once, since range bounds are sampled anew in each
+    execution."""
+    order = item_scores.select(item_col, F.col(score_col).cast("double").alias("score")) \
+        .orderBy(F.col("score").desc(), F.col(item_col).asc())
+    rows = written(order.select(
+        "*", F.spark_partition_id().alias("_part"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_row")), "ranking")
+    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+    return rows.join(before, "_part").select(
+        item_col, "score", (F.col("_before") + F.col("_row") + 1).alias("prank"))
+
+
+def popularity_pool(train: DataFrame, pool_size: int | None = None,
+                    item_col: str = "item_id") -> DataFrame:
+    """Items by how often they were interacted with: (item_id, score, prank);
+    all of them, or the first ``pool_size``."""
+    counts = train.groupBy(item_col).agg(F.count(F.lit(1)).alias("score"))
+    ranked = item_ranking(counts, item_col=item_col)
+    return ranked if pool_size is None else ranked.filter(F.col("prank") <= pool_size)
+
+
+def popularity_candidates(users: DataFrame, seen: DataFrame, pool: DataFrame, n: int,
+                          user_col: str = "user_id", item_col: str = "item_id") -> DataFrame:
+    """Unseen items among each user's first ``n`` + (number of seen items)
+    ranks: at least the ``n`` best unseen ones, if the pool has as many.
+
+    Rows are linear in users x n plus the seen pairs.  The first ``n`` ranks,
+    which all users join, are salted."""
+    pairs = seen.select(user_col, item_col).distinct()
+    own = pairs.groupBy(user_col).agg(F.count(F.lit(1)).alias("_seen"))
+    need = users.select(user_col).distinct().join(own, user_col, "left").select(
+        user_col, (F.coalesce("_seen", F.lit(0)) + n).alias("_need"))
+    # Blocks keep a user with a very long history from making one long array.
+    block = F.lit(RANK_BLOCK)
+    ranks = need.select("*", F.explode(F.sequence(
+        F.lit(0), F.floor((F.col("_need") - 1) / block))).alias("_b")).select(
+        user_col, F.explode(F.sequence(F.col("_b") * block + 1, F.least(
+            (F.col("_b") + 1) * block, F.col("_need")))).alias("prank"))
+    low = F.col("prank") <= n
+    salts = F.lit(DEFAULT_SALT_BUCKETS)
+    ranks = ranks.withColumn("_salt", F.when(low, F.pmod(F.xxhash64(user_col), salts))
+                             .otherwise(F.lit(0)))
+    items = pool.withColumn("_salt", F.explode(F.when(
+        low, F.sequence(F.lit(0).cast("long"), (salts - 1).cast("long")))
+        .otherwise(F.array(F.lit(0).cast("long")))))
+    return (ranks.join(items, ["prank", "_salt"]).drop("_salt")
+            .join(pairs, [user_col, item_col], "left_anti"))
 
 
 def popularity_recs(users: DataFrame, seen: DataFrame, pool: DataFrame, n: int,
                     user_col: str = "user_id", item_col: str = "item_id") -> DataFrame:
-    """Top-``n`` popular items per user that the user has not seen.
-
-    The pool has a proven size bound (``pool_size`` rows), so it travels as a
-    scalar-subquery array instead of a join: no cartesian product.  Per user
-    only the seen items *inside the pool* are gathered (at most ``pool_size``
-    per user), then the first ``n`` unseen pool entries are taken in order.
-    Output: (user_id, item_id, score, rank).
-    """
-    pool_arr = pool.select(
-        F.array_sort(F.collect_list(F.struct(
-            F.col("prank"), F.col(item_col).alias("item"),
-            F.col("score").cast("double").alias("score"))))).scalar()
-    seen_in_pool = (seen.select(user_col, item_col)
-                    .join(pool.select(item_col), item_col, "left_semi")
-                    .groupBy(user_col)
-                    .agg(F.collect_set(item_col).alias("seen_items")))
-    u = (users.select(user_col).distinct().join(seen_in_pool, user_col, "left")
-         .withColumn("_pool", pool_arr))
-    picked = F.slice(
-        F.filter(F.col("_pool"),
-                 lambda e: ~F.coalesce(F.array_contains(F.col("seen_items"), e["item"]),
-                                       F.lit(False))),
-        1, n)
-    return (u.select(user_col, F.posexplode(picked).alias("pos", "e"))
-            .select(user_col, F.col("e.item").alias(item_col), F.col("e.score").alias("score"),
-                    (F.col("pos") + 1).cast("int").alias("rank")))
+    """Exact top-``n`` of the pool per user without the items the user has
+    seen: (user_id, item_id, score, rank).  Users with fewer unseen items in
+    the pool get those."""
+    c = popularity_candidates(users, seen, pool, n, user_col, item_col)
+    return top_k_per_group(c, [user_col], [F.col("prank")], n, salt_col=item_col).select(
+        user_col, item_col, "score", "rank")
 
 
 def lists_from_ranked(recs: DataFrame, user_col="user_id", item_col="item_id",

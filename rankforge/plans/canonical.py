@@ -3,7 +3,7 @@
   dedup    D2 over all interactions
   train    dedup rows before the cutoff; test = the rest
   truth    test rows with rating >= 4
-  pool     most interacted train items (bounded by ``POOL_SIZE``)
+  pool       all train items ranked by interactions
   seen     distinct train (user, item)
   recs     popularity top-N per truth user, seen items excluded
   scored   test rows with a bias-model prediction (L14)
@@ -26,7 +26,6 @@ from rankforge.sources.tables import Tables, interactions
 # Fixed values of the canonical evaluation.
 CUTOFF_EPOCH = 946684800.0      # 2000-01-01 00:00:00 UTC
 RELEVANT_RATING = 4.0
-POOL_SIZE = 200
 TOP_N = 20
 RATING_LO, RATING_HI = 1.0, 5.0
 
@@ -80,7 +79,7 @@ class Canonical:
 
     @cached_property
     def pool(self) -> DataFrame:
-        return ranking.popularity_pool(self.train, POOL_SIZE)
+        return ranking.popularity_pool(self.train)
 
     @cached_property
     def recs(self) -> DataFrame:

@@ -10,24 +10,36 @@ from rankforge.functions import columns as C
 from rankforge.operators import metrics as M
 from rankforge.operators import ranking as R
 from rankforge.plans import sql_prelude as P
-from rankforge.plans.canonical import POOL_SIZE, Canonical, bias_predict
+from rankforge.plans.canonical import TOP_N, Canonical, bias_predict
 from rankforge.plans.registry import register
 
 
-@register("topn", ops="W1,W2,V1", doubles=("score",),
-          sql=P.FULL + " SELECT user_id, item_id, score, rank FROM recs")
+@register("topn", ops="W1,W2,V1", doubles=("score",), sql=P.FULL + """,
+everybody AS (SELECT DISTINCT user_id FROM dedup)
+SELECT u.user_id, p.item_id, CAST(p.cnt AS DOUBLE) AS score,
+       CAST(row_number() OVER (PARTITION BY u.user_id ORDER BY p.prank) AS INTEGER) AS rank,
+       'popularity' AS algorithm
+FROM everybody u CROSS JOIN pool p
+WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_id = u.user_id AND s.item_id = p.item_id)
+QUALIFY rank <= 20""")
 def topn(spark, root):
-    return Canonical(spark, root).recs
+    """V1: lists for every user with an interaction, over the whole catalog."""
+    c = Canonical(spark, root)
+    r = R.popularity_recs(c.dedup.select("user_id"), c.seen, c.pool, TOP_N)
+    return r.withColumn("algorithm", F.lit("popularity"))
 
 
-@register("exclude_seen", ops="J5", sql=P.FULL + """
-SELECT user_id, item_id, CAST(prank AS BIGINT) AS prank FROM cand""")
+@register("exclude_seen", ops="J5", sql=P.FULL + """,
+own AS (SELECT user_id, count(*) AS n FROM seen GROUP BY user_id)
+SELECT c.user_id, c.item_id, CAST(c.prank AS BIGINT) AS prank
+FROM cand c LEFT JOIN own o ON c.user_id = o.user_id
+WHERE c.prank <= 20 + coalesce(o.n, 0)""")
 def exclude_seen(spark, root):
+    """Each truth user's first 20 + (number of seen items) ranks of the
+    whole catalog, without the seen items."""
     c = Canonical(spark, root)
-    # Every unseen pool item per truth user: the bounded pool minus seen.
-    r = R.popularity_recs(c.truth.select("user_id"), c.seen, c.pool, POOL_SIZE)
-    ranks = c.pool.select("item_id", F.col("prank").cast("long").alias("prank"))
-    return r.join(ranks, "item_id").select("user_id", "item_id", "prank")
+    return R.popularity_candidates(c.truth.select("user_id"), c.seen, c.pool, TOP_N) \
+        .select("user_id", "item_id", "prank")
 
 
 @register("ndcg_binary", ops="M2,W3", doubles=("ndcg",),
@@ -204,33 +216,26 @@ def cold_start(spark, root):
 
 
 HYBRID_SQL = P.FULL + """,
-imean AS (SELECT item_id, avg(rating) AS sc FROM train GROUP BY item_id HAVING count(*) >= 5),
-pool_b AS (SELECT item_id, sc, row_number() OVER (ORDER BY sc DESC, item_id) AS prank
-           FROM imean QUALIFY prank <= 200),
-cand_b AS (SELECT u.user_id, p.item_id, p.sc, p.prank
+imean AS (SELECT item_id, avg(rating) AS sc FROM train GROUP BY item_id),
+pool_b AS (SELECT item_id, sc, row_number() OVER (ORDER BY sc DESC, item_id) AS prank FROM imean),
+recs_b AS (SELECT u.user_id, p.item_id
            FROM (SELECT DISTINCT user_id FROM truth) u CROSS JOIN pool_b p
            WHERE NOT EXISTS (SELECT 1 FROM seen s
-                             WHERE s.user_id = u.user_id AND s.item_id = p.item_id)),
-recs_b AS (SELECT user_id, item_id, sc AS score,
-                  row_number() OVER (PARTITION BY user_id ORDER BY prank) AS rank
-           FROM cand_b QUALIFY rank <= 20),
-na AS (SELECT user_id, item_id,
-         CASE WHEN max(score) OVER (PARTITION BY user_id) > min(score) OVER (PARTITION BY user_id)
-              THEN (score - min(score) OVER (PARTITION BY user_id))
-                   / (max(score) OVER (PARTITION BY user_id) - min(score) OVER (PARTITION BY user_id))
-              ELSE 1.0 END AS s FROM recs),
-nb AS (SELECT user_id, item_id,
-         CASE WHEN max(score) OVER (PARTITION BY user_id) > min(score) OVER (PARTITION BY user_id)
-              THEN (score - min(score) OVER (PARTITION BY user_id))
-                   / (max(score) OVER (PARTITION BY user_id) - min(score) OVER (PARTITION BY user_id))
-              ELSE 1.0 END AS s FROM recs_b),
-bl AS (SELECT coalesce(na.user_id, nb.user_id) AS user_id,
-              coalesce(na.item_id, nb.item_id) AS item_id,
-              (coalesce(na.s, 0.0) + coalesce(nb.s, 0.0)) / 2.0 AS score
-       FROM na FULL OUTER JOIN nb ON na.user_id = nb.user_id AND na.item_id = nb.item_id)
+                             WHERE s.user_id = u.user_id AND s.item_id = p.item_id)
+           QUALIFY row_number() OVER (PARTITION BY u.user_id ORDER BY p.prank) <= 20),
+both_lists AS (SELECT user_id, item_id FROM recs UNION SELECT user_id, item_id FROM recs_b),
+sc AS (SELECT b.user_id, b.item_id, CAST(c.cnt AS DOUBLE) AS a, m.sc AS b
+       FROM both_lists b JOIN item_cnt c ON b.item_id = c.item_id
+            JOIN imean m ON b.item_id = m.item_id),
+lim AS (SELECT user_id, min(a) AS a0, max(a) AS a1, min(b) AS b0, max(b) AS b1
+        FROM sc GROUP BY user_id),
+bl AS (SELECT sc.user_id, sc.item_id,
+              (CASE WHEN a1 > a0 THEN (a - a0) / (a1 - a0) ELSE 1.0 END
+               + CASE WHEN b1 > b0 THEN (b - b0) / (b1 - b0) ELSE 1.0 END) / 2.0 AS score
+       FROM sc JOIN lim ON sc.user_id = lim.user_id)
 SELECT user_id, item_id, score,
-       CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS INTEGER)
-         AS rank
+       CAST(row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id)
+            AS INTEGER) AS rank
 FROM bl QUALIFY rank <= 10"""
 
 
@@ -257,16 +262,23 @@ def blend(a, b, n: int = 10):
 def hybrid_recs(c: Canonical, n: int = 10):
     """Blend of two scorers, each min-max scaled per user, averaged.
 
-    Scorer A = popularity list; scorer B = best mean-rated items (>= 5
-    ratings).  Both candidate lists are bounded (20 per user); the blend is a
-    full outer join on (user, item) and a bounded per-user ranking.
+    Scorer A = popularity, scorer B = mean rating.  Candidates are the union
+    of both scorers' exact top lists; both score every candidate, so an item
+    that only one list has still gets its score from the other.
     """
-    imean = (c.train.groupBy("item_id")
-             .agg(F.avg("rating").alias("score"), F.count(F.lit(1)).alias("n"))
-             .filter(F.col("n") >= 5))
-    pool_b = R.scored_pool(imean, POOL_SIZE)
-    recs_b = R.popularity_recs(c.truth.select("user_id"), c.seen, pool_b, 20)
-    return blend(c.recs, recs_b, n)
+    imean = c.train.groupBy("item_id").agg(F.avg("rating").alias("score"))
+    pool_b = R.item_ranking(imean)
+    recs_b = R.popularity_recs(c.truth.select("user_id"), c.seen, pool_b, TOP_N)
+    cands = c.recs.select("user_id", "item_id").union(recs_b.select("user_id", "item_id")) \
+        .distinct()
+    a = _minmax_per_user(cands.join(c.pool.select("item_id", "score"), "item_id"))
+    b = _minmax_per_user(cands.join(pool_b.select("item_id", "score"), "item_id"))
+    bl = a.join(b.withColumnRenamed("s", "t"), ["user_id", "item_id"]).select(
+        "user_id", "item_id", ((F.col("s") + F.col("t")) / C.dbl(2)).alias("score"))
+    # Rounded for the order only: equal blends may differ in the last bits.
+    top = R.rank_candidates(bl.withColumn("_r", F.round("score", 9)), n, score_col="_r",
+                            bounded=True)
+    return top.drop("_r")
 
 
 @register("hybrid_blend", ops="L10", doubles=("score",), sql=HYBRID_SQL)

@@ -19,7 +19,7 @@ from rankforge.sources.tables import Tables, interactions, items, users
 from rankforge.streaming import jobs as J
 
 AVAILABLE_NOW = {"availableNow": True}
-N_FILES = 4
+N_SLICES = 4
 
 
 def _interaction_source(spark, root, with_bad: bool = False):
@@ -34,21 +34,23 @@ def _interaction_source(spark, root, with_bad: bool = False):
             F.lit(0.0).alias("_t"))
         msgs = msgs.unionByName(bad)
     base = scratch_path(spark, "stream")
-    return base, J.write_messages(msgs, base + "/source", N_FILES)
+    return base, lambda job: J.replay(msgs, base + "/source", N_SLICES, job)
 
 
 def _event_source(spark, root, copies: int = 1):
     t = Tables(spark, root)
     base = scratch_path(spark, "stream")
-    return base, J.write_messages(J.event_messages(t.events, copies), base + "/source", N_FILES)
+    # Several files per slice, as a cluster would write them.
+    msgs = J.event_messages(t.events, copies).repartition(4)
+    return base, lambda job: J.replay(msgs, base + "/source", N_SLICES, job)
 
 
 @register("stream_ingest", ops="S6,S7,S10,X1,X2,F1,F3,V3", doubles=("rating", "timestamp"),
           sql=P.INTERACTIONS_ONLY + """
 SELECT user_id, item_id, rating, interaction_type, "timestamp", session_id FROM inter""")
 def stream_ingest(spark, root):
-    base, src = _interaction_source(spark, root, with_bad=True)
-    paths = J.ingest(spark, src, base, AVAILABLE_NOW)
+    base, replay = _interaction_source(spark, root, with_bad=True)
+    paths = replay(lambda src: J.ingest(spark, src, base, AVAILABLE_NOW))
     good = spark.read.parquet(paths["interactions"]).select(
         "user_id", "item_id", "rating", "interaction_type", "timestamp", "session_id")
     return good
@@ -58,16 +60,17 @@ def stream_ingest(spark, root):
 SELECT CAST(user_id AS VARCHAR) AS key, 'undecodable' AS reject_reason
 FROM events WHERE event_type = 'error'""")
 def stream_dead_letter(spark, root):
-    base, src = _interaction_source(spark, root, with_bad=True)
-    paths = J.ingest(spark, src, base, AVAILABLE_NOW)
+    base, replay = _interaction_source(spark, root, with_bad=True)
+    paths = replay(lambda src: J.ingest(spark, src, base, AVAILABLE_NOW))
     return spark.read.parquet(paths["dead_letter"]).select("key", "reject_reason")
 
 
 @register("stream_features", ops="X3,X4,L1,L2,L3,L4,G3,F5")
 def stream_features(spark, root):
     t = Tables(spark, root)
-    base, src = _interaction_source(spark, root)
-    out = J.feature_job(spark, src, base, users(t), items(t), AVAILABLE_NOW)
+    base, replay = _interaction_source(spark, root)
+    out = replay(lambda src: J.feature_job(spark, src, base, users(t), items(t),
+                                           AVAILABLE_NOW))
     return spark.read.parquet(out["batch_stats"]).select("batch_id", "name", "value")
 
 
@@ -78,8 +81,9 @@ SELECT user_id, avg(rating) AS avg_rating, count(*) AS interaction_count,
 FROM inter GROUP BY user_id""")
 def stream_profiles(spark, root):
     t = Tables(spark, root)
-    base, src = _interaction_source(spark, root)
-    out = J.feature_job(spark, src, base, users(t), items(t), AVAILABLE_NOW)
+    base, replay = _interaction_source(spark, root)
+    out = replay(lambda src: J.feature_job(spark, src, base, users(t), items(t),
+                                           AVAILABLE_NOW))
     merged = profiles.merge_profiles(spark.read.parquet(out["user_partials"]))
     return merged.select("user_id", "avg_rating", "interaction_count", "last_interaction",
                          F.size("interacted_items").alias("n_items"))
@@ -102,8 +106,9 @@ FROM ss
 WHERE t1 + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 30 MINUTE""")
 def stream_sessions(spark, root):
     """Sessions closed by the watermark (open ones stay in state)."""
-    base, src = _event_source(spark, root)
-    s = spark.read.parquet(J.session_job(spark, src, base, trigger=AVAILABLE_NOW))
+    base, replay = _event_source(spark, root)
+    s = spark.read.parquet(replay(
+        lambda src: J.session_job(spark, src, base, trigger=AVAILABLE_NOW)))
     return s.select("user_id",
                     F.date_format("first_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("session_start"),
                     (C.epoch_seconds("last_ts") - C.epoch_seconds("first_ts")).alias("duration_s"),
@@ -122,8 +127,9 @@ WHERE ws + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUT
 GROUP BY ws""")
 def stream_rates(spark, root):
     """Sliding 5-minute windows emitted once the watermark passes them."""
-    base, src = _event_source(spark, root)
-    r = spark.read.parquet(J.rates_job(spark, src, base, trigger=AVAILABLE_NOW))
+    base, replay = _event_source(spark, root)
+    r = spark.read.parquet(replay(
+        lambda src: J.rates_job(spark, src, base, trigger=AVAILABLE_NOW)))
     return r.select(C.ts_text("window_start").alias("window_start"), "n",
                     F.col("errors").cast("long").alias("errors"), "request_rate")
 
@@ -135,8 +141,9 @@ SELECT CASE event_type WHEN 'view' THEN 'recommendations_served'
        strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts
 FROM events""")
 def stream_dedup(spark, root):
-    base, src = _event_source(spark, root, copies=3)
-    d = spark.read.parquet(J.dedup_job(spark, src, base, trigger=AVAILABLE_NOW))
+    base, replay = _event_source(spark, root, copies=3)
+    d = spark.read.parquet(replay(
+        lambda src: J.dedup_job(spark, src, base, trigger=AVAILABLE_NOW)))
     return d.select("topic", "event_id", "user_id", "event_type", "value",
                     F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
 
@@ -147,8 +154,8 @@ SELECT CASE event_type WHEN 'view' THEN 'recommendations_served'
        count(*) AS n
 FROM events GROUP BY 1""")
 def stream_route(spark, root):
-    base, src = _event_source(spark, root)
-    paths = J.route_job(spark, src, base, AVAILABLE_NOW)
+    base, replay = _event_source(spark, root)
+    paths = replay(lambda src: J.route_job(spark, src, base, AVAILABLE_NOW))
     parts = [spark.read.parquet(p).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
              for p in paths.values()]
     out = parts[0]

@@ -32,7 +32,7 @@ truth AS (SELECT user_id, item_id FROM test WHERE rating >= 4.0)"""
 RECS = """
 item_cnt AS (SELECT item_id, count(*) AS cnt FROM train GROUP BY item_id),
 pool AS (SELECT item_id, cnt, row_number() OVER (ORDER BY cnt DESC, item_id) AS prank
-         FROM item_cnt QUALIFY prank <= 200),
+         FROM item_cnt),
 seen AS (SELECT DISTINCT user_id, item_id FROM train),
 cand AS (SELECT u.user_id, p.item_id, p.cnt, p.prank
          FROM (SELECT DISTINCT user_id FROM truth) u CROSS JOIN pool p

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  UTC keeps epoch <-> timestamp conversions
 # stable across executors in different zones.
@@ -82,8 +82,9 @@ def ship_package(spark: SparkSession) -> None:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint root: the context's checkpoint directory, else the
-    cluster's ``spark.checkpoint.dir``.  Only when neither is set (local
-    tests) a private temporary directory is registered with the context.
+    cluster's ``spark.checkpoint.dir``.  When neither is set a private
+    temporary directory serves in local mode; on a cluster, where executors
+    would write to their own disks, this raises ``ValueError``.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -91,11 +92,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="rankforge-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared checkpoint root and read it
+    back: cuts lineage, and keeps column pruning and filter push-down."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh directory below the shared checkpoint root."""
     root = checkpoint_dir(spark)

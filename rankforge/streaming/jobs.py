@@ -69,29 +69,50 @@ def event_messages(events: DataFrame, copies: int = 1) -> DataFrame:
     return m
 
 
-def write_messages(messages: DataFrame, path: str, n_slices: int) -> str:
-    """Write messages as ``n_slices`` time slices, one append per slice in time
-    order.  A file source hands out files by modification time, so the replay
-    follows event time and the watermark never overtakes earlier slices.
-    Slice bounds are approximate quantiles of ``_t`` (``n_slices`` numbers on
-    the driver); each slice is written by all executors in parallel."""
+def _slices(messages: DataFrame, n_slices: int) -> list[DataFrame]:
+    """Time slices in order.  Bounds are approximate quantiles of ``_t``
+    (``n_slices`` numbers on the driver)."""
     bounds = messages.approxQuantile("_t", [i / n_slices for i in range(1, n_slices)], 0.001)
     edges = [None] + sorted(set(bounds)) + [None]
+    out = []
     for lo, hi in zip(edges[:-1], edges[1:]):
         cond = F.lit(True)
         if lo is not None:
             cond = cond & (F.col("_t") > F.lit(lo))
         if hi is not None:
             cond = cond & (F.col("_t") <= F.lit(hi))
-        (messages.filter(cond).sortWithinPartitions("_t").drop("_t")
-         .write.mode("append").json(path))
+        out.append(messages.filter(cond).sortWithinPartitions("_t").drop("_t"))
+    return out
+
+
+def write_messages(messages: DataFrame, path: str, n_slices: int) -> str:
+    """Write messages as ``n_slices`` time slices, one append per slice in time
+    order; each slice is written by all executors in parallel."""
+    for part in _slices(messages, n_slices):
+        part.write.mode("append").json(path)
     return path
 
 
+def replay(messages: DataFrame, path: str, n_slices: int, job: Callable):
+    """Append one time slice, run ``job(path)`` to the end of its input, append
+    the next.  A slice is one micro-batch however many files it has, so the
+    watermark moves only after all of its rows.  Returns the job's last result."""
+    out = None
+    for part in _slices(messages, n_slices):
+        part.write.mode("append").json(path)
+        out = job(path)
+    return out
+
+
 # --- source side (S6, S7) ----------------------------------------------------
-def message_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(MESSAGE_SCHEMA)
-            .option("maxFilesPerTrigger", files_per_trigger).json(path))
+def message_stream(spark: SparkSession, path: str,
+                   files_per_trigger: int | None = None) -> DataFrame:
+    """``files_per_trigger`` must not split files of one time span between
+    micro-batches if a watermark follows: rows behind it are dropped as late."""
+    reader = spark.readStream.schema(MESSAGE_SCHEMA)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.json(path)
 
 
 _CORRUPT = "_corrupt_record"
@@ -228,10 +249,10 @@ def feature_job(spark: SparkSession, source: str, root: str, users: DataFrame,
         try:
             if batch.isEmpty():                       # F5
                 return
-            enriched = features.enrich(batch, users, items)
-            try:                                      # X4: fit once, reuse
+            enriched = features.enrich(batch, users, items).persist()
+            if _exists(spark, model_path + "/stages"):     # X4: fit once, reuse
                 model = PipelineModel.load(model_path)
-            except Exception:  # noqa: BLE001 - no saved model yet
+            else:
                 model = feature_pipeline(cols).fit(enriched)
                 model.write().overwrite().save(model_path)
             tr = model.transform(enriched)
@@ -243,6 +264,7 @@ def feature_job(spark: SparkSession, source: str, root: str, users: DataFrame,
             write_part(profiles.item_partials(batch, batch_id).drop("batch_id"),
                        out["item_partials"], batch_id)
             write_part(profiles.feature_stats(enriched, cols), out["batch_stats"], batch_id)
+            enriched.unpersist()
         finally:
             batch.unpersist()
 
@@ -253,6 +275,11 @@ def feature_job(spark: SparkSession, source: str, root: str, users: DataFrame,
     return out
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def session_job(spark: SparkSession, source: str, root: str, gap: str = "30 minutes",
                 watermark: str = "30 minutes", trigger=None) -> str:
     """Per-user inactivity sessions with a watermark, append mode:
