@@ -75,3 +75,26 @@ def test_unit_hash_matches_python_md5(spark):
     v = spark.range(1).select(unit_hash(F.lit("exp"), F.lit(7)).alias("u")).first()["u"]
     h = int(hashlib.md5(b"exp_7").hexdigest()[:8], 16) / 2 ** 32
     assert v == pytest.approx(h)
+
+
+def test_decision_without_data_or_spread(spark):
+    from pyspark.sql import functions as F
+    from rankforge.operators import abtest
+    rows = [("one_side", "control", float(i)) for i in range(9)]
+    rows += [("flat", v, 3.0) for v in ("control", "treatment") for _ in range(9)]
+    rows += [("step", "control", 1.0)] * 9 + [("step", "treatment", 2.0)] * 9
+    obs = spark.createDataFrame(rows, "experiment_id string, variant string, value double")
+    exps = spark.createDataFrame([(e, 0.05, 0.2) for e in ("one_side", "flat", "step")],
+                                 "experiment_id string, significance_level double, min_effect_size double")
+    sig = abtest.significance(abtest.variant_stats(obs), exps)
+    out = {r["experiment_id"]: r for r in abtest.decision(sig, exps).collect()}
+    assert out["one_side"]["recommendation"] == "Insufficient data for analysis"
+    assert out["flat"]["recommendation"].startswith("No significant difference")
+    assert out["flat"]["is_significant"] is False and out["one_side"]["is_significant"] is False
+    assert out["step"]["p_value"] == 0.0 and out["step"]["is_significant"] is True
+    assert out["one_side"]["effect_size"] is None
+    none = abtest.status(spark.createDataFrame([], "experiment_id string, control_size long, treatment_size long"),
+                         exps.withColumn("statistical_power", F.lit(0.8))
+                         .withColumn("started_at", F.current_timestamp())
+                         .withColumn("stopped_at", F.lit(None).cast("timestamp")), F.current_timestamp())
+    assert {r["interim_ready"] for r in none.collect()} == {False}

@@ -198,3 +198,27 @@ def test_blend_minmax_average_full_outer(spark):
            for r in blend(a, b, 3).orderBy("rank").collect()]
     # a scaled: 10->1, 11->0.5, 12->0; b scaled: 12->1, 13->0; mean with 0 for missing
     assert got == [(10, 0.5, 1), (12, 0.5, 2), (11, 0.25, 3)]
+
+
+def test_lists_reach_beyond_the_items_a_user_has_seen(spark):
+    train = spark.createDataFrame(
+        [(1, i) for i in range(250)] + [(u, i) for u in range(2, 5) for i in range(200)]
+        + [(9, i) for i in range(250, 260)], "user_id long, item_id long")
+    pool = ranking.popularity_pool(train)
+    users = spark.createDataFrame([(1,), (2,), (77,)], "user_id long")
+    rows = ranking.popularity_recs(users, train, pool, 5).collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: r["rank"]):
+        got.setdefault(r["user_id"], []).append(r["item_id"])
+    assert got == {1: [250, 251, 252, 253, 254], 2: [200, 201, 202, 203, 204], 77: [0, 1, 2, 3, 4]}
+    few = ranking.popularity_recs(users.filter("user_id = 1"), train, pool, 50)
+    assert sorted(r["item_id"] for r in few.collect()) == list(range(250, 260))
+
+
+def test_item_ranking_is_dense_and_ordered(spark):
+    scores = spark.range(1000).selectExpr("id AS item_id", "CAST(id % 7 AS DOUBLE) AS score")
+    rows = ranking.item_ranking(scores.repartition(8)).orderBy("prank").collect()
+    assert [r["prank"] for r in rows] == list(range(1, 1001))
+    assert [(r["score"], r["item_id"]) for r in rows] == sorted(
+        ((i % 7, i) for i in range(1000)), key=lambda x: (-x[0], x[1]))
+    assert ranking.item_ranking(scores.limit(0)).count() == 0

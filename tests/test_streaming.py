@@ -45,3 +45,12 @@ def test_dedup_suppresses_retries(spark, sf_small):
     out = spark.read.parquet(J.dedup_job(spark, src, base, trigger=NOW))
     assert out.count() == t.events.count()
     assert out.select("event_id").distinct().count() == out.count()
+
+
+def test_replay_loses_no_row_of_several_files(spark, sf_small, tmp_path):
+    t = Tables(spark, sf_small)
+    base = str(tmp_path)
+    msgs = J.event_messages(t.events, copies=2).repartition(4)
+    out = J.replay(msgs, base + "/src", 3, lambda src: J.dedup_job(
+        spark, src, base, trigger={"availableNow": True}))
+    assert spark.read.parquet(out).count() == t.events.count()
