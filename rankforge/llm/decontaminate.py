@@ -39,16 +39,22 @@ percent degrees degree kmh mph hz khz mhz w kw v volt volts watt watts joule jou
 PLAIN, NUMBER, UNIT, NAME, MEASURE = range(5)
 _NUMBER = re.compile(r"[+-]?[0-9][0-9.,/:]*%?")
 _MEASURE = re.compile(r"([+-]?[0-9][0-9.,]*)([A-Za-z]+)")
-_EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+_SOLID = re.compile(r"[^\W_]")
 _CACHE: dict[str, tuple] = {}
 _CACHE_WORDS = 300_000
 _SLOT = np.array([xxhash.xxh64_intdigest(b"slot %d" % k) for k in range(5)], np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _core(word: str) -> str:
+    """The word without outer punctuation, in linear time however long it is."""
+    first = _SOLID.search(word)
+    return word[first.start():len(word) - _SOLID.search(word[::-1]).start()] if first else ""
+
+
 def _word(word: str) -> tuple[int, int, bool, bool, bool, bool]:
     """(hash of the plain form, kind by its form, has a core, may be a name, is a unit, ends a sentence)."""
-    core = _EDGE.sub("", word)
+    core = _core(word)
     low = core.lower()
     h = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"))
     measure = _MEASURE.fullmatch(core)
@@ -127,7 +133,7 @@ def windows(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW,
                 slots = []
                 for t, p in zip(text.tolist(), pos.tolist()):
                     a = int(at[t]) + p
-                    slots.append([_EDGE.sub("", words[codes[j]]) for j in range(a, a + window)
+                    slots.append([_core(words[codes[j]]) for j in range(a, a + window)
                                   if kind[j] != PLAIN])
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(pa.array(text + start)), pa.array(pos.astype(np.int32)),

@@ -37,6 +37,12 @@ def test_matches(make_docs, bench):
     assert {2, 3, 4, 5, 6, 11} <= {r.doc_id for r in kept.collect()}
 
 
+def test_long_words_take_linear_time(make_docs, bench):
+    marks = "=" * 200_000 + "x"
+    assert d._core(marks) == "x" and d._core("_" * 9) == "" and d._core("(a-b).") == "a-b"
+    assert found(d.contaminated(make_docs([f"{marks} {ITEM} {marks[::-1]}"]), bench)) == {(0, 1, True)}
+
+
 def test_inconsistent_fillers_are_no_match(make_docs, bench):
     """Alice must become the same name in both sentences."""
     assert not [r for r in d.contaminated(make_docs([MIXED]), bench).collect() if r.similarity == 1.0]
