@@ -2,8 +2,8 @@
 
 Used only on small per-experiment results (one row per experiment), never in
 a hot path.  No scipy: the normal distribution comes from
-``statistics.NormalDist`` and the Student-t tail from the regularised
-incomplete beta function (Lentz continued fraction, a textbook method).
+``statistics.NormalDist`` and the Student-t tail from the continued fraction
+of the regularised incomplete beta function (DLMF 8.17).
 """
 
 from __future__ import annotations
@@ -27,30 +27,29 @@ def norm_ppf(p: float) -> float:
     return _N.inv_cdf(p)
 
 
-def _betacf(a: float, b: float, x: float, max_iter: int = 300, eps: float = 1e-15) -> float:
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, max_iter + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < eps:
+def _beta_fraction(a: float, b: float, x: float) -> float:
+    """The continued fraction 1 / (1 + d1 / (1 + d2 / ...)) of DLMF 8.17.22.
+
+    Evaluated from its last term; the number of terms, which grows with the
+    root of the parameters, is doubled until the value stands still.
+    """
+    def term(k: int) -> float:
+        m, odd = divmod(k, 2)
+        over = -(a + m) * (a + b + m) if odd else m * (b - m)
+        return over * x / ((a + k - 1) * (a + k))
+
+    def of(terms: int) -> float:
+        value = 1.0
+        for k in range(terms, 0, -1):
+            value = 1.0 + term(k) / value
+        return 1.0 / value
+
+    terms, now = 16, of(16)
+    while terms < 1 << 17:
+        terms, before, now = 2 * terms, now, of(2 * terms)
+        if abs(now - before) <= 1e-15 * abs(now):
             break
-    return h
+    return now
 
 
 def betainc(a: float, b: float, x: float) -> float:
@@ -63,8 +62,8 @@ def betainc(a: float, b: float, x: float) -> float:
         + b * math.log1p(-x)
     bt = math.exp(lbt)
     if x < (a + 1.0) / (a + b + 2.0):
-        return bt * _betacf(a, b, x) / a
-    return 1.0 - bt * _betacf(b, a, 1.0 - x) / b
+        return bt * _beta_fraction(a, b, x) / a
+    return 1.0 - bt * _beta_fraction(b, a, 1.0 - x) / b
 
 
 def t_two_sided_p(t: float, df: float) -> float:
