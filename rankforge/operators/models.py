@@ -1,9 +1,10 @@
 """Model operators (L1-L16): scaling, baselines, selection, promotion,
 mutual information, item neighbours, PCA, ALS and randomized SVD.
 
-Heavy linear algebra stays distributed: matrices are long tables
-``(row, col, value)`` multiplied by joins + grouped sums; only r x r
-matrices (r = rank + oversampling, about 20) reach the driver.
+Heavy linear algebra stays distributed: sparse matrices are long tables
+``(row, col, value)``, dense factors one array per key, multiplied by joins +
+grouped sums; only r x r matrices (r = rank + oversampling, about 20) reach
+the driver.
 """
 
 from __future__ import annotations
@@ -13,11 +14,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankforge.functions.columns import dbl, safe_div
 from rankforge.operators.ranking import top_k_per_group
+from rankforge.session import written
 
 # Neighbour model settings.
 KNN_MIN_INTERACTIONS = 5
@@ -149,20 +152,6 @@ def _block_product(pdf: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def item_cooccurrence(x: DataFrame, item_blocks: int, user_chunks: int) -> DataFrame:
-    """sum_u r_ui * r_uj for item pairs i < j, without per-user pair rows.
-
-    Each group (user chunk, item block a, item block b) computes one block
-    product X[c,a]^T X[c,b] in numpy and emits only non-zero item-pair sums;
-    partial sums of the user chunks are added by a grouped aggregation.  A
-    user's work in one group is bounded by (its items in a) x (its items in
-    b), so item blocks split a long history over many tasks.
-    """
-    return (_block_pairs(x, item_blocks, user_chunks).groupBy("c", "a", "b")
-            .applyInPandas(_block_product, "i long, j long, dot double")
-            .groupBy("i", "j").agg(F.sum("dot").alias("dot")))
-
-
 def _pair_products(left: pd.DataFrame, right: pd.DataFrame):
     """(left items, right items, dot matrix) of one block pair, sparse or dense."""
     li, linv = np.unique(left["item_id"].to_numpy(), return_inverse=True)
@@ -342,23 +331,136 @@ def als_fit(train: DataFrame, rank: int = 10, seed: int = 42, nonnegative: bool
     return als.fit(data)
 
 
+def als_factors(model) -> tuple[DataFrame, DataFrame]:
+    """(user_id, f) and (item_id, f) of a fitted ALS model."""
+    def table(df: DataFrame, key: str) -> DataFrame:
+        return df.select(F.col("id").cast("long").alias(key),
+                         F.col("features").cast("array<double>").alias("f"))
+    return table(model.userFactors, "user_id"), table(model.itemFactors, "item_id")
+
+
 def als_recommend(model, users: DataFrame, seen: DataFrame, n: int) -> DataFrame:
-    """Top-``n`` unseen items per user.
-
-    MLlib's blocked top-k returns the best ``n + s`` items, where ``s`` is
-    the largest number of items a requested user has seen (a scalar); after
-    the anti join at least ``n`` unseen items remain per user, so the result
-    is exact without a cap."""
-    u = users.select(F.col("user_id").cast("int")).distinct()
-    seen_u = seen.join(users.select("user_id").distinct(), "user_id", "left_semi")
-    s = seen_u.groupBy("user_id").agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0]
-    fetch = n + int(s or 0)
-    recs = model.recommendForUserSubset(u, fetch)
-    rows = recs.select("user_id", F.posexplode("recommendations").alias("pos", "r")).select(
-        F.col("user_id").cast("long"), F.col("r.item_id").cast("long").alias("item_id"),
-        F.col("r.rating").cast("double").alias("score"))
-    rows = rows.join(seen.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
-    return top_k_per_group(rows, ["user_id"], [F.col("score").desc(), F.col("item_id")], n)
+    """Top-``n`` unseen items per user of a fitted ALS model."""
+    return factor_top_n(*als_factors(model), users, seen, n)
+
+
+def _block_scores(user_f: DataFrame, item_f: DataFrame, users: DataFrame, seen: DataFrame, fn,
+                  schema: str, users_per_block: int, items_per_block: int) -> DataFrame:
+    """``fn(users, items, scores)`` over blocks of users by blocks of items.
+
+    Users and items are dealt to blocks by hash; one group holds one block of
+    each and the seen pairs between them, so its score matrix has a fixed size
+    bound, and a user (or item) with a long history is spread over all blocks
+    of the other side.  Seen cells are -inf.  Rows moved: users x item blocks
+    + items x user blocks + seen pairs.
+    """
+    u = user_f.join(users.select("user_id").distinct(), "user_id", "left_semi")
+    n_items, n_users = item_f.count(), u.count()
+    ub = max(1, math.ceil(n_users / users_per_block))
+    ib = max(1, math.ceil(n_items / items_per_block))
+    a = F.pmod(F.xxhash64("user_id"), F.lit(ub)).cast("int").alias("a")
+    b = F.pmod(F.xxhash64("item_id"), F.lit(ib)).cast("int").alias("b")
+    none = F.lit(None).cast("long")
+    all_a = F.explode(F.sequence(F.lit(0), F.lit(ub - 1))).alias("a")
+    all_b = F.explode(F.sequence(F.lit(0), F.lit(ib - 1))).alias("b")
+    cells = (seen.select("user_id", "item_id").distinct()
+             .join(u.select("user_id"), "user_id", "left_semi")
+             .select(a, b, "user_id", "item_id", F.lit(None).cast("array<double>").alias("f")))
+    rows = (u.select(a, all_b, "user_id", none.alias("item_id"), "f")
+            .unionByName(item_f.select(all_a, b, none.alias("user_id"), "item_id", "f"))
+            .unionByName(cells))
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        has_f = pdf["f"].notna()
+        left = pdf[has_f & pdf["user_id"].notna()].sort_values("user_id")
+        right = pdf[has_f & pdf["item_id"].notna()].sort_values("item_id")
+        uid, iid = left["user_id"].to_numpy(np.int64), right["item_id"].to_numpy(np.int64)
+        if not len(uid) or not len(iid):
+            return fn(uid, iid, np.zeros((len(uid), len(iid))))
+        scores = np.stack(left["f"].to_list()) @ np.stack(right["f"].to_list()).T
+        pairs = pdf[~has_f]
+        su, si = pairs["user_id"].to_numpy(np.int64), pairs["item_id"].to_numpy(np.int64)
+        known = np.isin(si, iid)             # seen items may have no factors
+        scores[np.searchsorted(uid, su[known]), np.searchsorted(iid, si[known])] = -np.inf
+        return fn(uid, iid, scores)
+
+    return rows.groupBy("a", "b").applyInPandas(score, schema)
+
+
+def factor_top_n(user_f: DataFrame, item_f: DataFrame, users: DataFrame, seen: DataFrame, n: int,
+                 users_per_block: int = 1024, items_per_block: int = 4096) -> DataFrame:
+    """Exact top-``n`` unseen items per user by factor dot products.
+
+    ``user_f`` (user_id, f) and ``item_f`` (item_id, f) hold arrays of equal
+    length.  Each block drops seen items itself and emits its ``n`` best per
+    user (and ties with the n-th), which one ranking per user merges.  Scores
+    are rounded to 9 digits, so equal ones tie (smaller item id first)
+    whatever the blocks.  Users without factors get no row.
+    """
+    def best(uid: np.ndarray, iid: np.ndarray, scores: np.ndarray) -> pd.DataFrame:
+        scores = np.round(scores, 9)
+        keep = scores > -np.inf
+        if 0 < n < scores.shape[1]:
+            keep &= scores >= np.partition(scores, -n, axis=1)[:, [-n]]
+        x, y = np.nonzero(keep)
+        return pd.DataFrame({"user_id": uid[x], "item_id": iid[y], "score": scores[x, y]})
+
+    rows = _block_scores(user_f, item_f, users, seen, best,
+                         "user_id long, item_id long, score double",
+                         users_per_block, items_per_block)
+    return top_k_per_group(rows, ["user_id"], [F.col("score").desc(), F.col("item_id")], n,
+                           salt_col="item_id")
+
+
+def factor_score_range(user_f: DataFrame, item_f: DataFrame, users: DataFrame, seen: DataFrame,
+                       users_per_block: int = 1024, items_per_block: int = 4096) -> DataFrame:
+    """(user_id, lo, hi): the range of a user's scores over all unseen items."""
+    def ends(uid: np.ndarray, iid: np.ndarray, scores: np.ndarray) -> pd.DataFrame:
+        if not scores.size:
+            return pd.DataFrame({"user_id": uid[:0], "lo": 0.0, "hi": 0.0})
+        hi = scores.max(axis=1)
+        some = hi > -np.inf
+        lo = np.where(scores > -np.inf, scores, np.inf).min(axis=1)
+        return pd.DataFrame({"user_id": uid[some], "lo": lo[some], "hi": hi[some]})
+
+    rows = _block_scores(user_f, item_f, users, seen, ends,
+                         "user_id long, lo double, hi double", users_per_block, items_per_block)
+    return rows.groupBy("user_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+
+def blended_top_n(first: tuple[DataFrame, DataFrame], second: tuple[DataFrame, DataFrame],
+                  users: DataFrame, seen: DataFrame, n: int) -> DataFrame:
+    """L10 over two factor models: each model's scores are min-max scaled per
+    user over all unseen items and averaged; exact top-``n``.
+
+    A scaled score is linear in the item's factors, so the blend is one dot
+    product of joined arrays: [w1 * u1, w2 * u2, offset] and [i1, i2, 1].  A
+    model that scores all items of a user alike adds 1 (as min-max does for a
+    single value); a model that lacks the user or the item adds 0.
+    """
+    def width(df: DataFrame) -> int:
+        row = df.select(F.size("f").alias("w")).first()
+        return row["w"] if row else 0
+
+    def scaled(model, k: int) -> DataFrame:
+        """Two arrays for each user: scaled factors, and the offset for items this model has."""
+        user_f, item_f = model
+        r = factor_score_range(user_f, item_f, users, seen)
+        gap = F.col("hi") - F.col("lo")
+        w = F.when(gap > 0, dbl(0.5) / gap).otherwise(dbl(0))
+        off = F.when(gap > 0, -F.col("lo") * w).otherwise(dbl(0.5))
+        return user_f.join(r, "user_id").select(
+            "user_id", F.concat(F.transform("f", lambda x: x * w), F.array(off)).alias(f"f{k}"))
+
+    def items_of(model, k: int) -> DataFrame:
+        return model[1].select("item_id", F.concat("f", F.array(dbl(1))).alias(f"f{k}"))
+
+    zeros = {k: F.array_repeat(dbl(0), width(m[0]) + 1) for k, m in ((1, first), (2, second))}
+    joined = F.concat(F.coalesce("f1", zeros[1]), F.coalesce("f2", zeros[2])).alias("f")
+    u = scaled(first, 1).join(scaled(second, 2), "user_id", "full_outer").select("user_id", joined)
+    i = items_of(first, 1).join(items_of(second, 2), "item_id", "full_outer").select(
+        "item_id", joined)
+    return factor_top_n(written(u, "blend-users"), written(i, "blend-items"), users, seen, n)
 
 
 # --- L7 -------------------------------------------------------------------------
@@ -371,38 +473,40 @@ def _gauss(item, j, seed: int):
     return F.sqrt(dbl(-2.0) * F.log(unif(1))) * F.cos(dbl(2 * math.pi) * unif(2))
 
 
-def _gram(m: DataFrame, key: str) -> np.ndarray:
-    """r x r Gram matrix sum_key m[key, a] m[key, b] of a long table."""
-    a = m.select(key, F.col("j").alias("a"), F.col("v").alias("va"))
-    b = m.select(key, F.col("j").alias("b"), F.col("v").alias("vb"))
-    g = a.join(b, key).groupBy("a", "b").agg(F.sum(F.col("va") * F.col("vb")).alias("g"))
-    rows = g.collect()                          # r*r values
-    r = 1 + max(max(x["a"], x["b"]) for x in rows)
-    out = np.zeros((r, r))
+def _gram(m: DataFrame, r: int) -> np.ndarray:
+    """Sum of the r x r outer products of all arrays ``f``: one partial matrix
+    per task, summed by position."""
+    def partial(batches):
+        total = np.zeros((r, r))
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy().reshape(-1, r)
+            total += x.T @ x
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(r * r, dtype=np.int32)), pa.array(total.ravel())], ["at", "g"])
+    rows = (m.select("f").mapInArrow(partial, "at int, g double")
+            .groupBy("at").agg(F.sum("g").alias("g")).collect())          # r*r values
+    out = np.zeros(r * r)
     for x in rows:
-        out[x["a"], x["b"]] = x["g"]
-    return out
-
-
-def _small(spark: SparkSession, mat: np.ndarray, a: str, b: str) -> DataFrame:
-    return spark.createDataFrame(
-        [(int(i), int(k), float(mat[i, k])) for i in range(mat.shape[0])
-         for k in range(mat.shape[1])], f"{a} int, {b} int, m double")
+        out[x["at"]] = x["g"]
+    return out.reshape(r, r)
 
 
-def _times_small(spark, m: DataFrame, key: str, mat: np.ndarray) -> DataFrame:
-    """Long (key, j, v) times a small r x c matrix -> (key, j, v)."""
-    sm = F.broadcast(_small(spark, mat, "j", "c"))
-    return (m.join(sm, "j").groupBy(key, "c").agg(F.sum(F.col("v") * F.col("m")).alias("v"))
-            .withColumnRenamed("c", "j"))
+def _times_small(f: Column, mat: np.ndarray) -> Column:
+    """Array column times a small r x c matrix."""
+    @F.arrow_udf("array<double>")
+    def times(rows: pa.Array) -> pa.Array:
+        x = rows.flatten().to_numpy().reshape(-1, mat.shape[0]) @ mat
+        ends = np.arange(len(x) + 1, dtype=np.int32) * mat.shape[1]
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(x.ravel()))
+    return times(f)
 
 
-def _orthonormal(spark, y: DataFrame, key: str) -> DataFrame:
+def _orthonormal(y: DataFrame, r: int) -> DataFrame:
     """Cholesky-QR: Q = Y R^-1 with R^T R = Y^T Y (r x r on the driver)."""
-    g = _gram(y, key)
-    g = g + np.eye(len(g)) * 1e-10 * max(1.0, np.trace(g))
+    g = _gram(y, r)
+    g = g + np.eye(r) * 1e-10 * max(1.0, np.trace(g))
     chol = np.linalg.cholesky(g)            # g = L L^T, R = L^T
-    return _times_small(spark, y, key, np.linalg.inv(chol.T))
+    return y.withColumn("f", _times_small(F.col("f"), np.linalg.inv(chol.T)))
 
 
 def randomized_svd(spark: SparkSession, a: DataFrame, k: int = 10, oversample: int = 10,
@@ -410,72 +514,34 @@ def randomized_svd(spark: SparkSession, a: DataFrame, k: int = 10, oversample: i
     """Truncated SVD of the zero-filled user x item matrix.
 
     ``a``: (user_id, item_id, v).  Randomized range finder with ``n_iter``
-    power iterations; each product is a join + grouped sum over the sparse
-    entries; lineage is cut with ``checkpoint`` between iterations.
-    Returns (user factors U*S as (user_id, j, v), item factors V as
-    (item_id, j, v), singular values).
+    power iterations.  A dense factor is one row per key with an array ``f``
+    of r = k + oversample values, so a product joins each sparse entry with
+    one row and adds r sums, combined before the shuffle.  ``checkpoint``
+    writes each product to the shared folder (it is read twice: for its Gram
+    matrix and for the next step).  Returns user factors U*S (user_id, f),
+    item factors V (item_id, f) and the singular values.
     """
     r = k + oversample
-    items = a.select("item_id").distinct()
-    omega = items.select("item_id", F.explode(F.sequence(F.lit(0), F.lit(r - 1))).alias("j")) \
-        .withColumn("w", _gauss(F.col("item_id"), F.col("j"), seed))
+    omega = a.select("item_id").distinct().select(
+        "item_id", F.transform(F.sequence(F.lit(0), F.lit(r - 1)),
+                               lambda j: _gauss(F.col("item_id"), j, seed)).alias("f"))
 
-    def a_times(m_item):                    # A (users x items) @ M (items x r)
-        return a.join(m_item, "item_id").groupBy("user_id", "j").agg(
-            F.sum(F.col("v") * F.col("w")).alias("v"))
+    def product(m: DataFrame, key: str, out: str) -> DataFrame:
+        sums = [F.sum(F.col("v") * F.col("f")[j]).alias(f"s{j}") for j in range(r)]
+        p = a.join(m, key).groupBy(out).agg(*sums).select(
+            out, F.array(*[f"s{j}" for j in range(r)]).alias("f"))
+        return written(p, "svd") if checkpoint else p
 
-    def at_times(m_user):                   # A^T @ M (users x r)
-        mu = m_user.withColumnRenamed("v", "q")
-        return a.join(mu, "user_id").groupBy("item_id", "j").agg(
-            F.sum(F.col("v") * F.col("q")).alias("v"))
-
-    def cut(m: DataFrame) -> DataFrame:
-        # Each product is read twice (Gram matrix, then the r x r multiply):
-        # write it once so the join with A is not recomputed; also cuts lineage.
-        return m.checkpoint(eager=True) if checkpoint else m
-
-    y = _orthonormal(spark, cut(a_times(omega)), "user_id")
+    y = _orthonormal(product(omega, "item_id", "user_id"), r)
     for _ in range(n_iter):
-        z = _orthonormal(spark, cut(at_times(cut(y))), "item_id")
-        y = _orthonormal(spark, cut(a_times(z.withColumnRenamed("v", "w"))), "user_id")
-    y = cut(y)
-    b = cut(at_times(y))                     # B^T: items x r  (B = Q^T A)
-    bbt = _gram(b, "item_id")                # B B^T, r x r
-    vals, vecs = np.linalg.eigh(bbt)
+        z = _orthonormal(product(y, "user_id", "item_id"), r)
+        y = _orthonormal(product(z, "item_id", "user_id"), r)
+    b = product(y, "user_id", "item_id")     # B^T: items x r  (B = Q^T A)
+    vals, vecs = np.linalg.eigh(_gram(b, r))
     order = np.argsort(vals)[::-1][:k]
     s = np.sqrt(np.clip(vals[order], 0, None))
     ub = vecs[:, order]                      # r x k
-    user_f = _times_small(spark, y, "user_id", ub * s)            # Q U_B S
+    user_f = y.withColumn("f", _times_small(F.col("f"), ub * s))           # Q U_B S
     inv_s = np.where(s > 0, 1.0 / np.where(s > 0, s, 1.0), 0.0)
-    item_f = _times_small(spark, b, "item_id", ub * inv_s)       # B^T U_B S^-1
+    item_f = b.withColumn("f", _times_small(F.col("f"), ub * inv_s))       # B^T U_B S^-1
     return user_f, item_f, s.tolist()
-
-
-def factor_model(spark: SparkSession, user_f: DataFrame, item_f: DataFrame, rank: int,
-                 path: str):
-    """Wrap externally computed factors (long (id, j, v) tables) as an MLlib
-    ``ALSModel`` by writing its persisted layout (JSON metadata +
-    ``userFactors``/``itemFactors`` parquet), so scoring and top-k use
-    MLlib's blocked routine instead of a hand-written cross product.
-    Ids must fit in int, as for ALS."""
-    import json
-    import time as _t
-    from pyspark.ml.recommendation import ALSModel
-
-    def to_arrays(m: DataFrame, key: str) -> DataFrame:
-        return (m.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("j", "v"))).alias("a"))
-                .select(F.col(key).cast("int").alias("id"),
-                        F.transform("a", lambda e: e["v"].cast("float")).alias("features")))
-    meta = {"class": "org.apache.spark.ml.recommendation.ALSModel",
-            "timestamp": int(_t.time() * 1000), "sparkVersion": spark.version,
-            "uid": "ALS_factors", "paramMap": {"userCol": "user_id", "itemCol": "item_id",
-                                               "coldStartStrategy": "drop"},
-            "defaultParamMap": {"blockSize": 4096, "coldStartStrategy": "nan",
-                                "itemCol": "item", "predictionCol": "prediction",
-                                "userCol": "user"},
-            "rank": rank}
-    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(f"{path}/metadata")
-    to_arrays(user_f, "user_id").write.mode("overwrite").parquet(f"{path}/userFactors")
-    to_arrays(item_f, "item_id").write.mode("overwrite").parquet(f"{path}/itemFactors")
-    return ALSModel.load(path)

@@ -9,7 +9,7 @@ from rankforge.operators import metrics as M
 from rankforge.plans import sql_prelude as P
 from rankforge.plans.canonical import TOP_N, Canonical
 from rankforge.plans.registry import register
-from rankforge.session import checkpoint_dir
+from rankforge.session import written
 from rankforge.sources.tables import Tables, interactions, items, users
 from rankforge.streaming.jobs import derive, feature_columns
 
@@ -184,9 +184,7 @@ def als_eval(spark, root):
     c = Canonical(spark, root)
     model = MD.als_fit(c.train)
     # Four metric branches read the lists: score all items once, then reuse.
-    checkpoint_dir(spark)
-    recs = MD.als_recommend(model, c.truth.select("user_id"), c.seen, TOP_N) \
-        .checkpoint(eager=True)
+    recs = written(MD.als_recommend(model, c.truth.select("user_id"), c.seen, TOP_N), "als-lists")
     test = c.test.select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating")
     pred = model.transform(test).select(F.col("user_id").cast("long"),
                                         F.col("item_id").cast("long"), "rating",
@@ -199,41 +197,30 @@ def als_eval(spark, root):
 def svd_factors(spark, root):
     """Truncated SVD (10 components, seed 42) of the zero-filled train
     matrix by a distributed randomized range finder; user factors U*S."""
-    checkpoint_dir(spark)
     c = Canonical(spark, root)
     a = c.train.select("user_id", "item_id", F.col("rating").alias("v"))
     user_f, _, _ = MD.randomized_svd(spark, a, k=10, seed=42)
-    return user_f.select("user_id", F.col("j").alias("component"), F.col("v").alias("value"))
+    return user_f.select("user_id", F.posexplode("f").alias("component", "value"))
 
 
 @register("svd_recs", ops="L7,L9")
 def svd_recs(spark, root):
     """L9 for "svd": top-20 unseen items per truth user scored by the
-    truncated SVD reconstruction (U S) V^T, via MLlib's blocked top-k."""
-    from rankforge.session import scratch_path
-    checkpoint_dir(spark)
+    truncated SVD reconstruction (U S) V^T, block by block."""
     c = Canonical(spark, root)
     a = c.train.select("user_id", "item_id", F.col("rating").alias("v"))
     user_f, item_f, _ = MD.randomized_svd(spark, a, k=10, seed=42)
-    model = MD.factor_model(spark, user_f, item_f, 10, scratch_path(spark, "svd_model"))
-    return MD.als_recommend(model, c.truth.select("user_id"), c.seen, TOP_N)
+    return MD.factor_top_n(user_f, item_f, c.truth.select("user_id"), c.seen, TOP_N)
 
 
 @register("hybrid_models", ops="L10,L8,L7")
 def hybrid_models(spark, root):
-    """L10 over the factor models: blend of the ALS (non-negative) and SVD
-    top-20 lists per truth user, min-max scaled per user and averaged;
-    top-10.  Rows-only (model outputs)."""
-    from rankforge.plans.q_metrics import blend
-    from rankforge.session import scratch_path
-    checkpoint_dir(spark)
+    """L10 over the factor models: scores of ALS (non-negative) and SVD, each
+    min-max scaled per truth user over all unseen items, averaged; top-10.
+    Rows-only (model outputs)."""
     c = Canonical(spark, root)
-    users_ = c.truth.select("user_id")
-    als = MD.als_recommend(MD.als_fit(c.train), users_, c.seen, TOP_N)
     a = c.train.select("user_id", "item_id", F.col("rating").alias("v"))
-    uf, itf, _ = MD.randomized_svd(spark, a, k=10, seed=42)
-    svd = MD.als_recommend(MD.factor_model(spark, uf, itf, 10, scratch_path(spark, "svd_model")),
-                           users_, c.seen, TOP_N)
-    return blend(als.select("user_id", "item_id", "score"),
-                 svd.select("user_id", "item_id", "score"), 10).select(
-        "user_id", "item_id", "score", "rank")
+    user_f, item_f, _ = MD.randomized_svd(spark, a, k=10, seed=42)
+    return MD.blended_top_n(MD.als_factors(MD.als_fit(c.train)),
+                            (written(user_f, "svd-users"), written(item_f, "svd-items")),
+                            c.truth.select("user_id"), c.seen, 10)

@@ -136,18 +136,68 @@ def test_promotion_rules(spark):
     assert got == {1: "archived", 2: "staging", 3: "production", 4: "staging"}
 
 
-def test_factor_model_scores_are_dot_products(spark, tmp_path):
-    uf = spark.createDataFrame([(1, 0, 1.0), (1, 1, 2.0), (2, 0, 0.5), (2, 1, 0.0)],
-                               "user_id long, j int, v double")
-    itf = spark.createDataFrame([(10, 0, 1.0), (10, 1, 1.0), (11, 0, 3.0), (11, 1, -1.0)],
-                                "item_id long, j int, v double")
-    m = models.factor_model(spark, uf, itf, 2, str(tmp_path / "fm"))
-    pairs = spark.createDataFrame([(1, 10), (1, 11), (2, 11)], "user_id int, item_id int")
-    got = {(r["user_id"], r["item_id"]): r["prediction"] for r in m.transform(pairs).collect()}
-    assert got == {(1, 10): 3.0, (1, 11): 1.0, (2, 11): 1.5}
-    seen = spark.createDataFrame([(1, 10)], "user_id long, item_id long")
-    recs = models.als_recommend(m, spark.createDataFrame([(1,)], "user_id long"), seen, 1)
+def test_factor_scores_are_dot_products(spark):
+    uf = spark.createDataFrame([(1, [1.0, 2.0]), (2, [0.5, 0.0])], "user_id long, f array<double>")
+    itf = spark.createDataFrame([(10, [1.0, 1.0]), (11, [3.0, -1.0])], "item_id long, f array<double>")
+    users = spark.createDataFrame([(1,), (2,), (2,), (9,)], "user_id long")
+    none = spark.createDataFrame([], "user_id long, item_id long")
+    got = {(r["user_id"], r["item_id"]): r["score"]
+           for r in models.factor_top_n(uf, itf, users, none, 2).collect()}
+    assert got == {(1, 10): 3.0, (1, 11): 1.0, (2, 10): 0.5, (2, 11): 1.5}
+    seen = spark.createDataFrame([(1, 10), (1, 10), (1, 77)], "user_id long, item_id long")
+    recs = models.factor_top_n(uf, itf, users.filter("user_id = 1"), seen, 1)
     assert [(r["item_id"], r["rank"]) for r in recs.collect()] == [(11, 1)]
+    assert models.factor_top_n(uf, itf.limit(0), users, seen, 1).count() == 0
+    assert models.factor_top_n(uf.limit(0), itf, users, seen, 1).count() == 0
+
+
+def _factor_case(spark):
+    """30 users by 70 items with tied scores, one user who saw nearly all, one who saw all."""
+    rng = np.random.default_rng(8)
+    u = rng.integers(-2, 3, (30, 4)).astype(float)
+    i = rng.integers(-2, 3, (70, 4)).astype(float)
+    seen = {(int(x), int(y)) for x, y in zip(rng.integers(0, 30, 200), rng.integers(0, 70, 200))}
+    seen |= {(0, y) for y in range(68)} | {(1, y) for y in range(70)}
+    uf = spark.createDataFrame([(x, v.tolist()) for x, v in enumerate(u)], "user_id long, f array<double>")
+    itf = spark.createDataFrame([(x, v.tolist()) for x, v in enumerate(i)], "item_id long, f array<double>")
+    return u, i, seen, uf, itf, spark.createDataFrame(sorted(seen), "user_id long, item_id long")
+
+
+def test_factor_top_n_matches_brute_force(spark):
+    u, i, seen, uf, itf, sdf = _factor_case(spark)
+    want = []
+    for x in range(30):
+        rest = sorted((-float(u[x] @ i[y]), y) for y in range(70) if (x, y) not in seen)
+        want += [(x, y, -s, k + 1) for k, (s, y) in enumerate(rest[:5])]
+    for blocks in ((7, 9), (1024, 4096)):
+        recs = models.factor_top_n(uf, itf, uf.select("user_id"), sdf, 5, *blocks)
+        assert sorted((r["user_id"], r["item_id"], r["score"], r["rank"])
+                      for r in recs.collect()) == sorted(want)
+
+
+def test_blended_top_n_matches_brute_force(spark):
+    u, i, seen, uf, itf, sdf = _factor_case(spark)
+    i2 = np.random.default_rng(4).normal(size=(70, 3))
+    u2 = np.random.default_rng(5).normal(size=(30, 3))
+    u2[3] = 0.0                                                  # all of this user's scores are equal
+    uf2 = spark.createDataFrame([(x, v.tolist()) for x, v in enumerate(u2)], "user_id long, f array<double>")
+    itf2 = spark.createDataFrame([(x, i2[x].tolist()) for x in range(60)],     # lacks ten items
+                                 "item_id long, f array<double>")
+    got = {}
+    for r in models.blended_top_n((uf, itf), (uf2, itf2), uf.select("user_id"), sdf, 6).collect():
+        got.setdefault(r["user_id"], []).append((r["rank"], r["item_id"], r["score"]))
+    for x in range(30):
+        rest = [y for y in range(70) if (x, y) not in seen]
+        total = dict.fromkeys(rest, 0.0)
+        for a, b, n in ((u, i, 70), (u2, i2, 60)):
+            own = {y: float(a[x] @ b[y]) for y in rest if y < n}
+            lo, hi = min(own.values(), default=0), max(own.values(), default=0)
+            for y, s in own.items():
+                total[y] += 0.5 * ((s - lo) / (hi - lo) if hi > lo else 1.0)
+        best = sorted(rest, key=lambda y: (-round(total[y], 9), y))[:6]
+        mine = sorted(got.get(x, []))
+        assert [y for _, y, _ in mine] == best
+        assert [s for _, _, s in mine] == pytest.approx([total[y] for y in best], abs=1e-8)
 
 
 def test_running_sums_and_gap_sessions_equal_plain_windows(spark):
