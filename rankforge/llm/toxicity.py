@@ -31,7 +31,7 @@ _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 _CACHE: dict[str, tuple[int, ...]] = {}
 _CACHE_WORDS = 200_000
 #: Smaller steps for the driver's memory.
-_FIT_BYTES = 1 << 20
+_FIT_BYTES = 1 << 18
 _LEAD = 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -105,13 +105,14 @@ class Ftrl:
         return np.bincount(where, gain, len(texts)) + self.bias
 
 
-def fit(texts: list[str], labels: np.ndarray, bits: int = BITS, alpha: float = 0.3,
+def fit(texts: list[str] | pa.Array, labels: np.ndarray, bits: int = BITS, alpha: float = 0.3,
         beta: float = 1.0, l1: float = 6.0, l2: float = 1.0, epochs: int = 6,
         min_texts: int = 4, seed: int = 7) -> Ftrl:
     """FTRL-proximal over the texts, shuffled anew in every epoch.  Places that
     fewer than ``min_texts`` texts have take no part.  Without texts all
     scores are 0.5."""
-    texts = pa.array(texts, pa.string())
+    if not isinstance(texts, pa.Array):
+        texts = pa.array(texts, pa.string())
     seen = np.zeros(1 << bits, np.uint8)
     for _, part in steps(texts, _FIT_BYTES):
         place, count = np.unique(features(*occurrences(part, bits), bits)[1], return_counts=True)
@@ -127,6 +128,7 @@ def fit(texts: list[str], labels: np.ndarray, bits: int = BITS, alpha: float = 0
         cut = np.searchsorted(where, np.arange(len(part) + 1))
         rows += [(np.append(place[a:b], size).astype(np.int32),
                   np.append(value[a:b], 1.0).astype(np.float32)) for a, b in zip(cut, cut[1:])]
+    _CACHE.clear()                                         # the driver scores nothing
 
     def weight(i):
         zi = z[i]
@@ -152,7 +154,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     """Fit on at most ``sample`` labelled rows outside the held-out fold."""
     rows = labelled_sample(docs, labels, label, fold_of(id_col, folds) != held, sample, id_col,
                            text_col)
-    return fit(rows["text"].tolist(), rows["label"].to_numpy(float))
+    texts, known = pa.array(rows["text"], pa.string()), rows["label"].to_numpy(float)
+    del rows                                               # one copy of the texts is enough
+    return fit(texts, known)
 
 
 def score_column(spark: SparkSession, model: Ftrl, text: Column) -> Column:
