@@ -26,7 +26,6 @@ DEFAULTS = {
 }
 Z_95 = 1.959963984540054     # two-sided 95 % normal quantile used for the CI
 INTERIM_MIN_PER_SIDE = 10
-VALUE_BUCKETS = 1024
 
 CONTROL, TREATMENT = "control", "treatment"
 
@@ -88,20 +87,14 @@ def mann_whitney(observations: DataFrame) -> DataFrame:
     Values are first counted per (experiment, value) -- combined map-side --
     so the rank window runs over distinct values, not over raw rows.
     """
-    from rankforge.operators.features import running_sum_in_buckets
+    from rankforge.operators.features import running_sum_in_buckets, with_value_bucket
     is_t = F.col("variant") == TREATMENT
-    c = observations.groupBy("experiment_id", "value").agg(
+    c = observations.filter(F.col("value").isNotNull()).groupBy("experiment_id", "value").agg(
         F.count(F.lit(1)).alias("cnt"),
         F.sum(F.when(is_t, 1).otherwise(0)).alias("cnt_t"))
-    # Rows before each distinct value: running sum in value buckets (monotone
-    # in value; bounds are lazy scalar subqueries), so one experiment with a
-    # huge share of the rows is not ranked in a single task.
-    bounds = c.agg(F.struct(F.min("value").alias("lo"),
-                            ((F.max("value") - F.min("value")) / dbl(VALUE_BUCKETS))
-                            .alias("w"))).scalar()
-    lo, width = bounds["lo"], bounds["w"]
-    c = c.withColumn("_vb", F.when(width > 0, F.floor((F.col("value") - lo) / width))
-                     .otherwise(F.lit(0)))
+    # Rows before each distinct value: running sum in value buckets, so one
+    # experiment with a huge share of the rows is not ranked in a single task.
+    c = with_value_bucket(c, ["experiment_id"], "value", "_vb")
     c = running_sum_in_buckets(c, ["experiment_id"], ["value"], ["cnt"], "_vb", ["before"],
                                inclusive=False)
     c = c.withColumn("avg_rank", F.col("before") + (F.col("cnt") + dbl(1.0)) / dbl(2.0))
@@ -205,3 +198,24 @@ def stop(experiments: DataFrame, experiment_id: str, at) -> DataFrame:
     return experiments.withColumn(
         "stopped_at", F.when(hit & F.col("stopped_at").isNull(), at)
         .otherwise(F.col("stopped_at")))
+
+
+def final_analysis(experiments: DataFrame, observations: DataFrame) -> DataFrame:
+    """Stopped experiments with the analysis of their rows up to the stop.
+
+    ``observations`` has a ``ts``.  Days run are whole days from start to stop;
+    ``overdue`` says whether they exceed ``max_duration_days``.  A stopped
+    experiment without rows has sizes 0 and insufficient data.
+    """
+    done = experiments.filter(F.col("stopped_at").isNotNull())
+    rows = observations.join(done.select("experiment_id", "stopped_at"), "experiment_id") \
+        .filter(F.col("ts") <= F.col("stopped_at"))
+    stats = done.select("experiment_id").join(variant_stats(rows), "experiment_id", "left") \
+        .na.fill(0, ["control_size", "treatment_size"])
+    found = decision(significance(stats, experiments), experiments)
+    days = F.floor((F.unix_micros(F.col("stopped_at").cast("timestamp"))
+                    - F.unix_micros(F.col("started_at").cast("timestamp")))
+                   / F.lit(86400000000)).cast("long")
+    return found.drop("min_effect_size", "significance_level").join(done.select(
+        "experiment_id", "stopped_at", days.alias("days_run"),
+        (days > F.col("max_duration_days")).alias("overdue")), "experiment_id")

@@ -160,6 +160,18 @@ def running_sum_in_buckets(df: DataFrame, key_cols: Sequence[str], order_cols: S
     return b
 
 
+def with_value_bucket(df: DataFrame, key_cols: Sequence[str], value_col: str, bucket_col: str,
+                      buckets: int = 256) -> DataFrame:
+    """``df`` with a bucket number that grows with the value: buckets of about
+    equal numbers of rows within each key (approximate quantiles, one small
+    row a key), so that an outlier does not fill one bucket with all others."""
+    at = F.array(*[dbl(i / buckets) for i in range(1, buckets)])
+    bounds = df.groupBy(*key_cols).agg(F.array_distinct(F.percentile_approx(
+        value_col, at, 10 * buckets)).alias("_bounds"))
+    below = F.filter("_bounds", lambda b: b < F.col(value_col))
+    return df.join(bounds, list(key_cols)).withColumn(bucket_col, F.size(below)).drop("_bounds")
+
+
 def recency(df: DataFrame, user_col: str = "user_id", tie_cols: Sequence[str] = (),
             bucket_seconds: float = 86400.0 * 30) -> DataFrame:
     """Seconds since the user's previous interaction (NULL for the first),

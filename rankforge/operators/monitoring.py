@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.functions.columns import dbl, epoch_seconds, safe_div
+from rankforge.operators.features import running_sum_in_buckets, with_value_bucket
 from rankforge.operators.ranking import top_k_per_group
 
 # Quality targets, percentiles, thresholds and buckets.
@@ -85,23 +86,54 @@ def trend(history: DataFrame, window_size: int = 10) -> DataFrame:
     return g.withColumn("trend", label)
 
 
+def exact_percentiles(df: DataFrame, value_col: str, percents: Sequence[float],
+                      key_cols: Sequence[str]) -> DataFrame:
+    """Exact percentiles (linear interpolation) per key as columns ``p50``, ...
+
+    Rows are counted per value, running counts come from value buckets, and a
+    percentile is the first value whose running count passes its position, so
+    no task holds the values of a whole key.  Nulls are left out.
+    """
+    keys = list(key_cols)
+    c = df.filter(F.col(value_col).isNotNull()).groupBy(*keys, F.col(value_col).alias("_v")) \
+        .agg(F.count(F.lit(1)).alias("_cnt"))
+    n = c.groupBy(*keys).agg(F.sum("_cnt").alias("_n"))
+    c = running_sum_in_buckets(with_value_bucket(c, keys, "_v", "_vb"), keys, ["_v"], ["_cnt"],
+                               "_vb", ["_upto"]).join(n, keys)
+    aggs = []
+    for p in percents:
+        pos = dbl(p) * (F.col("_n") - F.lit(1))
+        low = F.min(F.when(F.col("_upto") > F.floor(pos), F.col("_v")))
+        high = F.min(F.when(F.col("_upto") > F.ceil(pos), F.col("_v")))
+        aggs.append((low + (high - low) * F.max(pos - F.floor(pos)))
+                    .alias(f"p{int(round(p * 100))}"))
+    return c.groupBy(*keys).agg(*aggs)
+
+
 def request_summary(req: DataFrame, exact: bool = True,
                     group_cols: Sequence[str] = ()) -> DataFrame:
     """Q4: latency percentiles, min/max/mean, slow requests, success rate,
     request rate (requests per second over the observed span)."""
     lat = F.col("latency_ms")
-    pct = (lambda p: F.percentile(lat, p)) if exact else \
-        (lambda p: F.percentile_approx(lat, p, 10000).cast("double"))
+    names = [f"p{int(round(p * 100))}" for p in PERCENTILES]
     aggs = [F.count(F.lit(1)).alias("n_requests")]
-    aggs += [pct(p).alias(f"p{int(round(p * 100))}") for p in PERCENTILES]
+    if not exact:
+        aggs += [F.percentile_approx(lat, p, 10000).cast("double").alias(c)
+                 for p, c in zip(PERCENTILES, names)]
     aggs += [F.min(lat).alias("min_ms"), F.max(lat).alias("max_ms"), F.avg(lat).alias("mean_ms"),
              F.sum(F.when(lat > dbl(SLOW_MS), 1).otherwise(0)).cast("long").alias("slow_requests"),
              F.avg(F.when(F.col("status") < 400, dbl(1.0)).otherwise(dbl(0.0)))
              .alias("success_rate"),
              F.min("ts").alias("_t0"), F.max("ts").alias("_t1")]
-    g = req.groupBy(*group_cols).agg(*aggs)
+    req = req.withColumn("_all", F.lit(1))                 # one key where no other is given
+    keys = list(group_cols) or ["_all"]
+    g = req.groupBy(*keys).agg(*aggs)
+    if exact:
+        g = g.join(exact_percentiles(req, "latency_ms", PERCENTILES, keys), keys, "left")
     span = epoch_seconds("_t1") - epoch_seconds("_t0")
-    return g.withColumn("request_rate", safe_div(F.col("n_requests"), span)).drop("_t0", "_t1")
+    return g.select(*group_cols, "n_requests", *names, "min_ms", "max_ms", "mean_ms",
+                    "slow_requests", "success_rate",
+                    safe_div(F.col("n_requests"), span).alias("request_rate"))
 
 
 def windowed(req: DataFrame, minutes: int = 5) -> DataFrame:

@@ -207,6 +207,25 @@ def ab_list(spark, root):
     return AB.listing(exps)
 
 
+@register("ab_stop", ops="B14,B12", doubles=("diff", "effect_size", "t_stat"),
+          sql=EXP_SQL.replace("FROM events e JOIN exps x ON e.event_type = x.event_type)", """
+  FROM events e JOIN exps x ON e.event_type = x.event_type
+  WHERE e.ts <= x.started_at + INTERVAL 10 DAY)""") + """
+SELECT experiment_id, control_size, treatment_size, diff, effect_size,
+       CASE WHEN std_error > 0 THEN diff / std_error END AS t_stat,
+       CAST(10 AS BIGINT) AS days_run, false AS overdue
+FROM st3""")
+def ab_stop(spark, root):
+    """Every experiment stopped ten days after its start, with the final
+    analysis of its rows up to then (p-value and text: ``ab_decision``)."""
+    e, exps, obs = _setup(spark, root)
+    exps = exps.withColumn("stopped_at", F.col("started_at") + F.expr("INTERVAL 10 DAYS"))
+    obs = obs.join(e.select("event_id", "ts"), "event_id")
+    return AB.final_analysis(exps, obs).select(
+        "experiment_id", "control_size", "treatment_size", "diff", "effect_size", "t_stat",
+        "days_run", "overdue")
+
+
 @register("ab_sample_size", ops="B1", doubles=("power",), sql=EXP_SQL + """
 SELECT x.experiment_id, p.power, s.two_sided,
   CAST(ceil(2.0 * pow(((CASE WHEN s.two_sided THEN 1.9599639845400536 ELSE 1.6448536269514715 END)

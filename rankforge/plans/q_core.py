@@ -314,6 +314,68 @@ def validate(spark, root):
     return v.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("validate_rejects", ops="F1", sql=P.INTERACTIONS_ONLY + """,
+bent AS (SELECT CASE WHEN l_linenumber = 2 THEN NULL ELSE user_id END AS user_id,
+                CASE WHEN l_linenumber = 3 THEN NULL ELSE item_id END AS item_id,
+                CASE WHEN l_linenumber = 4 THEN NULL
+                     WHEN l_linenumber = 5 THEN rating + 5 ELSE rating END AS rating,
+                CASE WHEN l_linenumber = 6 THEN 'other' ELSE interaction_type END
+                  AS interaction_type
+         FROM inter)
+SELECT CASE WHEN user_id IS NULL THEN 'missing_user'
+            WHEN item_id IS NULL THEN 'missing_item'
+            WHEN rating IS NULL THEN 'missing_rating'
+            WHEN rating < 0 OR rating > 5 THEN 'rating_out_of_range'
+            WHEN interaction_type = 'other' THEN 'unknown_type' END AS reject_reason,
+       count(*) AS n
+FROM bent GROUP BY 1""")
+def validate_rejects(spark, root):
+    """F1 on rows that are spoilt by line number, so that every reason occurs."""
+    line = F.col("l_linenumber")
+    i = interactions(Tables(spark, root), with_keys=True)
+    i = i.withColumn("user_id", F.when(line != 2, F.col("user_id"))) \
+        .withColumn("item_id", F.when(line != 3, F.col("item_id"))) \
+        .withColumn("rating", F.when(line == 5, F.col("rating") + 5).when(line != 4, F.col("rating"))) \
+        .withColumn("interaction_type", F.when(line == 6, "other")
+                    .otherwise(F.col("interaction_type")))
+    return features.validate(i).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("dead_letter_rejects", ops="F3", sql="""
+SELECT event_id, left(props, length(props) - 1) AS props FROM events WHERE event_type = 'error'""")
+def dead_letter_rejects(spark, root):
+    """F3 on payloads of error events that lost their last character."""
+    e = Tables(spark, root).events
+    cut = F.expr("left(props, length(props) - 1)")
+    _, bad = ev.decode_props(e.withColumn("props", F.when(F.col("event_type") == "error", cut)
+                                          .otherwise(F.col("props"))))
+    return bad.select("event_id", "props")
+
+
+@register("type_counts_events", ops="W8", sql="""
+SELECT user_id, CAST(count(*) FILTER (WHERE event_type = 'click') AS BIGINT) AS click_count,
+  CAST(count(*) FILTER (WHERE event_type = 'view') AS BIGINT) AS view_count,
+  CAST(count(*) FILTER (WHERE event_type = 'purchase') AS BIGINT) AS purchase_count
+FROM events GROUP BY user_id""")
+def type_counts_events(spark, root):
+    e = Tables(spark, root).events.withColumnRenamed("event_type", "interaction_type")
+    return profiles.type_counts(e, ["click", "view", "purchase"])
+
+
+@register("orphan_rows_filtered", ops="F4", sql="""
+SELECT e.user_id AS id, count(*) AS n FROM events e
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id
+                                             AND c.c_mktsegment <> 'BUILDING')
+GROUP BY e.user_id""")
+def orphan_rows_filtered(spark, root):
+    """F4 against the customers outside one market segment."""
+    t = Tables(spark, root)
+    cust = t.customer.filter(F.col("c_mktsegment") != "BUILDING") \
+        .select(F.col("c_custkey").alias("id"))
+    return t.events.select(F.col("user_id").alias("id")).join(cust, "id", "left_anti") \
+        .groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("orphan_rows", ops="F4", sql="""
 SELECT 'event_user' AS kind, e.user_id AS id, count(*) AS n FROM events e
 WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id) GROUP BY e.user_id

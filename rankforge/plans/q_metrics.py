@@ -63,6 +63,18 @@ def hit_rate(spark, root):
     return M.per_user_ranking(c.recs, c.truth).select("user_id", "hit")
 
 
+@register("hit_rate_all", ops="M5,M3,J3", doubles=("hit", "ap"), sql=P.WITH_HITS + """,
+everybody AS (SELECT DISTINCT user_id FROM dedup)
+SELECT e.user_id, coalesce(p.hit, 0.0) AS hit,
+       CASE WHEN s.n_truth > 0 THEN coalesce(p.ap, 0.0) END AS ap
+FROM everybody e LEFT JOIN per_user p ON e.user_id = p.user_id
+                 LEFT JOIN tsize s ON e.user_id = s.user_id""")
+def hit_rate_all(spark, root):
+    """M5 over every user with an interaction: users without truth are misses."""
+    c = Canonical(spark, root)
+    return M.per_user_ranking(c.recs, c.truth, queried=c.dedup).select("user_id", "hit", "ap")
+
+
 @register("precision_recall", ops="M6,M7", doubles=("precision", "recall"),
           sql=P.WITH_HITS + " SELECT user_id, precision, recall FROM per_user")
 def precision_recall(spark, root):

@@ -98,3 +98,48 @@ def test_decision_without_data_or_spread(spark):
                          .withColumn("started_at", F.current_timestamp())
                          .withColumn("stopped_at", F.lit(None).cast("timestamp")), F.current_timestamp())
     assert {r["interim_ready"] for r in none.collect()} == {False}
+
+
+def test_mann_whitney_with_an_outlier(spark):
+    rows = [("e", "treatment" if i % 3 else "control", float(i % 50)) for i in range(600)]
+    rows += [("e", "control", 1e12), ("e", "control", None)]
+    obs = spark.createDataFrame(rows, "experiment_id string, variant string, value double")
+    known = [r for r in rows if r[2] is not None]
+    t = [v for _, g, v in known if g == "treatment"]
+    c = [v for _, g, v in known if g == "control"]
+    u = sum((a > b) + 0.5 * (a == b) for a in t for b in c)
+    got = AB.mann_whitney(obs).first()
+    assert got["u_stat"] == pytest.approx(u)
+    assert (got["treatment_size"], got["control_size"]) == (len(t), len(c))
+
+
+def test_exact_percentiles_by_key(spark):
+    rows = [("a", float(i * i)) for i in range(101)] + [("b", 7.0)] * 500 + [("b", 1e9), ("b", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: r for r in MO.exact_percentiles(df, "v", (0.5, 0.95, 0.99), ["k"]).collect()}
+    want = df.groupBy("k").agg(*[F.percentile("v", p).alias(f"p{int(p * 100)}")
+                                 for p in (0.5, 0.95, 0.99)]).collect()
+    for r in want:
+        for c in ("p50", "p95", "p99"):
+            assert got[r["k"]][c] == pytest.approx(r[c])
+
+
+def test_final_analysis_of_stopped_experiments(spark):
+    exps = AB.with_defaults(spark.sql("""
+        SELECT * FROM VALUES ('a', TIMESTAMP'2024-01-01', TIMESTAMP'2024-03-01'),
+                             ('b', TIMESTAMP'2024-01-01', TIMESTAMP'2024-01-02'),
+                             ('c', TIMESTAMP'2024-01-01', NULL) t(experiment_id, started_at, stopped_at)
+        """).selectExpr("*", *[f"cast(null as {t}) {c}" for c, t in (
+            ("traffic_split", "double"), ("significance_level", "double"),
+            ("statistical_power", "double"), ("min_effect_size", "double"),
+            ("min_sample_size", "int"), ("max_duration_days", "int"))]))
+    obs = spark.sql("""
+        SELECT 'a' experiment_id, CASE WHEN id % 2 = 0 THEN 'control' ELSE 'treatment' END variant,
+               CAST(id % 2 * 5 + id % 3 AS DOUBLE) value,
+               TIMESTAMP'2024-01-01' + make_interval(0, 0, 0, CAST(id AS INT)) ts FROM range(100)""")
+    got = {r["experiment_id"]: r for r in AB.final_analysis(exps, obs).collect()}
+    assert set(got) == {"a", "b"}
+    assert got["a"]["control_size"] + got["a"]["treatment_size"] == 61   # up to the stop
+    assert got["a"]["days_run"] == 60 and got["a"]["overdue"] and got["a"]["is_significant"]
+    assert got["b"]["control_size"] == 0 and not got["b"]["overdue"]
+    assert got["b"]["recommendation"] == "Insufficient data for analysis"
