@@ -3,10 +3,11 @@
 Words become template tokens: numbers, units after numbers and names inside a
 sentence turn into typed placeholders, all else is the lower-case word without
 outer punctuation.  Windows of five tokens are hash-joined with the
-benchmark's; a document matches an item if windows along consistent diagonals
-(same shift, every filler of the item replaced by one and the same filler)
-cover at least 0.8 of the item's tokens.  So an item is found as it stands and
-with other numbers, names or units.
+benchmark's, once with the words as they are and once with placeholders; a
+document matches an item if windows along consistent diagonals (same shift,
+every filler of the item replaced by one and the same filler) cover at least
+0.8 of the item's tokens.  So an item is found as it stands, whatever its words,
+and with other numbers, names or units where windows have plain words.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from rankforge.llm.common import settle, steps, word_codes
 
 WINDOW = 5
 SIMILARITY = 0.8
-#: A window with fewer plain words is no evidence.
+#: A window with placeholders and fewer plain words is no evidence.
 MIN_PLAIN = 2
 #: Bits of the prefilter, 2 MB whatever the benchmark's size.
 FILTER_BITS = 24
@@ -67,8 +68,9 @@ def _word(word: str) -> tuple[int, int, bool, bool, bool, bool]:
 def canonical(texts: pa.Array):
     """Template tokens of a slice of texts.
 
-    Returns (token hash, kind, code of the word, distinct words, offsets);
-    words without a letter or digit are no tokens.
+    Returns (forms, kind, code of the word, distinct words, offsets), a form
+    being (token hash, is a placeholder): the words as they are, and the
+    template.  Words without a letter or digit are no tokens.
     """
     codes, words, offsets = word_codes(texts)
     if len(_CACHE) > _CACHE_WORDS:
@@ -92,23 +94,31 @@ def canonical(texts: pa.Array):
     number = np.concatenate(([False], kind[:-1] == NUMBER))[:len(kind)]
     number[at[:-1][at[:-1] < len(kind)]] = False
     kind = np.where((kind == PLAIN) & units[codes] & number, UNIT, kind)
-    return np.where(kind == PLAIN, plain[codes], _SLOT[kind]), kind, codes, words, at
+    literal, filled = plain[codes], kind != PLAIN
+    forms = [(literal, np.zeros(len(codes), bool)), (np.where(filled, _SLOT[kind], literal), filled)]
+    return forms, kind, codes, words, at
 
 
-def window_hashes(tokens: np.ndarray, kind: np.ndarray, at: np.ndarray, window: int):
-    """(text, first token, hash) of every window with enough plain words."""
-    n = len(tokens) - window + 1
+def window_hashes(forms: list[tuple[np.ndarray, np.ndarray]], at: np.ndarray, window: int):
+    """(text, first token, hash) of every window: of its words, and of each form
+    that has more placeholders than the one before and enough plain words."""
+    n = len(forms[0][0]) - window + 1
     if n <= 0:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
-    h, plain = np.zeros(n, np.uint64), np.zeros(n, np.int8)
-    for i in range(window):
-        h = (h ^ tokens[i:n + i]) * _BASE
-        h ^= h >> np.uint64(29)
-        plain += kind[i:n + i] == PLAIN
     text = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    ok = (text[:n] == text[window - 1:]) & (plain >= min(MIN_PLAIN, window))
-    pos = np.flatnonzero(ok)
-    return text[pos], pos - at[text[pos]], h[pos]
+    inside = text[:n] == text[window - 1:]
+    out, before = [], np.full(n, -1, np.int8)
+    for tokens, filled in forms:
+        h, gaps = np.zeros(n, np.uint64), np.zeros(n, np.int8)
+        for i in range(window):
+            h = (h ^ tokens[i:n + i]) * _BASE
+            h ^= h >> np.uint64(29)
+            gaps += filled[i:n + i]
+        enough = (gaps == 0) | (window - gaps >= min(MIN_PLAIN, window))
+        pos = np.flatnonzero(inside & (gaps > before) & enough)
+        out.append((text[pos], pos - at[text[pos]], h[pos]))
+        before = gaps
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 _WINDOWS = "id long, pos int, h long, slots array<string>, n int"
@@ -124,8 +134,8 @@ def windows(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW,
         for batch in batches:
             ids = batch.column(0)
             for start, texts in steps(batch.column(1)):
-                tokens, kind, codes, words, at = canonical(texts)
-                text, pos, h = window_hashes(tokens, kind, at, window)
+                forms, kind, codes, words, at = canonical(texts)
+                text, pos, h = window_hashes(forms, at, window)
                 if bits is not None:
                     low = (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
                     hit = (bits[low >> 3] >> (low & 7).astype(np.uint8)) & 1 == 1

@@ -67,3 +67,11 @@ def test_query_finds_all_verbatim_items(spark, run_query, texts, sf_small):
         words = set(texts[doc].lower().split())
         own = items[i].lower().split()
         assert sum(w in words for w in own) >= 0.7 * len(own)
+
+
+def test_verbatim_items_with_few_plain_words(spark, make_docs):
+    items = ["What is 25 * 17 + 36 / 4 - 12?", "Compute 12 + 45 * 78", "10 20 30 40 50 60",
+             "Why did Alice Bob Carol Dave Eve leave?"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = make_docs([f"{FILL}{i} {FILL}" for i in items] + ["Compute 13 + 45 * 78", "10 20 30 40 51 60"])
+    assert found(d.contaminated(docs, bench)) == {(i, i, True) for i in range(4)}
