@@ -1,10 +1,11 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words become template tokens: numbers, units after numbers and names inside a
-sentence turn into typed placeholders, all else is the lower-case word without
+sentence turn into typed placeholders, all else is the case-folded word without
 outer punctuation.  Windows of five tokens are hash-joined with the
-benchmark's, once with the words as they are and once with placeholders; a
-document matches an item if windows along consistent diagonals (same shift,
+benchmark's with the words as they are, with numbers and units as placeholders,
+and with names too.  The first two do not depend on case or on the words before,
+so copies in capitals, title case or after a heading lose nothing.  A document matches an item if windows along consistent diagonals (same shift,
 every filler of the item replaced by one and the same filler) cover at least
 0.8 of the item's tokens.  So an item is found as it stands, whatever its words,
 and with other numbers, names or units where windows have plain words.
@@ -53,11 +54,16 @@ def _core(word: str) -> str:
     return word[first.start():len(word) - _SOLID.search(word[::-1]).start()] if first else ""
 
 
+def _fold(core: str) -> str:
+    """The same for a word and its copy in capitals (``ß`` and ``SS``)."""
+    return core.upper().casefold()
+
+
 def _word(word: str) -> tuple[int, int, bool, bool, bool, bool]:
     """(hash of the plain form, kind by its form, has a core, may be a name, is a unit, ends a sentence)."""
     core = _core(word)
     low = core.lower()
-    h = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"))
+    h = xxhash.xxh64_intdigest(_fold(core).encode("utf-8", "surrogatepass"))
     measure = _MEASURE.fullmatch(core)
     kind = NUMBER if _NUMBER.fullmatch(core) else \
         MEASURE if measure and measure[2].lower() in UNITS else PLAIN
@@ -69,8 +75,8 @@ def canonical(texts: pa.Array):
     """Template tokens of a slice of texts.
 
     Returns (forms, kind, code of the word, distinct words, offsets), a form
-    being (token hash, is a placeholder): the words as they are, and the
-    template.  Words without a letter or digit are no tokens.
+    being (token hash, is a placeholder): the words as they are, the template
+    without and with names.  Words without a letter or digit are no tokens.
     """
     codes, words, offsets = word_codes(texts)
     if len(_CACHE) > _CACHE_WORDS:
@@ -90,34 +96,44 @@ def canonical(texts: pa.Array):
     at = np.concatenate(([0], np.cumsum(keep)))[offsets]
     codes, opens = codes[keep], opens[keep]
     kind = kinds[codes]
-    kind = np.where((kind == PLAIN) & names[codes] & ~opens, NAME, kind)
     number = np.concatenate(([False], kind[:-1] == NUMBER))[:len(kind)]
     number[at[:-1][at[:-1] < len(kind)]] = False
     kind = np.where((kind == PLAIN) & units[codes] & number, UNIT, kind)
     literal, filled = plain[codes], kind != PLAIN
     forms = [(literal, np.zeros(len(codes), bool)), (np.where(filled, _SLOT[kind], literal), filled)]
+    kind = np.where((kind == PLAIN) & names[codes] & ~opens, NAME, kind)
+    forms.append((np.where(kind == PLAIN, literal, _SLOT[kind]), kind != PLAIN))
     return forms, kind, codes, words, at
 
 
 def window_hashes(forms: list[tuple[np.ndarray, np.ndarray]], at: np.ndarray, window: int):
     """(text, first token, hash) of every window: of its words, and of each form
-    that has more placeholders than the one before and enough plain words."""
+    that has more placeholders than the one before and enough plain words.
+
+    The form with names is also taken without one for the window's first token:
+    an item's first word is at a text start, its copy's may follow other words.
+    """
     n = len(forms[0][0]) - window + 1
     if n <= 0:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
     text = np.repeat(np.arange(len(at) - 1), np.diff(at))
     inside = text[:n] == text[window - 1:]
-    out, before = [], np.full(n, -1, np.int8)
-    for tokens, filled in forms:
+    literal, caseless, named = forms
+    out, least = [], np.full(n, -1, np.int8)
+    for head, rest in ((literal, literal), (caseless, caseless), (named, named), (caseless, named)):
         h, gaps = np.zeros(n, np.uint64), np.zeros(n, np.int8)
         for i in range(window):
+            tokens, filled = rest if i else head
             h = (h ^ tokens[i:n + i]) * _BASE
             h ^= h >> np.uint64(29)
             gaps += filled[i:n + i]
-        enough = (gaps == 0) | (window - gaps >= min(MIN_PLAIN, window))
-        pos = np.flatnonzero(inside & (gaps > before) & enough)
+        ok = inside & (gaps > least) & ((gaps == 0) | (window - gaps >= min(MIN_PLAIN, window)))
+        if rest is named:
+            ok &= (head is named) | (named[1] & ~caseless[1])[:n]
+        else:
+            least = gaps
+        pos = np.flatnonzero(ok)
         out.append((text[pos], pos - at[text[pos]], h[pos]))
-        before = gaps
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -126,9 +142,10 @@ _WINDOWS = "id long, pos int, h long, slots array<string>, n int"
 
 def windows(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW,
             maybe=None) -> DataFrame:
-    """(id, pos, h, slots, n): the template windows of each text with their
-    fillers; n is the text's number of tokens.  ``maybe`` (broadcast bytes of
-    the prefilter) keeps only windows that the benchmark may have."""
+    """(id, pos, h, slots, n): the windows of each text with their words; n is
+    the text's number of tokens.  ``maybe`` (broadcast bytes of the prefilter)
+    keeps only windows that the benchmark may have.  Without it the texts are
+    the benchmark, and words that are no fillers are null."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if maybe is None else np.frombuffer(maybe.value, np.uint8)
         for batch in batches:
@@ -143,8 +160,8 @@ def windows(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW,
                 slots = []
                 for t, p in zip(text.tolist(), pos.tolist()):
                     a = int(at[t]) + p
-                    slots.append([_core(words[codes[j]]) for j in range(a, a + window)
-                                  if kind[j] != PLAIN])
+                    slots.append([None if bits is None and kind[j] == PLAIN else
+                                  _fold(_core(words[codes[j]])) for j in range(a, a + window)])
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(pa.array(text + start)), pa.array(pos.astype(np.int32)),
                      pa.array(h.view(np.int64)), pa.array(slots, pa.list_(pa.string())),
@@ -202,7 +219,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                      F.col("slots").alias("was"))
     met = hits.join(b, ["h", "size"]).select(
         "id", "item", "n", "size", "at", (F.col("pos") - F.col("at")).alias("shift"),
-        F.arrays_zip(F.col("was"), F.col("slots").alias("now")).alias("fill"))
+        F.filter(F.arrays_zip(F.col("was"), F.col("slots").alias("now")),
+                 lambda x: x["was"].isNotNull()).alias("fill"))
     # One row for each occurrence of an item: as many windows as the item has.
     line = met.groupBy("id", "item", "n", "size", "shift").agg(
         F.collect_set("at").alias("ats"),

@@ -75,3 +75,14 @@ def test_verbatim_items_with_few_plain_words(spark, make_docs):
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     docs = make_docs([f"{FILL}{i} {FILL}" for i in items] + ["Compute 13 + 45 * 78", "10 20 30 40 51 60"])
     assert found(d.contaminated(docs, bench)) == {(i, i, True) for i in range(4)}
+
+
+def test_case_and_the_words_before_do_not_matter(spark, make_docs):
+    items = [ITEM, "What is 3 times 4?", "What does Alice owe Bob?", "Pay the street tax (straße) now"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    forms = [ITEM.upper(), ITEM.lower(), ITEM.title(), "Part 2, " + ITEM, OTHER.upper().replace(
+        "CAROL", "ALICE").replace("DAVE", "BOB"), "1) What is 3 times 4?", "- Heading\nWhat is 5 times 6?",
+        "so WHAT DOES ALICE OWE BOB", "1) What does Carol owe Dave?", items[3].upper()]
+    assert found(d.contaminated(make_docs(forms), bench)) == {
+        (0, 0, True), (1, 0, True), (2, 0, True), (3, 0, True), (4, 0, False), (5, 1, True),
+        (6, 1, False), (7, 2, True), (8, 2, False), (9, 3, True)}
