@@ -7,7 +7,7 @@ benchmark's with the words as they are, with numbers and units as placeholders,
 and with names too.  The first two do not depend on case or on the words before,
 so copies in capitals, title case or after a heading lose nothing.  A document matches an item if windows along consistent diagonals (same shift,
 every filler of the item replaced by one and the same filler) cover at least
-0.8 of the item's tokens.  So an item is found as it stands, whatever its words,
+0.8 of the item's tokens; of a diagonal that is not, a consistent part counts.  So an item is found as it stands, whatever its words,
 and with other numbers, names or units where windows have plain words.
 """
 
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.llm.common import settle, steps, word_codes
@@ -184,6 +184,36 @@ def _prefilter(bench: DataFrame) -> bytes:
     return out.astype("<i8").tobytes()
 
 
+def _part(hits: list[dict]) -> list[int]:
+    """The item's tokens that an inconsistent diagonal covers: those in windows
+    with the item's own fillers or, if more, with the most frequent value of each
+    filler.  A new value makes the text another template where it contradicts, so
+    in the second case tokens of contradicting windows do not count."""
+    filled = {(h["at"] + i, was, now) for h in hits
+              for i, (was, now) in enumerate(zip(h["was"], h["now"])) if was is not None}
+    votes: dict[str, dict[str, list[int]]] = {}
+    for pos, was, now in filled:
+        votes.setdefault(was, {}).setdefault(now, []).append(pos)
+    best = {was: min(own, key=lambda now: (-len(own[now]), now != was, min(own[now]), now))
+            for was, own in votes.items()}
+    own, fits, against = set(), set(), set()
+    for h in hits:
+        places = range(h["at"], h["at"] + len(h["now"]))
+        fill = [(was, now) for was, now in zip(h["was"], h["now"]) if was is not None]
+        if all(was == now for was, now in fill):
+            own.update(places)
+        (fits if all(best[was] == now for was, now in fill) else against).update(places)
+    return sorted(max(own, fits - against, key=len))
+
+
+def _consistent_part(hits: Column) -> Column:
+    @F.arrow_udf("array<int>")
+    def of(lines: pa.Array) -> pa.Array:
+        return pa.array([None if h is None else _part(h) for h in lines.to_pylist()],
+                        pa.list_(pa.int32()))
+    return of(hits)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
                  window: int = WINDOW, similarity: float = SIMILARITY) -> DataFrame:
@@ -218,24 +248,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     b = bench.select(F.col("id").alias("item"), F.col("pos").alias("at"), "h", "size", "n",
                      F.col("slots").alias("was"))
     met = hits.join(b, ["h", "size"]).select(
-        "id", "item", "n", "size", "at", (F.col("pos") - F.col("at")).alias("shift"),
-        F.filter(F.arrays_zip(F.col("was"), F.col("slots").alias("now")),
-                 lambda x: x["was"].isNotNull()).alias("fill"))
+        "id", "item", "n", "size", "at", (F.col("pos") - F.col("at")).alias("shift"), "was",
+        F.col("slots").alias("now"))
     # One row for each occurrence of an item: as many windows as the item has.
     line = met.groupBy("id", "item", "n", "size", "shift").agg(
-        F.collect_set("at").alias("ats"),
-        F.array_distinct(F.flatten(F.collect_set("fill"))).alias("fill"))
-    line = line.withColumn("fill", F.transform("fill", lambda x: F.struct(
-        x["was"].alias("was"), x["now"].alias("now"))))
-    line = line.filter(F.size(F.array_distinct(F.transform("fill", lambda x: x["was"])))
-                       == F.size("fill"))
-    line = line.withColumn("same", ~F.exists("fill", lambda x: x["was"] != x["now"]))
+        F.collect_set(F.struct("at", "was", "now")).alias("hits"))
+    line = line.withColumn("fill", F.array_distinct(F.flatten(F.transform(
+        "hits", lambda h: F.filter(F.arrays_zip(h["was"].alias("was"), h["now"].alias("now")),
+                                   lambda x: x["was"].isNotNull())))))
+    consistent = F.size(F.array_distinct(F.transform("fill", lambda x: x["was"]))) == F.size("fill")
+    line = line.withColumn("same", ~F.exists("fill", lambda x: x["was"] != x["now"])).withColumn(
+        "part", _consistent_part(F.when(~consistent, F.col("hits"))))
+    line = line.withColumn("tokens", F.coalesce("part", F.array_distinct(F.flatten(F.transform(
+        "hits", lambda h: F.sequence(h["at"], h["at"] + F.col("size") - 1))))))
     pair = line.groupBy("id", "item", "n", "size").agg(
-        F.array_distinct(F.flatten(F.collect_set("ats"))).alias("ats"),
+        F.array_distinct(F.flatten(F.collect_set("tokens"))).alias("tokens"),
         F.bool_or("same").alias("same"))
-    covered = F.size(F.array_distinct(F.flatten(F.transform(
-        "ats", lambda p: F.sequence(p, p + F.col("size") - 1)))))
-    pair = pair.withColumn("sim", covered / F.col("n")).filter(F.col("sim") >= similarity)
+    pair = pair.withColumn("sim", F.size("tokens") / F.col("n")).filter(F.col("sim") >= similarity)
     return pair.groupBy("id", "item").agg(
         F.max("sim").alias("similarity"), F.bool_or("same").alias("same")).select(
         F.col("id").alias(id_col), F.col("item").alias(item_col), "similarity", "same")

@@ -86,3 +86,20 @@ def test_case_and_the_words_before_do_not_matter(spark, make_docs):
     assert found(d.contaminated(make_docs(forms), bench)) == {
         (0, 0, True), (1, 0, True), (2, 0, True), (3, 0, True), (4, 0, False), (5, 1, True),
         (6, 1, False), (7, 2, True), (8, 2, False), (9, 3, True)}
+
+
+def test_one_altered_filler_of_several(spark, make_docs):
+    one, two, three = ("some plain words that a long question has in it", "and others which follow "
+                       "after those so that it gets longer still", "until nobody wants to read on")
+    long = f"Now take 7 of them {one} then take 7 again {two} and say so"
+    bench = spark.createDataFrame([(0, long), (1, ITEM)], "item_id long, text string")
+    docs = make_docs([long.replace("7 again", "8 again"), long.replace("Now take 7", "Now take 8"),
+                      ITEM.replace("Then Alice", "Then Alicia"), MIXED])
+    rows = {(r.doc_id, r.item_id): (r.similarity, r.same) for r in d.contaminated(docs, bench).collect()}
+    n = len(long.split())
+    assert rows == {(0, 0): ((n - 1) / n, False), (1, 0): ((n - 3) / n, False), (2, 1): (34 / 35, False)}
+    # Other values throughout, one of four contradicting.
+    four = f"Take 7 of them {one} take 7 away {two} take 7 again {three} or 7"
+    bench = spark.createDataFrame([(0, four)], "item_id long, text string")
+    docs = make_docs([four.replace("7", "9").replace("9 again", "5 again")])
+    assert found(d.contaminated(docs, bench)) == {(0, 0, False)}
