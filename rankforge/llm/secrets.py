@@ -19,7 +19,7 @@ from rankforge.llm.common import fresh, settle
 from rankforge.session import scratch_path
 
 #: Goes up with every change of the rules below.
-RULE_VERSION = 1
+RULE_VERSION = 3
 KINDS = ("assign", "access", "hex", "key", "jwt")
 
 # The patterns of the contract, and two formats that the method adds.
@@ -27,7 +27,10 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
                      re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_KEY = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
+_KEY = re.compile(r"-----(BEGIN|END) ([A-Z ]{0,40}PRIVATE KEY)-----")
+# What follows a header without an END line: header fields, then base64 with line ends, also escaped ones.
+_KEY_BODY = re.compile(r"(?:(?:\s|\\[nrt])*+(?:Proc-Type|DEK-Info|Content-Domain):[ \t]*+[^\s\\]++)*+"
+                       r"[A-Za-z0-9+/=\s\\]*+")
 # Starts only where a run starts, else a long run would be read once for each of its places.
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")
 
@@ -35,6 +38,22 @@ FINDING = "array<struct<kind:string,start:long,end:long>>"
 _ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
+def _keys(text: str) -> list[tuple[int, int]]:
+    """Private keys from the header to the matching END line, or else to the end
+    of the body.  A body ends at the next header or END line, so each character
+    is read once."""
+    out, marks = [], list(_KEY.finditer(text))
+    for m, after in zip(marks, [*marks[1:], None]):
+        if m[1] == "BEGIN":
+            end = _KEY_BODY.match(text, m.end(), after.start() if after else len(text)).end()
+            if after and after[1] == "END" and (after[2] == m[2] or end == after.start()):
+                end = after.end()
+            while text[end - 1].isspace():
+                end -= 1
+            out.append((m.start(), end))
+    return out
+
+
 def scan_text(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all secrets, by start, then kind as listed."""
     found = []
@@ -45,7 +64,7 @@ def scan_text(text: str) -> list[tuple[str, int, int]]:
     # A run shorter than 24 is no match, so its place doesn't change the next one.
     found += [("hex", *m.span()) for m in _HEX.finditer(text)]
     if "-----BEGIN " in text:
-        found += [("key", *m.span()) for m in _KEY.finditer(text)]
+        found += [("key", *s) for s in _keys(text)]
     if ".eyJ" in text:
         found += [("jwt", *m.span()) for m in _JWT.finditer(text)]
     return sorted(found, key=lambda f: (f[1], KINDS.index(f[0])))

@@ -160,3 +160,18 @@ def test_tokens_in_long_runs():
     jwt = "eyJ" + "a" * 12 + ".eyJ" + "b" * 12 + "." + "c" * 12
     assert ("jwt", 6, 6 + len(jwt)) in secrets.scan_text("token=" + jwt)
     assert not [f for f in secrets.scan_text("eyJ" * 200_000 + " .eyJ") if f[0] == "jwt"]
+
+
+def test_private_keys_go_with_their_bodies(make_docs):
+    body = "MIIEpAIBAAKCAQEA7b+/Zq\nQx9LkTn0aBcDeFgHiJ==\n"
+    fields = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B2C\n\n"
+    head, tail = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    whole = f"{head}\n{body}{tail}"
+    texts = [f"a {whole} b", f"a {head}\n{fields}{body}{tail} b", f"a {head}\n{body}", f"a {head}\n{fields}{body}. b",
+             f"a {whole}\n{whole} b", f"a {head}\n{body}{whole} b", "a " + whole.replace("\n", "\\n") + " b",
+             "a " + whole.replace("\n", "\n> ") + " b", f"a {tail} b"]
+    out = {r.doc_id: r.text for r in secrets.redact(make_docs(texts)).collect()}
+    assert out == {0: "a [SECRET] b", 1: "a [SECRET] b", 2: "a [SECRET]\n", 3: "a [SECRET]\n. b",
+                   4: "a [SECRET]\n[SECRET] b", 5: "a [SECRET]\n[SECRET] b", 6: "a [SECRET] b",
+                   7: "a [SECRET] b", 8: f"a {tail} b"}
+    secrets.scan_text((head + "\nDEK-Info: x") * 20_000 + " " * 300_000)
