@@ -19,7 +19,11 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
 UNSEEN = frozenset("head script style template iframe noembed noframes noscript title object audio "
-                   "video canvas datalist svg math".split())
+                   "video canvas datalist".split())
+#: Roots of foreign elements, and what of them is not shown.
+FOREIGN = frozenset(("svg", "math"))
+UNSEEN_FOREIGN = frozenset("title desc defs metadata symbol clippath mask pattern marker lineargradient "
+                           "radialgradient filter annotation annotation-xml".split())
 IN_HEAD = frozenset("base link meta title style script template noscript".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt
 fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li listing main
@@ -42,7 +46,8 @@ DEPTH = 20
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>")
 _ATTR = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_GONE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_GONE = re.compile(r"(?<![\w-])display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*(hidden|collapse|visible|initial)", re.I)
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 
 
@@ -89,8 +94,10 @@ class Box:
 class Node:
     """An open element: where its text goes and what its end does."""
 
-    def __init__(self, tag: str, hidden: bool, box: Box, depth: int) -> None:
+    def __init__(self, tag: str, hidden: bool, box: Box, depth: int, veiled: bool = False) -> None:
         self.tag, self.hidden, self.box, self.depth = tag, hidden, box, depth
+        self.veiled = veiled                             # visibility, which a child may turn on again
+        self.foreign = False                             # in SVG or MathML, not in HTML within it
         self.count = 1                                   # of list items
         self.span = 1                                    # columns of a cell
         self.rows: list[list[tuple[list[str], int]]] = []     # of a table
@@ -156,14 +163,20 @@ class Layout:
             self.start("tr", "")
         given = _attributes(attributes) if attributes.strip(" /") else {}
         top = self.stack[-1]
-        hidden = top.hidden or tag in UNSEEN or "hidden" in given \
-            or bool(_GONE.search(given.get("style", ""))) \
+        style = given.get("style", "")
+        foreign = top.foreign
+        hidden = top.hidden or tag in (UNSEEN_FOREIGN | {"script", "style"} if foreign else UNSEEN) \
+            or "hidden" in given or bool(_GONE.search(style)) \
             or tag == "dialog" and "open" not in given
+        said = _VISIBILITY.findall(style) or ([given["visibility"]] if foreign and "visibility" in given else [])
+        veiled = said[-1].lower() in ("hidden", "collapse") if said else top.veiled
         if not hidden:
             if tag in BLOCK:
                 top.box.end(tag in APART and not top.tag == "li")
             if tag == "br":
                 top.box.end(keep=True)
+            elif veiled:
+                pass
             elif tag == "hr":
                 top.box.add(["---"])
                 top.box.gap = True
@@ -172,11 +185,12 @@ class Layout:
             elif tag == "input" and given.get("type", "text").lower() in (
                     "submit", "button", "reset", "text", "search") and given.get("value"):
                 top.box.text(given["value"])
-        if tag in VOID:
+        if tag in VOID or (foreign or tag in FOREIGN) and attributes.endswith("/"):
             return
         own = tag in ("li", "dd", "blockquote", "td", "th", "table", "caption")
         node = Node(tag, hidden, Box() if own and not hidden else top.box, top.depth + (
-            tag in ("li", "dd", "blockquote")))
+            tag in ("li", "dd", "blockquote")), veiled)
+        node.foreign = tag in FOREIGN or foreign and tag not in ("foreignobject", "annotation-xml")
         if tag in ("td", "th"):
             span = given.get("colspan", "")
             node.span = min(1000, max(1, int(span))) if span.isdecimal() and len(span) < 5 else 1
@@ -249,8 +263,10 @@ class Layout:
         top.box.gap |= tag in APART
 
     def data(self, s: str) -> None:
+        if self.open.get("head") and s.strip(" \t\n\r\f") and self.stack[-1].tag == "head":
+            self.stop("head")
         top = self.stack[-1]
-        if top.hidden or not s:
+        if top.hidden or top.veiled or not s:
             return
         if self.open.get("pre") or self.open.get("textarea"):
             top.box.verbatim(s)
@@ -291,8 +307,9 @@ def render(source: str) -> str:
                 if tag == "br":
                     out.start("br", "")
                 continue
+            foreign = out.stack[-1].foreign
             out.start(tag, m[3])
-            if tag in RAW:
+            if tag in RAW and not foreign:
                 closing = _RAW_END[tag].search(source, at)
                 end = closing.start() if closing else n
                 if tag == "textarea":
