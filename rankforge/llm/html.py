@@ -99,8 +99,8 @@ class Node:
         self.veiled = veiled                             # visibility, which a child may turn on again
         self.foreign = False                             # in SVG or MathML, not in HTML within it
         self.count = 1                                   # of list items
-        self.span = 1                                    # columns of a cell
-        self.rows: list[list[tuple[list[str], int]]] = []     # of a table
+        self.span = self.down = 1                        # columns and rows of a cell
+        self.rows: list[list[tuple[list[str], int, int]]] = []     # of a table
 
 
 def _attributes(s: str) -> dict[str, str]:
@@ -110,6 +110,26 @@ def _attributes(s: str) -> dict[str, str]:
     return out
 
 
+def _placed(rows: list[list[tuple[list[str], int, int]]]) -> list[list[tuple[list[str], int]]]:
+    """Rows with an empty cell in each column that a cell from above still takes."""
+    out, taken = [], {}                                  # column: rows still taken
+    for row in rows:
+        placed, at, new = [], 0, {}
+        for lines, span, down in row:
+            while at in taken:
+                placed.append(([""], 1))
+                at += 1
+            placed.append((lines, span))
+            if down > 1:
+                new.update(dict.fromkeys(range(at, at + span), down))
+            at += span
+        for at in range(at, max(taken, default=-1) + 1):
+            placed.append(([""], 1))
+        out.append(placed)
+        taken = {c: n - 1 for c, n in {**taken, **new}.items() if n > 1}
+    return out
+
+
 def _table(rows: list[list[tuple[list[str], int]]]) -> list[str]:
     """Cells in aligned columns, `` | `` between them; a cell of several lines
     makes its row as high.  A cell that spans columns widens none of them."""
@@ -194,6 +214,8 @@ class Layout:
         if tag in ("td", "th"):
             span = given.get("colspan", "")
             node.span = min(1000, max(1, int(span))) if span.isdecimal() and len(span) < 5 else 1
+            down = given.get("rowspan", "")
+            node.down = (int(down) or 65_534) if down.isdecimal() and len(down) < 6 else 1
         if tag == "ol" and given.get("start", "").lstrip("-").isdecimal() and len(given["start"]) < 10:
             node.count = int(given["start"])
         self.stack.append(node)
@@ -244,10 +266,10 @@ class Layout:
             else:
                 if not table.rows:
                     table.rows.append([])
-                table.rows[-1].append((lines or [""], node.span))
+                table.rows[-1].append((lines or [""], node.span, node.down))
             return
         if tag == "table":
-            lines = lines + _table(node.rows)
+            lines = lines + _table(_placed(node.rows))
         elif tag == "li":
             holder = next((n for n in reversed(self.stack) if n.tag in ("ol", "ul", "menu", "dir")), top)
             mark = f"{holder.count}. " if holder.tag == "ol" else "- "

@@ -24,3 +24,15 @@ CASES = [
 @pytest.mark.parametrize("source, text", CASES)
 def test_visible(source, text):
     assert html.render(source) == text
+
+
+SPANS = [
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+    ("<table><tr><td>a<td rowspan=0>b<tr><td>c<tr><td>d</table>", "a | b\nc |\nd |"),
+    ("<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c</table>", "a   | b\n |  | c"),
+]
+
+
+@pytest.mark.parametrize("source, text", SPANS)
+def test_row_spans(source, text):
+    assert html.render(source) == text
