@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm import (decontaminate, html, packing, pii, quality, secrets, simhash, sketch,
-                           toxicity, urls)
+from rankforge.llm import (decontaminate, html, merkle, merkle_sql, packing, pii, quality, secrets,
+                           simhash, sketch, toxicity, urls)
 from rankforge.llm.common import table
 from rankforge.llm.labelled import fold_of
 
@@ -111,12 +111,31 @@ def op10_quality(spark: SparkSession, root: str) -> DataFrame:
                          (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op13_merkle_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """Leaf, group and dataset digests of all ``documents``, and whether each
+    row, with its line breaks deleted where the crc32 of its id is even, still
+    leads to the root.  A null id is never tampered with; repeated rows are
+    leaves of their own; an empty table gives no rows.
+    """
+    docs = table(spark, root, "documents").select(*merkle.FIELDS)
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    docs = docs.withColumn("tampered", F.when(F.coalesce(even, F.lit(False)),
+                                              F.replace("text", F.lit("\n"), F.lit("")))
+                           .otherwise(F.col("text")))
+    found = merkle.manifest(docs, "tampered")
+    folded = merkle.fold_path(F.col("tampered_leaf"), F.col("path"))
+    return found.select("doc_id", "leaf", "subroot", "root",
+                        F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+                        folded.alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_html_extraction, op2_decontamination, op3_pii, op4_secret_scan,
                             op5_simhash, op6_packing, op7_fingerprints, op8_url_filter,
-                            op9_toxicity, op10_quality)}
+                            op9_toxicity, op10_quality, op13_merkle_manifest)}
 
-ORACLE_SQL = {"op8_url_filter": r"""
+ORACLE_SQL = {"op13_merkle_manifest": merkle_sql.sql(), "op8_url_filter": r"""
 WITH cut AS (
   SELECT page_id, CASE WHEN contains(url, '://')
                        THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
