@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm import (decontaminate, html, merkle, merkle_sql, packing, pii, quality, secrets,
-                           simhash, sketch, toxicity, urls)
+from rankforge.llm import (align, decontaminate, html, lm, merkle, merkle_sql, packing, pii,
+                           quality, secrets, simhash, sketch, toxicity, urls)
 from rankforge.llm.common import table
 from rankforge.llm.labelled import fold_of
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 # The rules of the contract.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"),
@@ -111,6 +112,34 @@ def op10_quality(spark: SparkSession, root: str) -> DataFrame:
                          (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, root: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers over all ``documents``.
+
+    Null and empty texts and texts that the tokenizers do not give back byte for
+    byte have zeros and an empty digest; repeated rows are documents of their
+    own; an empty table gives no rows.
+    """
+    found = align.align_corpus(table(spark, root, "documents"), public_tokenizers.path(BYTE_LEVEL),
+                               public_tokenizers.path(PIECES))
+    return found.select("doc_id", "n_a", "n_b", F.col("n_links").alias("n_groups"), "n_links",
+                        "n_best", "count_sum", "groups_sha256")
+
+
+def op12_lm_scores(spark: SparkSession, root: str) -> DataFrame:
+    """Log10 probabilities of all ``documents`` by an add-one unigram model over
+    words and by the self-attention model.
+
+    Null texts count as empty (the end alone); rows with a null id are learned
+    from; repeated rows are documents of their own; an empty table gives no rows.
+    """
+    docs = table(spark, root, "documents")
+    out = F.coalesce(fold_of("doc_id", 7) == 2, F.lit(False))
+    model = lm.train(docs, public_tokenizers.path(BYTE_LEVEL), ~out)
+    return lm.score(docs, model).select(
+        "doc_id", out.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op13_merkle_manifest(spark: SparkSession, root: str) -> DataFrame:
     """Leaf, group and dataset digests of all ``documents``, and whether each
     row, with its line breaks deleted where the crc32 of its id is even, still
@@ -133,7 +162,8 @@ def op13_merkle_manifest(spark: SparkSession, root: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_html_extraction, op2_decontamination, op3_pii, op4_secret_scan,
                             op5_simhash, op6_packing, op7_fingerprints, op8_url_filter,
-                            op9_toxicity, op10_quality, op13_merkle_manifest)}
+                            op9_toxicity, op10_quality, op11_tokenizer_alignment,
+                            op12_lm_scores, op13_merkle_manifest)}
 
 ORACLE_SQL = {"op13_merkle_manifest": merkle_sql.sql(), "op8_url_filter": r"""
 WITH cut AS (
