@@ -1,5 +1,5 @@
 """Model operators (L1-L16): scaling, baselines, selection, promotion,
-mutual information, item neighbours, PCA, ALS and randomized SVD.
+mutual information, PCA, ALS and randomized SVD.
 
 Heavy linear algebra stays distributed: sparse matrices are long tables
 ``(row, col, value)``, dense factors one array per key, multiplied by joins +
@@ -19,15 +19,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankforge.functions.columns import dbl, safe_div
+from rankforge.operators.neighbours import item_knn  # noqa: F401  (L12)
 from rankforge.operators.ranking import top_k_per_group
 from rankforge.session import written
 
-# Neighbour model settings.
-KNN_MIN_INTERACTIONS = 5
-KNN_TOP = 20
-KNN_MIN_SIMILARITY = 0.1
-SIM_DIGITS = 9
-
 
 # --- L2 / L6 -------------------------------------------------------------------
 def minmax_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -134,172 +129,6 @@ def mutual_information(df: DataFrame, feature_cols: Sequence[str], label_col: st
                            [F.col("mi").desc(), F.col("feature")], k).drop("_g")
 
 
-# --- L12 ------------------------------------------------------------------------
-_EMPTY_PAIRS = {"i": "int64", "j": "int64", "dot": "float64"}
-
-
-def _block_product(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Partial co-occurrence sums of one (user chunk, item block a, block b)."""
-    left = pdf[pdf["role"] == 0]
-    right = pdf[pdf["role"] == 1]
-    if left.empty or right.empty:
-        return pd.DataFrame({k: pd.Series(dtype=v) for k, v in _EMPTY_PAIRS.items()})
-    li, ri, p = _pair_products(left, right)
-    x, y = np.nonzero(p)
-    out = pd.DataFrame({"i": li[x], "j": ri[y], "dot": p[x, y]})
-    if pdf["a"].iloc[0] == pdf["b"].iloc[0]:
-        out = out[out["i"] < out["j"]]
-    return out
-
-
-def _pair_products(left: pd.DataFrame, right: pd.DataFrame):
-    """(left items, right items, dot matrix) of one block pair, sparse or dense."""
-    li, linv = np.unique(left["item_id"].to_numpy(), return_inverse=True)
-    ri, rinv = np.unique(right["item_id"].to_numpy(), return_inverse=True)
-    users, uinv = np.unique(np.concatenate([left["user_id"].to_numpy(),
-                                            right["user_id"].to_numpy()]), return_inverse=True)
-    lu, ru = uinv[:len(left)], uinv[len(left):]
-    sparse_work = float((np.bincount(lu, minlength=len(users))
-                         * np.bincount(ru, minlength=len(users))).sum())
-    if float(len(users)) * len(li) * len(ri) <= 4 * sparse_work:
-        a = np.zeros((len(users), len(li)))
-        b = np.zeros((len(users), len(ri)))
-        a[lu, linv] = left["r"].to_numpy()
-        b[ru, rinv] = right["r"].to_numpy()
-        return li, ri, a.T @ b
-    lf = pd.DataFrame({"u": lu, "x": linv, "v": left["r"].to_numpy()})
-    rf = pd.DataFrame({"u": ru, "y": rinv, "w": right["r"].to_numpy()})
-    m = lf.merge(rf, on="u")
-    key = m["x"].to_numpy() * len(ri) + m["y"].to_numpy()
-    p = np.bincount(key, weights=m["v"].to_numpy() * m["w"].to_numpy(),
-                    minlength=len(li) * len(ri))
-    return li, ri, p.reshape(len(li), len(ri))
-
-
-def _norms(df: pd.DataFrame, items: np.ndarray) -> np.ndarray:
-    idx = np.searchsorted(items, df["item_id"].to_numpy())
-    return np.sqrt(np.bincount(idx, weights=df["r"].to_numpy() ** 2, minlength=len(items)))
-
-
-def _best_per_row(sim: np.ndarray, top: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
-    """Row/col indices of candidates: sim >= floor and within ``top`` per row
-    (plus anything tied with the ``top``-th value up to 1e-9, so the exact
-    ranking in Spark sees every possible winner)."""
-    keep = sim >= floor
-    if sim.shape[1] > top:
-        kth = -np.partition(-np.where(keep, sim, -np.inf), top - 1, axis=1)[:, top - 1]
-        keep &= sim >= (kth[:, None] - 1e-9)
-    return np.nonzero(keep)
-
-
-def _make_block_neighbours(top: int, min_similarity: float):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Final neighbour candidates of one item-block pair (all users)."""
-        left = pdf[pdf["role"] == 0]
-        right = pdf[pdf["role"] == 1]
-        cols = {"i": "int64", "j": "int64", "dot": "float64", "ni": "float64",
-                "nj": "float64"}
-        if left.empty or right.empty:
-            return pd.DataFrame({k: pd.Series(dtype=v) for k, v in cols.items()})
-        li, ri, dot = _pair_products(left, right)
-        nl, nr = _norms(left, li), _norms(right, ri)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            sim = np.where(dot > 0, dot / np.outer(nl, nr), -np.inf)
-        same = pdf["a"].iloc[0] == pdf["b"].iloc[0]
-        if same:
-            np.fill_diagonal(sim, -np.inf)
-        floor = min_similarity - 1e-9
-        out = []
-        x, y = _best_per_row(sim, top, floor)                  # i in a -> j in b
-        out.append(pd.DataFrame({"i": li[x], "j": ri[y], "dot": dot[x, y],
-                                 "ni": nl[x], "nj": nr[y]}))
-        if not same:                                           # j in b -> i in a
-            x, y = _best_per_row(sim.T, top, floor)
-            out.append(pd.DataFrame({"i": ri[x], "j": li[y], "dot": dot[y, x],
-                                     "ni": nr[x], "nj": nl[y]}))
-        return pd.concat(out, ignore_index=True)
-    return fn
-
-
-def _block_pairs(x: DataFrame, nb: int, chunks: int) -> DataFrame:
-    """Send each row of item block p to its block pairs (left for q >= p,
-    right for q <= p), keyed (chunk, a, b)."""
-    x = x.select("user_id", "item_id", F.col("r").cast("double").alias("r"),
-                 F.pmod(F.xxhash64("user_id"), F.lit(chunks)).alias("c"),
-                 F.pmod(F.xxhash64("item_id"), F.lit(nb)).alias("p"))
-    left = x.select("*", F.explode(F.sequence(F.col("p"), F.lit(nb - 1))).alias("q")) \
-        .select("c", F.col("p").alias("a"), F.col("q").alias("b"), F.lit(0).alias("role"),
-                "user_id", "item_id", "r")
-    right = x.select("*", F.explode(F.sequence(F.lit(0), F.col("p"))).alias("q")) \
-        .select("c", F.col("q").alias("a"), F.col("p").alias("b"), F.lit(1).alias("role"),
-                "user_id", "item_id", "r")
-    return left.unionByName(right)
-
-
-def item_knn(train: DataFrame, min_interactions: int = KNN_MIN_INTERACTIONS,
-             top: int = KNN_TOP, min_similarity: float = KNN_MIN_SIMILARITY,
-             item_blocks: int | None = None, user_chunks: int | None = None,
-             max_history_per_block: int = 4096, group_rows: int = 2_000_000) -> DataFrame:
-    """Cosine item-item neighbours over rating vectors.
-
-    Items with fewer than ``min_interactions`` are dropped; similarity is
-    rounded to 9 digits before ranking so equal values tie exactly; keep
-    similarity >= ``min_similarity`` and the ``top`` best per item
-    (similarity desc, neighbour id asc).
-
-    Grid: item blocks bound one user's pair work per group (longest history
-    / ``max_history_per_block``) and give parallelism; when every block pair
-    fits one group (``group_rows``), each group holds all users of its two
-    blocks, so it finishes cosine, threshold and a per-item top-k itself and
-    emits about ``top`` rows per item.  Otherwise users are split into
-    chunks and partial dot products are summed by a grouped aggregation
-    before the similarity step.
-    """
-    cnt = train.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"),
-                                       F.sqrt(F.sum(F.pow("rating", 2))).alias("norm"))
-    keep = cnt.filter(F.col("n") >= min_interactions)
-    x = train.join(keep.select("item_id"), "item_id", "left_semi") \
-        .select("user_id", "item_id", F.col("rating").alias("r"))
-    if item_blocks is None or user_chunks is None:
-        st = x.groupBy("user_id").agg(F.count(F.lit(1)).alias("h")).agg(
-            F.max("h").alias("hmax"), F.sum("h").alias("nnz")).first()
-        hmax, nnz = int(st["hmax"] or 1), int(st["nnz"] or 1)
-        par = train.sparkSession.sparkContext.defaultParallelism
-        if item_blocks is None:
-            by_par = math.ceil((math.sqrt(16 * par + 1) - 1) / 2)   # nb(nb+1)/2 >= 2*par
-            item_blocks = max(1, math.ceil(hmax / max_history_per_block), by_par,
-                              math.ceil(2 * nnz / group_rows))
-        if user_chunks is None:
-            user_chunks = max(1, math.ceil(2 * nnz / item_blocks / group_rows))
-    pairs = _block_pairs(x, item_blocks, user_chunks)
-    if user_chunks == 1:
-        cand = pairs.groupBy("c", "a", "b").applyInPandas(
-            _make_block_neighbours(top, min_similarity),
-            "i long, j long, dot double, ni double, nj double")
-        s = cand.select("i", "j", F.round(F.col("dot") / (F.col("ni") * F.col("nj")),
-                                          SIM_DIGITS).alias("similarity"))
-    else:
-        co = pairs.groupBy("c", "a", "b").applyInPandas(
-            _block_product, "i long, j long, dot double").groupBy("i", "j").agg(
-            F.sum("dot").alias("dot"))
-        norms = keep.select("item_id", "norm")
-        s = (co.join(norms.withColumnRenamed("item_id", "i").withColumnRenamed("norm", "ni"),
-                     "i")
-             .join(norms.withColumnRenamed("item_id", "j").withColumnRenamed("norm", "nj"), "j"))
-        s = s.select("i", "j", F.round(F.col("dot") / (F.col("ni") * F.col("nj")), SIM_DIGITS)
-                     .alias("similarity"))
-        s = s.unionByName(s.select(F.col("j").alias("i"), F.col("i").alias("j"),
-                                   "similarity"))
-    s = s.filter(F.col("similarity") >= dbl(min_similarity))
-    # In-group path: at most about ``top`` candidates per item and block pair
-    # (bounded); the partial-sum path can hold every co-occurring item, so it
-    # keeps the salted two-phase top-k.
-    ranked = top_k_per_group(s, ["i"], [F.col("similarity").desc(), F.col("j").asc()], top,
-                             salt_col=None if user_chunks == 1 else "j")
-    return ranked.select(F.col("i").alias("item_id"), F.col("j").alias("neighbor_id"),
-                         "similarity", "rank")
-
-
 # --- L1-L5 ----------------------------------------------------------------------
 def pca_fit_transform(df: DataFrame, cols: Sequence[str]):
     """Assemble (skip NULL rows), standardise, PCA(k = max(1, n*0.33))."""
@@ -341,7 +170,8 @@ def als_factors(model) -> tuple[DataFrame, DataFrame]:
 
 def als_recommend(model, users: DataFrame, seen: DataFrame, n: int) -> DataFrame:
     """Top-``n`` unseen items per user of a fitted ALS model."""
-    return factor_top_n(*als_factors(model), users, seen, n)
+    from rankforge.operators.factors import pruned_top_n
+    return pruned_top_n(*als_factors(model), users, seen, n)
 
 
 def _block_scores(user_f: DataFrame, item_f: DataFrame, users: DataFrame, seen: DataFrame, fn,

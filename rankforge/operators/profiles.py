@@ -60,23 +60,50 @@ def merge_profiles(partials: DataFrame) -> DataFrame:
         .alias("interacted_items"))
 
 
+def distinct_bitmaps(df: DataFrame, key: str, member: str) -> DataFrame:
+    """Exact mergeable sets: (key, bucket, members), a bitmap of the 32,768
+    member ids of each bucket that the key has met.  Ids are not negative.
+
+    A key with very many members has very many buckets, so its set is spread
+    over rows of 4 KB (mostly zeros, which files and shuffles compress).
+    """
+    return (df.filter(F.col(member).isNotNull())
+            .groupBy(key, F.bitmap_bucket_number(F.col(member)).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col(member))).alias("members")))
+
+
+def distinct_counts(bitmaps: DataFrame, key: str, out_col: str) -> DataFrame:
+    """(key, out_col): members of each key over any number of bitmap tables."""
+    merged = bitmaps.groupBy(key, "bucket").agg(F.bitmap_or_agg("members").alias("members"))
+    return merged.groupBy(key).agg(F.sum(F.bitmap_count("members")).alias(out_col))
+
+
 def item_partials(df: DataFrame, batch_id) -> DataFrame:
-    """Mergeable item partials: distinct users kept as an HLL sketch."""
-    return df.groupBy("item_id").agg(
+    """Mergeable item partials of one batch: one row of sums for each item
+    (``bucket`` null) and one row for each bitmap of its users."""
+    sums = df.groupBy("item_id").agg(
         F.sum("rating").alias("rating_sum"),
         F.count("rating").alias("rating_count"),
         F.count(F.lit(1)).alias("interaction_count"),
-        F.hll_sketch_agg(F.col("user_id")).alias("users_sketch"),
-        F.max("timestamp").alias("last_interaction")).withColumn(
+        F.max("timestamp").alias("last_interaction"))
+    users = distinct_bitmaps(df, "item_id", "user_id")
+    return sums.unionByName(users, allowMissingColumns=True).withColumn(
         "batch_id", F.lit(batch_id).cast("long"))
 
 
 def merge_items(partials: DataFrame) -> DataFrame:
-    return partials.groupBy("item_id").agg(
+    """Partials of any batches to one row per item, equal to ``item_features``
+    over the union of the batches."""
+    sums = partials.filter(F.col("bucket").isNull()).groupBy("item_id").agg(
         (F.sum("rating_sum") / F.sum("rating_count")).alias("avg_rating"),
         F.sum("interaction_count").alias("interaction_count"),
-        F.hll_sketch_estimate(F.hll_union_agg("users_sketch")).alias("unique_users_approx"),
         F.max("last_interaction").alias("last_interaction"))
+    users = distinct_counts(partials.filter(F.col("bucket").isNotNull()), "item_id",
+                            "unique_users")
+    return sums.join(users, "item_id", "left").select(
+        "item_id", "avg_rating", "interaction_count",
+        F.coalesce("unique_users", F.lit(0).cast("long")).alias("unique_users"),
+        "last_interaction")
 
 
 def item_popularity(df: DataFrame) -> DataFrame:

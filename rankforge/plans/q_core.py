@@ -92,6 +92,24 @@ def profile_merge(spark, root):
                     F.size("interacted_items").cast("long").alias("n_items"))
 
 
+@register("item_merge", ops="G11,G2", doubles=("avg_rating", "last_interaction"),
+          sql=P.INTERACTIONS_ONLY + """
+SELECT item_id, avg(rating) AS avg_rating, count(*) AS interaction_count,
+       count(DISTINCT user_id) AS unique_users, max("timestamp") AS last_interaction
+FROM inter GROUP BY item_id""")
+def item_merge(spark, root):
+    """Item partials per yearly batch with bitmaps of users, folded: equals
+    the one-shot features with their exact distinct users."""
+    df = interactions(Tables(spark, root)).withColumn(
+        "year", F.year(C.from_epoch(F.col("timestamp"))))
+    years = [r["year"] for r in df.select("year").distinct().orderBy("year").collect()]
+    parts = None
+    for y in years:                           # a handful of years, one partial table each
+        part = profiles.item_partials(df.filter(F.col("year").eqNullSafe(F.lit(y))), y)
+        parts = part if parts is None else parts.unionByName(part)
+    return profiles.merge_items(parts if parts is not None else profiles.item_partials(df, 0))
+
+
 @register("profile_evolve", ops="S5", doubles=("avg_rating", "n_items"),
           sql=P.INTERACTIONS_ONLY + """
 SELECT 0 AS batch, user_id, avg(rating) AS avg_rating, count(*) AS interaction_count,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rankforge.operators import factors as FA
 from rankforge.operators import models as MD
 from rankforge.operators import metrics as M
 from rankforge.plans import sql_prelude as P
@@ -206,11 +207,11 @@ def svd_factors(spark, root):
 @register("svd_recs", ops="L7,L9")
 def svd_recs(spark, root):
     """L9 for "svd": top-20 unseen items per truth user scored by the
-    truncated SVD reconstruction (U S) V^T, block by block."""
+    truncated SVD reconstruction (U S) V^T, blocks pruned by norms."""
     c = Canonical(spark, root)
     a = c.train.select("user_id", "item_id", F.col("rating").alias("v"))
     user_f, item_f, _ = MD.randomized_svd(spark, a, k=10, seed=42)
-    return MD.factor_top_n(user_f, item_f, c.truth.select("user_id"), c.seen, TOP_N)
+    return FA.pruned_top_n(user_f, item_f, c.truth.select("user_id"), c.seen, TOP_N)
 
 
 @register("hybrid_models", ops="L10,L8,L7")
@@ -224,3 +225,42 @@ def hybrid_models(spark, root):
     return MD.blended_top_n(MD.als_factors(MD.als_fit(c.train)),
                             (written(user_f, "svd-users"), written(item_f, "svd-items")),
                             c.truth.select("user_id"), c.seen, 10)
+
+
+def _nmf(spark, c):
+    a = c.train.select("user_id", "item_id", F.col("rating").alias("v"))
+    return FA.nmf(spark, a, k=10, seed=42)
+
+
+@register("nmf_factors", ops="L8")
+def nmf_factors(spark, root):
+    """Non-negative factors (10 components, seed 42) of the zero-filled train
+    matrix: both sides, component by component."""
+    w, h, _ = _nmf(spark, Canonical(spark, root))
+    both = w.select(F.lit("user").alias("side"), F.col("user_id").alias("id"), "f").unionByName(
+        h.select(F.lit("item").alias("side"), F.col("item_id").alias("id"), "f"))
+    return both.select("side", "id", F.posexplode("f").alias("component", "value"))
+
+
+@register("nmf_recs", ops="L8,L9")
+def nmf_recs(spark, root):
+    """L9 for "nmf": top-20 unseen items per truth user by the product of the
+    non-negative factors, blocks pruned by norms."""
+    c = Canonical(spark, root)
+    w, h, _ = _nmf(spark, c)
+    return FA.pruned_top_n(w, h, c.truth.select("user_id"), c.seen, TOP_N)
+
+
+@register("cold_start_fold_in", ops="L11")
+def cold_start_fold_in(spark, root):
+    """Customers without a train row: top-10 items by SVD factors, the user's own
+    folded in from the later ratings, else the average profile."""
+    c = Canonical(spark, root)
+    a = c.train.select("user_id", "item_id", F.col("rating").alias("v"))
+    user_f, item_f, _ = MD.randomized_svd(spark, a, k=10, seed=42)
+    known = user_f.select("user_id")
+    unknown = users(Tables(spark, root)).select("user_id").join(known, "user_id", "left_anti")
+    own = c.test.select("user_id", "item_id", F.col("rating").alias("v"))
+    found = written(FA.unknown_user_factors(unknown, own, user_f, item_f, 10), "unknown-users")
+    recs = FA.pruned_top_n(found.select("user_id", "f"), item_f, unknown, own, 10)
+    return recs.join(found.select("user_id", "source"), "user_id")

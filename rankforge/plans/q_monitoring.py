@@ -130,6 +130,20 @@ def latency_5m(spark, root):
     return w.select(C.ts_text("w.start").alias("window_start"), "n", "p50", "p95")
 
 
+@register("latency_sketch_15m", ops="Q5,Q4", doubles=("p50", "p95", "p99"), sql=REQ_SQL + """,
+w AS (SELECT time_bucket(INTERVAL 1 MINUTE, ts) - to_minutes(5 * k + CAST(
+             minute(ts) % 5 AS INTEGER)) AS ws, latency_ms FROM req, range(0, 3) t(k))
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n,
+       quantile_disc(latency_ms, 0.5) AS p50, quantile_disc(latency_ms, 0.95) AS p95,
+       quantile_disc(latency_ms, 0.99) AS p99
+FROM w GROUP BY 1""")
+def latency_sketch_15m(spark, root):
+    """Minute sketches folded to 15-minute windows sliding by 5 (exact up to
+    1,024 rows a window, see ``fold_latency``)."""
+    w = MO.fold_latency(MO.latency_sketches(_req(spark, root)), 15, (0.5, 0.95, 0.99), slide=5)
+    return w.select(C.ts_text("w.start").alias("window_start"), "n", "p50", "p95", "p99")
+
+
 @register("error_rate_5m", ops="Q6", doubles=("request_rate", "error_ratio"), sql=REQ_SQL + """
 SELECT strftime(time_bucket(INTERVAL 5 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS window_start,
        count(*) AS n, count(*) / 300.0 AS request_rate,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankforge.functions import columns as C
+from rankforge.operators import monitoring as MO
 from rankforge.operators import profiles
 from rankforge.plans import sql_prelude as P
 from rankforge.plans.registry import register
@@ -162,3 +163,78 @@ def stream_route(spark, root):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@register("stream_latency", ops="X7,Q5", doubles=("p50", "p95"), sql="""
+WITH w AS (
+  SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS m, value FROM events
+  WHERE time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE
+        <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE),
+s AS (SELECT m - to_minutes(k) AS ws, value FROM w, range(0, 5) t(k))
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n,
+       quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95
+FROM s GROUP BY 1""")
+def stream_latency(spark, root):
+    """Minute sketches of the stream, folded to 5-minute windows sliding by one."""
+    base, replay = _event_source(spark, root)
+    minutes = spark.read.parquet(replay(
+        lambda src: J.latency_job(spark, src, base, trigger=AVAILABLE_NOW)))
+    w = MO.fold_latency(minutes, 5, (0.5, 0.95), slide=1)
+    return w.select(C.ts_text("w.start").alias("window_start"), "n", "p50", "p95")
+
+
+@register("stream_ctr", ops="V6", sql="""
+WITH served AS (SELECT event_id AS served_id, user_id, ts FROM events WHERE event_type = 'view'),
+clicks AS (SELECT event_id AS click_id, user_id, ts FROM events WHERE event_type = 'click'),
+hits AS (SELECT s.served_id, s.user_id, s.ts, c.click_id FROM served s JOIN clicks c
+         ON c.user_id = s.user_id AND c.ts >= s.ts AND c.ts <= s.ts + INTERVAL 30 MINUTE),
+mark AS (SELECT least((SELECT max(ts) FROM served), (SELECT max(ts) FROM clicks))
+                - INTERVAL 10 MINUTE AS m),
+allrows AS (
+  SELECT served_id, user_id, ts, click_id FROM hits
+  UNION ALL
+  SELECT served_id, user_id, ts, NULL FROM served, mark
+  WHERE served_id NOT IN (SELECT served_id FROM hits) AND ts + INTERVAL 30 MINUTE < m)
+SELECT served_id, user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS served_ts,
+  coalesce(CAST(click_id AS VARCHAR), 'none') AS click FROM allrows""")
+def stream_ctr(spark, root):
+    """V6: served lists with their clicks within 30 minutes, and lists that
+    nobody clicked once the watermark has passed them."""
+    base, replay = _event_source(spark, root)
+    s = spark.read.parquet(replay(
+        lambda src: J.ctr_job(spark, src, base, trigger=AVAILABLE_NOW)))
+    return s.select("served_id", "user_id", F.date_format(
+        "served_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("served_ts"),
+        F.coalesce(F.col("click_id").cast("string"), F.lit("none")).alias("click"))
+
+
+def _profile_state(spark, root):
+    base, replay = _event_source(spark, root)
+    return spark.read.parquet(replay(
+        lambda src: J.profile_state_job(spark, src, base, trigger=AVAILABLE_NOW)))
+
+
+@register("stream_recency", ops="W7,W6,X5", doubles=("since_last", "session_seconds"), sql="""
+WITH g AS (SELECT event_id, user_id, ts,
+             lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
+s AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts - prev >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+             OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid
+      FROM g)
+SELECT event_id, user_id, epoch_us(ts) / 1e6 - epoch_us(prev) / 1e6 AS since_last,
+  (epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY user_id, sid))) / 1e6 AS session_seconds
+FROM s""")
+def stream_recency(spark, root):
+    """W7, W6 in the stream: seconds since the user's last event and since the
+    session began, for every event, from state kept across restarts."""
+    return _profile_state(spark, root).select("event_id", "user_id", "since_last",
+                                              "session_seconds")
+
+
+@register("stream_profile_state", ops="X5,G1", doubles=("value_sum",), sql="""
+SELECT event_id, user_id,
+  count(*) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS n,
+  sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS value_sum
+FROM events""")
+def stream_profile_state(spark, root):
+    """The profile so far (events and the sum of their values) at every event."""
+    return _profile_state(spark, root).select("event_id", "user_id", "n", "value_sum")

@@ -18,14 +18,16 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rankforge.functions.columns import from_epoch, is_weekend
-from rankforge.operators import features, profiles
+from rankforge.operators import features, monitoring, profiles
 from rankforge.sources.tables import STREAM_INTERACTION_SCHEMA
 
 MESSAGE_SCHEMA = T.StructType([
@@ -39,6 +41,7 @@ EVENT_SCHEMA = T.StructType([
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 PCA_SHARE = 0.33
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 # --- producer side (S8 sink) -------------------------------------------------
@@ -312,6 +315,107 @@ def rates_job(spark: SparkSession, source: str, root: str, trigger=None) -> str:
     return sink
 
 
+def latency_job(spark: SparkSession, source: str, root: str, trigger=None) -> str:
+    """One mergeable latency sketch a minute, appended once the
+    watermark passes the minute; ``monitoring.fold_latency`` reads any window."""
+    ev = decode_events(message_stream(spark, source)).withWatermark("ts", "10 minutes")
+    m = monitoring.latency_sketches(ev, ts=F.col("ts"), value_col="value")
+    sink = os.path.join(root, "latency_minutes")
+    q = _start(m, "latency", os.path.join(root, "_ckpt_latency"), trigger, sink=sink)
+    run_to_completion(q)
+    return sink
+
+
+def ctr_job(spark: SparkSession, source: str, root: str, within: str = "30 minutes",
+            watermark: str = "10 minutes", trigger=None) -> str:
+    """V6: served lists joined with the same user's clicks from ``within`` after
+    them: (served_id, user_id, served_ts, click_id), a row for each click and,
+    once no click can come any more, a row without one.
+
+    Both sides have watermarks and the join an interval, so state is dropped as
+    time passes: a list is kept for ``within`` and the delay, a click for the delay.
+    """
+    ev = decode_events(message_stream(spark, source))
+    served = ev.filter(F.col("event_type") == "view").select(
+        F.col("event_id").alias("served_id"), "user_id", F.col("ts").alias("served_ts")) \
+        .withWatermark("served_ts", watermark)
+    clicks = ev.filter(F.col("event_type") == "click").select(
+        F.col("event_id").alias("click_id"), F.col("user_id").alias("click_user"),
+        F.col("ts").alias("click_ts")).withWatermark("click_ts", watermark)
+    joined = served.join(clicks, (F.col("user_id") == F.col("click_user"))
+                         & (F.col("click_ts") >= F.col("served_ts"))
+                         & (F.col("click_ts") <= F.col("served_ts") + F.expr(f"INTERVAL {within}")),
+                         "leftOuter").select("served_id", "user_id", "served_ts", "click_id")
+    sink = os.path.join(root, "served_clicks")
+    q = _start(joined, "ctr", os.path.join(root, "_ckpt_ctr"), trigger, sink=sink)
+    run_to_completion(q)
+    return sink
+
+
+PROFILE_STATE = ("n long, value_sum double, first_us long, last_us long, session_start_us long")
+PROFILE_OUT = ("event_id long, user_id long, ts_us long, n long, value_sum double, "
+               "since_last double, session_seconds double")
+
+
+class RunningProfile(StatefulProcessor):
+    """State of one user: events and their sum so far, first and last time, start
+    of the session.  Each event leaves with the profile up to and including it,
+    the seconds since the last one (null for the first) and since the session began."""
+
+    def __init__(self, gap_us: int, ttl_ms: int | None) -> None:
+        self.gap_us, self.ttl_ms = gap_us, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("profile", PROFILE_STATE, self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        known = self.state.get()
+        n, total, first, last, begun = known if known is not None else (0, 0.0, None, None, None)
+        batch = pd.concat(list(rows)).sort_values(["ts_us", "event_id"], kind="stable")
+        out = []
+        for event, ts, value in zip(batch["event_id"].tolist(), batch["ts_us"].tolist(),
+                                    batch["value"].fillna(0.0).tolist()):
+            since = None if last is None else (ts - last) / 1e6
+            if last is None or ts - last >= self.gap_us:
+                begun = ts
+            first, last, n, total = (ts if first is None else first), ts, n + 1, total + value
+            out.append((event, key[0], ts, n, total, since, (ts - begun) / 1e6))
+        self.state.update((n, total, first, last, begun))
+        yield pd.DataFrame(out, columns=["event_id", "user_id", "ts_us", "n", "value_sum",
+                                         "since_last", "session_seconds"])
+
+    def close(self) -> None:
+        pass
+
+
+def profile_state_job(spark: SparkSession, source: str, root: str, gap_seconds: int = 1800,
+                      ttl_ms: int | None = None, trigger=None) -> str:
+    """The running profile of every user, kept in the state store
+    (RocksDB, so state may exceed memory) and read at each event.
+
+    ``ttl_ms`` drops a user's state so long after its last update; such a job
+    goes by the clock and runs until it is stopped (no ``availableNow``).  A
+    restarted job goes on from its checkpoint.  Events of a micro-batch are taken in time
+    order; one that is older than the user's last has a negative ``since_last``.
+    """
+    ev = decode_events(message_stream(spark, source)).filter(
+        F.col("user_id").isNotNull() & F.col("ts").isNotNull()).select(
+        "event_id", "user_id", F.unix_micros("ts").alias("ts_us"), "value")
+    previous = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    try:
+        out = ev.groupBy("user_id").transformWithStateInPandas(
+            RunningProfile(gap_seconds * 1_000_000, ttl_ms), PROFILE_OUT, "Append",
+            "None" if ttl_ms is None else "ProcessingTime")
+        sink = os.path.join(root, "running_profiles")
+        q = _start(out, "profile-state", os.path.join(root, "_ckpt_profile_state"), trigger,
+                   sink=sink)
+        run_to_completion(q)
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", previous)
+    return sink
+
+
 def dedup_job(spark: SparkSession, source: str, root: str, watermark: str = "1 hour",
               trigger=None) -> str:
     """Suppress producer retries: drop repeated event ids within the

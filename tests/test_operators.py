@@ -84,10 +84,10 @@ def test_item_knn_matches_brute_force(spark):
     norms = np.linalg.norm(m, axis=0)
     co = m.T @ m
     expected = {(i, j) for i in range(30) for j in range(30) if i != j and co[i, j] > 0}
-    for blocks, chunks in ((3, 2), (3, 1), (1, 1)):
+    for long_history in (4, 8, 1024):
         got = {(r["item_id"], r["neighbor_id"]): r["similarity"]
                for r in models.item_knn(train, min_interactions=1, top=50, min_similarity=0.0,
-                                        item_blocks=blocks, user_chunks=chunks).collect()}
+                                        long_history=long_history, block_items=7).collect()}
         for (i, j), s in got.items():
             assert s == pytest.approx(m[:, i] @ m[:, j] / (norms[i] * norms[j]), abs=1e-8)
         assert set(got) == expected
@@ -98,8 +98,8 @@ def test_item_knn_top_k_paths_agree(spark):
     rows = [(int(u), int(i), float(rng.integers(1, 6)))
             for u in range(60) for i in rng.choice(50, size=10, replace=False)]
     train = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
-    a = models.item_knn(train, min_interactions=2, top=5, item_blocks=4, user_chunks=1)
-    b = models.item_knn(train, min_interactions=2, top=5, item_blocks=2, user_chunks=3)
+    a = models.item_knn(train, min_interactions=2, top=5, long_history=1)
+    b = models.item_knn(train, min_interactions=2, top=5, long_history=1024)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
