@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -42,8 +43,15 @@ IMPLIED = {
         {"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}))}
 #: Nested lists and quotes are indented up to this depth; deeper ones like this one.
 DEPTH = 20
+#: Cells are padded to columns while that adds at most so many spaces for each
+#: character of the table (a cell counts as eight at least); cells of a sparser
+#: table stand beside each other unaligned, so a page's text stays in proportion.
+PADDING = 16
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>")
+#: A tag with a quote that never closes ends at the next ``>``.
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_TAG_START = re.compile(r"</?[a-zA-Z]")
 _ATTR = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _GONE = re.compile(r"(?<![\w-])display\s*:\s*none", re.I)
@@ -59,11 +67,15 @@ class Box:
         self.line: list[str] = []
         self.space = False          # white space since the last text of the line
         self.gap = False            # an empty line is due before the next one
+        self.mark = ""              # of a list item, due before the next text
 
     def text(self, s: str) -> None:
         for k, part in enumerate(_SPACE.split(s)):
             self.space |= k > 0
             if part:
+                if self.mark and not self.line:
+                    self.line.append(self.mark)
+                    self.mark, self.space = "", False
                 if self.space and self.line:
                     self.line.append(" ")
                 self.line.append(part)
@@ -110,9 +122,11 @@ def _attributes(s: str) -> dict[str, str]:
     return out
 
 
-def _placed(rows: list[list[tuple[list[str], int, int]]]) -> list[list[tuple[list[str], int]]]:
-    """Rows with an empty cell in each column that a cell from above still takes."""
-    out, taken = [], {}                                  # column: rows still taken
+def _placed(rows: list[list[tuple[list[str], int, int]]], most: int) \
+        -> list[list[tuple[list[str], int]]] | None:
+    """Rows with an empty cell in each column that a cell from above still
+    takes; None if that makes more than ``most`` cells."""
+    out, taken, cells = [], {}, 0                        # column: rows still taken
     for row in rows:
         placed, at, new = [], 0, {}
         for lines, span, down in row:
@@ -122,35 +136,53 @@ def _placed(rows: list[list[tuple[list[str], int, int]]]) -> list[list[tuple[lis
             placed.append((lines, span))
             if down > 1:
                 new.update(dict.fromkeys(range(at, at + span), down))
+                cells += span
             at += span
         for at in range(at, max(taken, default=-1) + 1):
             placed.append(([""], 1))
+        cells += len(placed) + len(taken)
+        if cells > most:
+            return None
         out.append(placed)
         taken = {c: n - 1 for c, n in {**taken, **new}.items() if n > 1}
     return out
 
 
-def _table(rows: list[list[tuple[list[str], int]]]) -> list[str]:
+def _table(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     """Cells in aligned columns, `` | `` between them; a cell of several lines
-    makes its row as high.  A cell that spans columns widens none of them."""
-    widths: dict[int, int] = {}
-    for row in rows:
-        at = 0
-        for lines, span in row:
-            if span == 1:
-                widths[at] = max(widths.get(at, 0), *map(len, lines), 0)
-            at += span
+    makes its row as high.  A cell that spans columns widens none of them.
+    Beyond ``PADDING`` the cells of a row stand beside each other unaligned."""
+    text = sum(max(8, sum(map(len, lines))) for row in rows for lines, _, _ in row)
+    placed, aligned = _placed(rows, PADDING * text), False
+    if placed is not None:
+        widths: dict[int, int] = {}
+        ends = []
+        for row in placed:
+            at = 0
+            for lines, span in row:
+                if span == 1:
+                    widths[at] = max(widths.get(at, 0), *map(len, lines), 0)
+                at += span
+            ends.append(at)
+        upto = [0]
+        for at in range(max(ends, default=0)):
+            upto.append(upto[-1] + widths.get(at, 0) + 3)
+        size = sum(upto[at] * max((len(lines) for lines, _ in row), default=0)
+                   for row, at in zip(placed, ends))
+        aligned = size <= PADDING * text
+    if not aligned:
+        placed = [[(lines, 1) for lines, _, _ in row] for row in rows]
     out = []
-    for row in rows:
+    for row in placed:
         if not any(any(lines) for lines, _ in row):
             continue
         for k in range(max(len(lines) for lines, _ in row)):
             parts, at = [], 0
             for lines, span in row:
-                width = sum(widths.get(i, 0) for i in range(at, at + span)) + 3 * (span - 1)
-                parts.append((lines[k] if k < len(lines) else "").ljust(width))
+                part = lines[k] if k < len(lines) else ""
+                parts.append(part.ljust(upto[at + span] - upto[at] - 3) if aligned else part)
                 at += span
-            out.append(" | ".join(parts).rstrip())
+            out.append(" | ".join(parts if aligned else filter(None, parts)).rstrip())
     return out
 
 
@@ -159,7 +191,7 @@ class Layout:
 
     def __init__(self) -> None:
         self.stack = [Node("#root", False, Box(), 0)]
-        self.open: dict[str, int] = {}                   # open elements by tag
+        self.open: dict[str, list[int]] = {}             # places of open elements by tag
 
     def start(self, tag: str, attributes: str) -> None:
         if self.open.get("head") and tag not in IN_HEAD and tag != "head":
@@ -172,12 +204,7 @@ class Layout:
             self.stop(self.stack[-1].tag)
         if tag in IMPLIED:
             ends, bounds = IMPLIED[tag]
-            for i in range(len(self.stack) - 1, 0, -1):
-                if self.stack[i].tag in bounds:
-                    self.cut(i + 1, ends)
-                    break
-            else:
-                self.cut(1, ends)
+            self.cut(self.last(bounds) + 1, ends)
         if tag in ("td", "th") and self.open.get("table") and self.stack[-1].tag in (
                 "table", "tbody", "thead", "tfoot"):
             self.start("tr", "")
@@ -207,9 +234,11 @@ class Layout:
                 top.box.text(given["value"])
         if tag in VOID or (foreign or tag in FOREIGN) and attributes.endswith("/"):
             return
-        own = tag in ("li", "dd", "blockquote", "td", "th", "table", "caption")
-        node = Node(tag, hidden, Box() if own and not hidden else top.box, top.depth + (
-            tag in ("li", "dd", "blockquote")), veiled)
+        depth = top.depth + (tag in ("li", "dd", "blockquote"))
+        own = tag in ("td", "th", "table", "caption") or depth > top.depth and depth <= DEPTH
+        if tag == "li" and not own and not hidden:       # deep: its lines go on in the same flow
+            top.box.mark = self.item_mark()
+        node = Node(tag, hidden, Box() if own and not hidden else top.box, depth, veiled)
         node.foreign = tag in FOREIGN or foreign and tag not in ("foreignobject", "annotation-xml")
         if tag in ("td", "th"):
             span = given.get("colspan", "")
@@ -218,21 +247,34 @@ class Layout:
             node.down = (int(down) or 65_534) if down.isdecimal() and len(down) < 6 else 1
         if tag == "ol" and given.get("start", "").lstrip("-").isdecimal() and len(given["start"]) < 10:
             node.count = int(given["start"])
+        self.open.setdefault(tag, []).append(len(self.stack))
         self.stack.append(node)
-        self.open[tag] = self.open.get(tag, 0) + 1
         if tag == "tr" and not hidden and (table := self.table()):
             table.rows.append([])
 
+    def last(self, tags) -> int:
+        """Place of the innermost open element of ``tags``; 0 without one."""
+        return max((self.open[t][-1] for t in tags if self.open.get(t)), default=0)
+
     def table(self) -> Node | None:
-        return next((n for n in reversed(self.stack) if n.tag == "table"), None)
+        return self.stack[self.last(("table",))] if self.open.get("table") else None
+
+    def item_mark(self) -> str:
+        """Mark of the next item of the innermost list."""
+        at = self.last(("ol", "ul", "menu", "dir"))
+        holder = self.stack[at] if at else self.stack[-1]
+        holder.count += 1
+        return f"{holder.count - 1}. " if holder.tag == "ol" else "- "
 
     def cut(self, low: int, ends: set[str]) -> None:
         """End the lowest open element of ``ends`` from place ``low`` on, and all above it."""
-        for i in range(low, len(self.stack)):
-            if self.stack[i].tag in ends:
-                while len(self.stack) > i:
-                    self.pop()
-                return
+        low = max(1, low)
+        found = [x[k] for x in (self.open.get(t, ()) for t in ends)
+                 if (k := bisect_left(x, low)) < len(x)]
+        if found:
+            at = min(found)
+            while len(self.stack) > at:
+                self.pop()
 
     def stop(self, tag: str, bounds: frozenset | set = frozenset()) -> None:
         """The end tag: ends the innermost such element, if no bound is in between."""
@@ -240,21 +282,20 @@ class Layout:
             if tag == "p":
                 self.stack[-1].box.end(True)
             return
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                while len(self.stack) > i:
-                    self.pop()
-                return
-            if self.stack[i].tag in bounds:
-                return
+        at = self.open[tag][-1]
+        if self.last(bounds - {tag}) < at:
+            while len(self.stack) > at:
+                self.pop()
 
     def pop(self) -> None:
         node = self.stack.pop()
-        self.open[node.tag] -= 1
+        self.open[node.tag].pop()
         tag, box, top = node.tag, node.box, self.stack[-1]
         if node.hidden:
             return
         if box is top.box:
+            if tag == "li":
+                box.mark = ""
             if tag in BLOCK:
                 box.end(tag in APART)
             return
@@ -269,15 +310,13 @@ class Layout:
                 table.rows[-1].append((lines or [""], node.span, node.down))
             return
         if tag == "table":
-            lines = lines + _table(_placed(node.rows))
+            lines = lines + _table(node.rows)
         elif tag == "li":
-            holder = next((n for n in reversed(self.stack) if n.tag in ("ol", "ul", "menu", "dir")), top)
-            mark = f"{holder.count}. " if holder.tag == "ol" else "- "
-            holder.count += 1
+            mark = self.item_mark()
             if lines:
-                pad = " " * len(mark) if node.depth <= DEPTH else ""
+                pad = " " * len(mark)
                 lines = [mark + lines[0]] + [(pad + x) if x else x for x in lines[1:]]
-        elif node.depth <= DEPTH:
+        else:
             mark = "> " if tag == "blockquote" else "  "
             lines = [(mark + x).rstrip() for x in lines]
         top.box.end()
@@ -308,6 +347,7 @@ class Layout:
 def render(source: str) -> str:
     """All visible text of an HTML document, laid out."""
     out, at, n = Layout(), 0, len(source)
+    last, pattern = source.rfind(">"), _TAG
     while at < n:
         lt = source.find("<", at)
         if lt < 0:
@@ -321,7 +361,7 @@ def render(source: str) -> str:
         elif source.startswith(("<!", "<?"), lt):
             end = source.find(">", lt)
             at = n if end < 0 else end + 1
-        elif m := _TAG.match(source, lt):
+        elif m := pattern.match(source, lt) if lt < last else None:
             tag, at = m[2].lower(), m.end()
             if m[1]:
                 out.stop(tag, {"td", "th", "table"} - {tag} if tag not in (
@@ -341,6 +381,8 @@ def render(source: str) -> str:
                 at = end
                 if not closing:
                     break
+        elif lt < last and pattern is _TAG and _TAG_START.match(source, lt):
+            pattern, at = _PLAIN_TAG, lt                 # a quote that is never closed
         else:                                            # no tag after all
             out.data("<")
             at = lt + 1

@@ -52,10 +52,13 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url",
     lengths = rules.agg(F.collect_set(F.char_length("r_path"))).scalar()
     labels = F.split("host", r"\.", -1)
     places = parts.select("host", "path").distinct()
-    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(
-        F.slice(labels, i, F.size(labels)), "."))
+    # Suffixes with as many labels as some rule's host, and as long paths.
+    depths = rules.agg(F.collect_set(F.size(F.split("r_host", r"\.", -1)))).scalar()
+    hosts = F.transform(F.filter("depths", lambda d: d <= F.size("labels")), lambda d: F.array_join(
+        F.slice("labels", F.size("labels") - d + 1, d), "."))
     tried = (places.withColumn("lengths", lengths).withColumn("ends", F.filter(
         "lengths", lambda n: n <= F.char_length("path")))
+             .withColumn("depths", depths).withColumn("labels", labels)
              .select("host", "path", "ends", F.explode(hosts).alias("e_host"))
              .select("host", "path", "e_host", F.explode("ends").alias("end"))
              .withColumn("full", _digest(F.col("e_host"), F.left("path", F.col("end")))))
