@@ -97,6 +97,42 @@ def mann_whitney_p(u: float, n1: float, n2: float, tie_term: float) -> float:
     return min(1.0, 2.0 * (1.0 - norm_cdf(z)))
 
 
+#: The exact distribution of U is used without ties, up to this smaller sample.
+MW_EXACT = 8
+
+
+def mann_whitney_counts(n1: int, n2: int, upto: int) -> np.ndarray:
+    """How many of the orders of two samples give U = 0 .. ``upto``: the
+    coefficients of the Gaussian binomial prod (1 - x^(n2 + i)) / (1 - x^i),
+    i = 1 .. n1 (Mann and Whitney, 1947)."""
+    counts = np.zeros(upto + 1)
+    counts[0] = 1.0
+    for i in range(1, n1 + 1):
+        for start in range(min(i, upto + 1)):            # divide by 1 - x^i
+            counts[start::i] = np.cumsum(counts[start::i])
+        if n2 + i <= upto:                               # times 1 - x^(n2 + i)
+            counts[n2 + i:] = counts[n2 + i:] - counts[:upto + 1 - n2 - i]
+    return counts
+
+
+def mann_whitney_exact(u: float, n1: int, n2: int) -> float:
+    """Two-sided exact p-value of U without ties: twice the smaller tail."""
+    small, large = min(n1, n2), max(n1, n2)
+    low = int(min(u, n1 * n2 - u))
+    tail = float(mann_whitney_counts(small, large, low).sum())
+    return min(1.0, 2.0 * tail / math.comb(small + large, small))
+
+
+def mann_whitney_two_sided(u: float, n1: float, n2: float, tie_term: float) -> float:
+    """Exact if one sample has at most ``MW_EXACT`` values and none are tied,
+    else the normal approximation; undefined without values on both sides."""
+    if n1 < 1 or n2 < 1:
+        return float("nan")
+    if tie_term == 0 and min(n1, n2) <= MW_EXACT:
+        return mann_whitney_exact(u, int(n1), int(n2))
+    return mann_whitney_p(u, n1, n2, tie_term)
+
+
 # --- pandas UDFs ------------------------------------------------------------
 @F.pandas_udf(T.DoubleType())
 def t_pvalue_udf(t: pd.Series, df: pd.Series) -> pd.Series:
@@ -119,5 +155,5 @@ def norm_ppf_udf(p: pd.Series) -> pd.Series:
 @F.pandas_udf(T.DoubleType())
 def mann_whitney_p_udf(u: pd.Series, n1: pd.Series, n2: pd.Series,
                        ties: pd.Series) -> pd.Series:
-    return pd.Series([mann_whitney_p(float(a), float(b), float(c), float(d))
+    return pd.Series([mann_whitney_two_sided(float(a), float(b), float(c), float(d))
                       for a, b, c, d in zip(u, n1, n2, ties)], dtype="float64")

@@ -214,9 +214,9 @@ def inflight(req: DataFrame, bucket: str = "1 minute") -> DataFrame:
     """Q10: concurrent requests at each request start.
 
     +1 at start, -1 at end (start + latency).  A running sum over one global
-    order would run in a single task, so it is computed in two levels:
-    a running sum inside each time bucket plus the net total of all earlier
-    buckets (a prefix sum over the small per-bucket table).
+    order would run in a single task, so it is computed in levels:
+    a running sum inside each time bucket, plus the net total of the day's
+    earlier buckets, plus that of all earlier days (one row a day in one order).
     """
     start = req.select("event_id", F.col("ts").cast("timestamp").alias("t"),
                        F.lit(1).alias("delta"))
@@ -229,8 +229,14 @@ def inflight(req: DataFrame, bucket: str = "1 minute") -> DataFrame:
          .rowsBetween(Window.unboundedPreceding, 0))
     ev = ev.withColumn("_in", F.sum("delta").over(w))
     tot = ev.groupBy("b").agg(F.sum("delta").alias("_net"))
-    wb = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.withColumn("_carry", F.coalesce(F.sum("_net").over(wb), F.lit(0))).drop("_net")
+    # Buckets are summed within their day, and only days in one order.
+    tot = tot.withColumn("_day", F.date_trunc("day", "b"))
+    days = tot.groupBy("_day").agg(F.sum("_net").alias("_dnet"))
+    earlier = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("_day", F.coalesce(F.sum("_dnet").over(earlier), F.lit(0)).alias("_dcarry"))
+    wb = Window.partitionBy("_day").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.join(days, "_day").select(
+        "b", (F.coalesce(F.sum("_net").over(wb), F.lit(0)) + F.col("_dcarry")).alias("_carry"))
     j = ev.join(tot, "b")
     return j.filter(F.col("delta") == 1).select(
         "event_id", (F.col("_in") + F.col("_carry")).cast("long").alias("inflight"))

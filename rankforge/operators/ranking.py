@@ -115,14 +115,132 @@ def popularity_candidates(users: DataFrame, seen: DataFrame, pool: DataFrame, n:
             .join(pairs, [user_col, item_col], "left_anti"))
 
 
+def seen_ranks(seen: DataFrame, pool: DataFrame, user_col: str = "user_id",
+               item_col: str = "item_id") -> DataFrame:
+    """(user, prank): the ranks of the items that each user has seen."""
+    return seen.select(user_col, item_col).distinct().join(
+        pool.select(item_col, "prank"), item_col).select(user_col, "prank")
+
+
+def unseen_ranks(users: DataFrame, ranks: DataFrame, n: int, user_col: str = "user_id",
+                 block: int = 4096) -> DataFrame:
+    """(user, rank, prank): the first ``n`` ranks (rank 1 .. n) without an entry
+    in ``ranks``, by a walk over the gaps between a user's seen ranks.
+
+    The k-th unseen rank is k plus the number of seen ranks with fewer than k
+    unseen ones before them.  Counts per block of ranks tell up to which block a
+    user has to look, so only the seen ranks up to there make an array; a long
+    history spread over the catalog gives a short one.  Ranks beyond the end of
+    the pool are given too: the join with the pool drops them.
+    """
+    u = users.select(user_col).distinct()
+    ranks = ranks.join(u, user_col, "left_semi").withColumn(
+        "_b", F.floor((F.col("prank") - 1) / F.lit(block)))
+    w = Window.partitionBy(user_col).orderBy("_b")
+    blocks = (ranks.groupBy(user_col, "_b").agg(F.count(F.lit(1)).alias("_c"))
+              .withColumn("_free", (F.col("_b") + 1) * block - F.sum("_c").over(w))
+              .withColumn("_before", F.col("_free") - block + F.col("_c")))
+    # Blocks with fewer than n unseen ranks before them.
+    needed = blocks.filter(F.col("_before") < n).select(user_col, "_b")
+    own = (ranks.join(needed, [user_col, "_b"], "left_semi").groupBy(user_col)
+           .agg(F.array_sort(F.collect_list("prank")).alias("_s")))
+    gaps = F.transform("_s", lambda r, j: r - (j + 1))
+    u = u.join(own, user_col, "left").select(
+        user_col, F.coalesce(F.filter(gaps, lambda g: g < n), F.array().cast("array<bigint>"))
+        .alias("_g"))
+    found = F.transform(F.sequence(F.lit(1), F.lit(n)),
+                        lambda k: k + F.size(F.filter("_g", lambda g: g < k)))
+    return u.select(user_col, F.posexplode(found).alias("_k", "prank")).select(
+        user_col, (F.col("_k") + 1).alias("rank"), F.col("prank").cast("long").alias("prank"))
+
+
+def with_pool(ranked: DataFrame, pool: DataFrame, n: int, user_col: str = "user_id",
+              item_col: str = "item_id") -> DataFrame:
+    """``ranked`` (user, rank, prank) with item and score.  The pool's head,
+    which all users join, is copied to each salt; further ranks are keys of few users."""
+    low = F.col("prank") <= 8 * n
+    salts = F.lit(DEFAULT_SALT_BUCKETS)
+    ranked = ranked.withColumn("_salt", F.when(low, F.pmod(F.xxhash64(user_col), salts))
+                               .otherwise(F.lit(0)))
+    items = pool.select(item_col, "score", "prank").withColumn("_salt", F.explode(F.when(
+        low, F.sequence(F.lit(0).cast("long"), (salts - 1).cast("long")))
+        .otherwise(F.array(F.lit(0).cast("long")))))
+    return ranked.join(items, ["prank", "_salt"]).select(user_col, item_col, "score", "rank")
+
+
 def popularity_recs(users: DataFrame, seen: DataFrame, pool: DataFrame, n: int,
                     user_col: str = "user_id", item_col: str = "item_id") -> DataFrame:
     """Exact top-``n`` of the pool per user without the items the user has
     seen: (user_id, item_id, score, rank).  Users with fewer unseen items in
     the pool get those."""
-    c = popularity_candidates(users, seen, pool, n, user_col, item_col)
-    return top_k_per_group(c, [user_col], [F.col("prank")], n, salt_col=item_col).select(
-        user_col, item_col, "score", "rank")
+    ranks = unseen_ranks(users, seen_ranks(seen, pool, user_col, item_col), n, user_col)
+    return with_pool(ranks, pool, n, user_col, item_col)
+
+
+def threshold_blend(users: DataFrame, seen: DataFrame, first: DataFrame, second: DataFrame,
+                    n: int, depth: int | None = None) -> DataFrame:
+    """Exact top-``n`` of two rankings of one catalog, each min-max scaled
+    per user over all unseen items and averaged: (user_id, item_id, score, rank,
+    depth), ``depth`` being the ranks read of each list.
+
+    Threshold algorithm (Fagin, Lotem and Naor, 2003), a round for all users at
+    once: read the next unseen ranks of both lists, look up the other score, and
+    let a user go once the n-th blend is above what the last ranks read could
+    reach together, or a list is at its end; the others read four times as deep.
+    Equal blends (9 digits) rank by item id.
+    """
+    pools = [written(p.select("item_id", "score", "prank"), "blend-pool") for p in (first, second)]
+    size = [p.count() for p in pools]
+    ranks = [written(seen_ranks(seen, p), "blend-seen") for p in pools]
+    active = written(users.select("user_id").distinct(), "blend-users")
+    for k, (p, r, m) in enumerate(zip(pools, ranks, size)):
+        # The lowest unseen score is the first one from the other end.
+        def turn(df: DataFrame, m: int = m) -> DataFrame:
+            return df.withColumn("prank", F.lit(m + 1) - F.col("prank"))
+        lowest = with_pool(unseen_ranks(active, turn(r), 1), turn(p), 1)
+        active = active.join(lowest.select("user_id", F.col("score").alias(f"lo{k}")), "user_id")
+    active = written(active, "blend-users")
+    depth, done = depth or 4 * n, []
+    while True:
+        lists = [with_pool(unseen_ranks(active, r, depth), p, depth)
+                 for p, r in zip(pools, ranks)]
+        lists = [written(x, "blend-read") for x in lists]
+        ends = active
+        for k, x in enumerate(lists):
+            ends = ends.join(x.groupBy("user_id").agg(
+                F.max("score").alias(f"hi{k}"), F.min("score").alias(f"at{k}"),
+                F.count(F.lit(1)).alias(f"n{k}")), "user_id")
+
+        def scaled(k: int, score: Column) -> Column:
+            gap = F.col(f"hi{k}") - F.col(f"lo{k}")
+            return F.when(gap > 0, (score - F.col(f"lo{k}")) / gap).otherwise(F.lit(1.0))
+        cands = lists[0].select("user_id", "item_id").union(
+            lists[1].select("user_id", "item_id")).distinct()
+        for k, p in enumerate(pools):
+            cands = cands.join(p.select("item_id", F.col("score").alias(f"s{k}")), "item_id")
+        blend = (scaled(0, F.col("s0")) + scaled(1, F.col("s1"))) / F.lit(2.0)
+        reach = (scaled(0, F.col("at0")) + scaled(1, F.col("at1"))) / F.lit(2.0)
+        whole = (F.col("n0") < depth) | (F.col("n1") < depth)
+        scored = cands.join(ends, "user_id").select(
+            "user_id", "item_id", blend.alias("score"), F.round(blend, 9).alias("_r"),
+            F.when(whole, F.lit(-1.0)).otherwise(reach).alias("_reach"))
+        # At most 2 * depth candidates a user, all in one window only while depth is small.
+        top = written(top_k_per_group(scored, ["user_id"], [F.col("_r").desc(), F.col("item_id")],
+                                      n, salt_col="item_id"), "blend-top")
+        sure = top.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"), F.min("_r").alias("_min"),
+                                          F.max("_reach").alias("_reach"))
+        sure = sure.filter((F.col("_reach") < 0) | ((F.col("_n") >= n) & (
+            F.col("_min") > F.col("_reach") + F.lit(1e-8)))).select("user_id")
+        done.append(top.join(sure, "user_id", "left_semi").select(
+            "user_id", "item_id", "score", "rank", F.lit(depth).alias("depth")))
+        active = written(active.join(sure, "user_id", "left_anti"), "blend-users")
+        if active.isEmpty():
+            break
+        depth *= 4
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out
 
 
 def lists_from_ranked(recs: DataFrame, user_col="user_id", item_col="item_id",

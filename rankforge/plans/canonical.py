@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from rankforge.functions.columns import clip, dbl
 from rankforge.operators import features, profiles, ranking
-from rankforge.session import checkpoint_dir
+from rankforge.session import written
 from rankforge.sources.tables import Tables, interactions
 
 # Fixed values of the canonical evaluation.
@@ -33,10 +33,11 @@ RATING_LO, RATING_HI = 1.0, 5.0
 @dataclass
 class Canonical:
     """Lazy canonical inputs.  With ``materialize=True`` the deduplicated
-    interactions are written once (reliable checkpoint in the shared
-    checkpoint directory) and every derived input scans that table: jobs
-    with many metric branches then pay the big join + dedup shuffle once,
-    and lineage is cut, so a lost executor re-reads the written table.
+    interactions are written once (Parquet below the shared checkpoint
+    directory) and every derived input scans that table, with its columns
+    pruned and the cutoff pushed down: jobs with many metric branches then pay
+    the big join + dedup shuffle once, and lineage is cut, so a lost executor
+    re-reads the written table.
     ``materialize_recs`` does the same for the recommendation lists, for
     jobs that read them in several branches (the evaluation report)."""
     spark: SparkSession
@@ -55,10 +56,7 @@ class Canonical:
     @cached_property
     def dedup(self) -> DataFrame:
         d = features.dedup_last(self.raw)
-        if self.materialize:
-            checkpoint_dir(self.spark)
-            d = d.checkpoint(eager=True)
-        return d
+        return written(d, "dedup") if self.materialize else d
 
     @cached_property
     def train(self) -> DataFrame:
@@ -84,10 +82,8 @@ class Canonical:
     @cached_property
     def recs(self) -> DataFrame:
         r = ranking.popularity_recs(self.truth.select("user_id"), self.seen, self.pool, TOP_N)
-        if self.materialize_recs:           # only worth it when several branches read it
-            checkpoint_dir(self.spark)
-            r = r.checkpoint(eager=True)
-        return r
+        # Only worth it when several branches read the lists.
+        return written(r, "lists") if self.materialize_recs else r
 
     @cached_property
     def popularity(self) -> DataFrame:

@@ -14,6 +14,7 @@ from rankforge.functions import stats as S
 from rankforge.functions.columns import dbl
 from rankforge.operators import abtest as AB
 from rankforge.plans.registry import register
+from rankforge.session import written
 from rankforge.sources.tables import Tables
 
 
@@ -37,17 +38,15 @@ def _setup(spark, root, materialize: bool = False):
     """Events, experiment table, assigned observations.  Queries that read
     the observations in several branches (statistics, ranks, bounds) set
     ``materialize``: the observation table is then written once
-    (checkpoint) and every branch scans it instead of re-joining events."""
+    (Parquet) and every branch scans it instead of re-joining events."""
     e = Tables(spark, root).events
     exps = AB.with_defaults(experiments_table(e))
     units = e.join(exps.select("experiment_id", "event_type"), "event_type") \
         .select("event_id", "experiment_id", "user_id", "value")
     obs = AB.assign(units, exps)
     if materialize:
-        from rankforge.session import checkpoint_dir
-        checkpoint_dir(spark)
-        obs = obs.select("event_id", "experiment_id", "user_id", "value", "variant") \
-            .checkpoint(eager=True)
+        obs = written(obs.select("event_id", "experiment_id", "user_id", "value", "variant"),
+                      "observations")
     return e, exps, obs
 
 
@@ -151,10 +150,45 @@ def mann_whitney_u(spark, root):
     return AB.mann_whitney(obs)
 
 
-@register("ab_pvalue", ops="B6,B9,B10,B7")
+# Simpson's rule over the densities of Student's t and of the normal distribution.
+PVALUE_SQL = EXP_SQL + """,
+rk AS (SELECT *, rank() OVER (PARTITION BY experiment_id ORDER BY value)
+                 + (count(*) OVER (PARTITION BY experiment_id, value) - 1) / 2.0 AS r,
+              count(*) OVER (PARTITION BY experiment_id, value) AS tcnt
+       FROM obs),
+mw AS (SELECT experiment_id,
+         count(*) FILTER (WHERE variant = 'treatment')::DOUBLE AS n1,
+         count(*) FILTER (WHERE variant = 'control')::DOUBLE AS n2,
+         sum(r) FILTER (WHERE variant = 'treatment') AS rs,
+         sum((tcnt * tcnt * tcnt - tcnt) / tcnt) AS ties FROM rk GROUP BY experiment_id),
+mz AS (SELECT experiment_id, (abs(rs - n1 * (n1 + 1) / 2.0 - n1 * n2 / 2.0) - 0.5)
+         / sqrt(n1 * n2 / 12.0 * ((n1 + n2 + 1) - ties / ((n1 + n2) * (n1 + n2 - 1)))) AS z FROM mw),
+tt AS (SELECT *, diff / std_error AS t_stat, (control_size + treatment_size - 2)::DOUBLE AS nu
+       FROM st3),
+simpson AS (SELECT k, CASE WHEN k IN (0, 2000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END AS w
+            FROM range(0, 2001) g(k)),
+tp AS (SELECT experiment_id, 1 - 2 * abs(t_stat) / 6000.0
+         * exp(lgamma((nu + 1) / 2) - lgamma(nu / 2)) / sqrt(nu * pi())
+         * sum(w * exp(-(nu + 1) / 2 * ln(1 + pow(t_stat * k / 2000.0, 2) / nu))) AS p_value
+       FROM tt, simpson GROUP BY experiment_id, t_stat, nu),
+pw AS (SELECT experiment_id, 0.5 - (1.959963984540054 - abs(t_stat)) / 6000.0 / sqrt(2 * pi())
+         * sum(w * exp(-pow((1.959963984540054 - abs(t_stat)) * k / 2000.0, 2) / 2)) AS power
+       FROM tt, simpson GROUP BY experiment_id, t_stat),
+mp AS (SELECT experiment_id, least(1.0, 1 - 2 * z / 6000.0 / sqrt(2 * pi())
+         * sum(w * exp(-pow(z * k / 2000.0, 2) / 2))) AS mw_p FROM mz, simpson
+       GROUP BY experiment_id, z),
+pv AS (SELECT t.*, p_value, power AS statistical_power, p_value < 0.05 AS is_significant,
+         mw_p AS mw_p_value FROM tt t JOIN tp USING (experiment_id) JOIN pw USING (experiment_id)
+       JOIN mp USING (experiment_id))
+"""
+
+
+@register("ab_pvalue", ops="B6,B9,B10,B7",
+          doubles=("t_stat", "p_value", "statistical_power", "mw_p_value"), sql=PVALUE_SQL + """
+SELECT experiment_id, t_stat, p_value, statistical_power, is_significant, mw_p_value FROM pv""")
 def ab_pvalue(spark, root):
     """p-value (Student t), post-hoc power, significance flag and the
-    Mann-Whitney p-value; one row per experiment.  Rows-only check."""
+    Mann-Whitney p-value; one row per experiment."""
     _, exps, obs = _setup(spark, root, materialize=True)
     sig = AB.significance(AB.variant_stats(obs), exps)
     mw = AB.mann_whitney(obs).select(
@@ -166,9 +200,22 @@ def ab_pvalue(spark, root):
         "mw_p_value")
 
 
-@register("ab_decision", ops="B11")
+@register("ab_decision", ops="B11", doubles=("effect_size", "lift_percentage"), sql=PVALUE_SQL + """,
+de AS (SELECT p.experiment_id, is_significant, effect_size, x.min_effect_size,
+         CASE WHEN control_mean <> 0 THEN diff / control_mean * 100.0 ELSE 0.0 END AS lift_percentage
+       FROM pv p JOIN exps x ON p.experiment_id = x.experiment_id)
+SELECT experiment_id, is_significant, effect_size, lift_percentage, CASE
+  WHEN NOT is_significant THEN 'No significant difference detected. Consider longer experiment '
+    || 'duration or larger sample size.'
+  WHEN abs(effect_size) < min_effect_size THEN 'Statistically significant but effect size below '
+    || 'practical threshold. Consider if implementation cost is justified.'
+  WHEN lift_percentage > 0 THEN printf('Treatment shows significant improvement (%.1f%% lift). '
+    || 'Recommend implementing treatment algorithm.', lift_percentage)
+  ELSE printf('Treatment shows significant decrease (%.1f%% drop). Recommend keeping control '
+    || 'algorithm.', abs(lift_percentage)) END AS recommendation
+FROM de""")
 def ab_decision(spark, root):
-    """Recommendation text per experiment (rows-only: depends on p-values)."""
+    """Recommendation text per experiment."""
     _, exps, obs = _setup(spark, root)
     sig = AB.significance(AB.variant_stats(obs), exps)
     return AB.decision(sig, exps).select("experiment_id", "is_significant", "effect_size",

@@ -11,7 +11,8 @@ from rankforge.plans import sql_prelude as P
 from rankforge.plans.canonical import Canonical
 from rankforge.plans.registry import register
 from rankforge.sources import events as ev
-from rankforge.sources.tables import Tables, interactions, items, users
+from rankforge.session import scratch_path
+from rankforge.sources.tables import Tables, bucketed_tables, interactions, items, users
 
 IC = "user_id, item_id, rating, interaction_type, \"timestamp\", session_id"
 
@@ -23,6 +24,17 @@ def scan_interactions(spark, root):
     return interactions(Tables(spark, root))
 
 
+@register("scan_bucketed", ops="S1,S3", doubles=("rating", "timestamp"),
+          sql=P.INTERACTIONS_ONLY + f" SELECT {IC} FROM inter")
+def scan_bucketed(spark, root):
+    """The interactions from tables bucketed by order key: no exchange."""
+    path = scratch_path(spark, "bucketed")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = "t_" + path.rsplit("-", 1)[-1]
+    t = bucketed_tables(Tables(spark, root), path, name, buckets)
+    return interactions(t)
+
+
 # --- D2 / D3 ----------------------------------------------------------------
 @register("dedup_last", ops="D2", doubles=("rating", "timestamp"),
           sql=P.BASE + f" SELECT {IC}, l_orderkey, l_linenumber FROM dedup")

@@ -229,16 +229,8 @@ def cold_start(spark, root):
 
 HYBRID_SQL = P.FULL + """,
 imean AS (SELECT item_id, avg(rating) AS sc FROM train GROUP BY item_id),
-pool_b AS (SELECT item_id, sc, row_number() OVER (ORDER BY sc DESC, item_id) AS prank FROM imean),
-recs_b AS (SELECT u.user_id, p.item_id
-           FROM (SELECT DISTINCT user_id FROM truth) u CROSS JOIN pool_b p
-           WHERE NOT EXISTS (SELECT 1 FROM seen s
-                             WHERE s.user_id = u.user_id AND s.item_id = p.item_id)
-           QUALIFY row_number() OVER (PARTITION BY u.user_id ORDER BY p.prank) <= 20),
-both_lists AS (SELECT user_id, item_id FROM recs UNION SELECT user_id, item_id FROM recs_b),
-sc AS (SELECT b.user_id, b.item_id, CAST(c.cnt AS DOUBLE) AS a, m.sc AS b
-       FROM both_lists b JOIN item_cnt c ON b.item_id = c.item_id
-            JOIN imean m ON b.item_id = m.item_id),
+sc AS (SELECT c.user_id, c.item_id, CAST(c.cnt AS DOUBLE) AS a, m.sc AS b
+       FROM cand c JOIN imean m ON c.item_id = m.item_id),
 lim AS (SELECT user_id, min(a) AS a0, max(a) AS a1, min(b) AS b0, max(b) AS b1
         FROM sc GROUP BY user_id),
 bl AS (SELECT sc.user_id, sc.item_id,
@@ -272,25 +264,10 @@ def blend(a, b, n: int = 10):
 
 
 def hybrid_recs(c: Canonical, n: int = 10):
-    """Blend of two scorers, each min-max scaled per user, averaged.
-
-    Scorer A = popularity, scorer B = mean rating.  Candidates are the union
-    of both scorers' exact top lists; both score every candidate, so an item
-    that only one list has still gets its score from the other.
-    """
+    """Blend of two scorers, popularity and mean rating, each min-max
+    scaled per user over all unseen items of the catalog, averaged."""
     imean = c.train.groupBy("item_id").agg(F.avg("rating").alias("score"))
-    pool_b = R.item_ranking(imean)
-    recs_b = R.popularity_recs(c.truth.select("user_id"), c.seen, pool_b, TOP_N)
-    cands = c.recs.select("user_id", "item_id").union(recs_b.select("user_id", "item_id")) \
-        .distinct()
-    a = _minmax_per_user(cands.join(c.pool.select("item_id", "score"), "item_id"))
-    b = _minmax_per_user(cands.join(pool_b.select("item_id", "score"), "item_id"))
-    bl = a.join(b.withColumnRenamed("s", "t"), ["user_id", "item_id"]).select(
-        "user_id", "item_id", ((F.col("s") + F.col("t")) / C.dbl(2)).alias("score"))
-    # Rounded for the order only: equal blends may differ in the last bits.
-    top = R.rank_candidates(bl.withColumn("_r", F.round("score", 9)), n, score_col="_r",
-                            bounded=True)
-    return top.drop("_r")
+    return R.threshold_blend(c.truth.select("user_id"), c.seen, c.pool, R.item_ranking(imean), n)
 
 
 @register("hybrid_blend", ops="L10", doubles=("score",), sql=HYBRID_SQL)

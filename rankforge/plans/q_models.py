@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankforge.operators import factors as FA
+from rankforge.operators import features
 from rankforge.operators import models as MD
+from rankforge.operators import moments as MO
 from rankforge.operators import metrics as M
+from rankforge.operators import profiles
 from rankforge.plans import sql_prelude as P
 from rankforge.plans.canonical import TOP_N, Canonical
 from rankforge.plans.registry import register
@@ -264,3 +267,72 @@ def cold_start_fold_in(spark, root):
     found = written(FA.unknown_user_factors(unknown, own, user_f, item_f, 10), "unknown-users")
     recs = FA.pruned_top_n(found.select("user_id", "f"), item_f, unknown, own, 10)
     return recs.join(found.select("user_id", "source"), "user_id")
+
+
+MOMENT_COLS = ("user_acctbal", "item_price", "item_size", "rating", "day_of_week", "is_weekend")
+_PAIRS = [(a, b) for i, a in enumerate(MOMENT_COLS) for b in MOMENT_COLS[i:]]
+
+
+def _enriched(t):
+    return derive(interactions(t)).join(users(t), "user_id", "left").join(items(t), "item_id",
+                                                                          "left")
+
+
+@register("moments_fold", ops="G3,X3,L5", doubles=("cov", "mean_a"), sql=P.INTERACTIONS_ONLY + """,
+e AS (SELECT c.c_acctbal::DOUBLE AS user_acctbal, p.p_retailprice::DOUBLE AS item_price,
+        p.p_size::DOUBLE AS item_size, i.rating,
+        (dayofweek(make_timestamp(CAST(i."timestamp" AS BIGINT) * 1000000)) + 1)::DOUBLE
+          AS day_of_week,
+        CASE WHEN dayofweek(make_timestamp(CAST(i."timestamp" AS BIGINT) * 1000000)) IN (0, 6)
+             THEN 1.0 ELSE 0.0 END AS is_weekend
+      FROM inter i JOIN customer c ON i.user_id = c.c_custkey JOIN part p ON i.item_id = p.p_partkey)
+""" + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, count(*) AS n, avg({a}) AS mean_a, covar_samp({a}, {b}) AS cov "
+    f"FROM e" for a, b in _PAIRS))
+def moments_fold(spark, root):
+    """Moments per yearly batch, folded: covariances of the whole."""
+    e = _enriched(Tables(spark, root)).withColumn("year", F.year(F.timestamp_seconds("timestamp")))
+    whole = MO.merge_moments(MO.partial_moments(e, MOMENT_COLS, ["year"]), len(MOMENT_COLS))
+    return MO.covariances(whole, MOMENT_COLS).select("a", "b", "n", "mean_a", "cov")
+
+
+WIDE = ("user_acctbal", "user_nation", "item_price", "item_size", "rating", "day_of_week",
+        "is_weekend", "user_avg_rating", "user_interaction_count", "item_avg_rating",
+        "item_popularity", "session_duration", "interactions_in_session", "purchase_count",
+        "time_since_last_interaction")
+
+
+def wide_features(t):
+    """The 15 columns of the feature pipeline for every interaction."""
+    inter = interactions(t)
+    e = features.session_features(_enriched(t))
+    recent = features.recency(interactions(t, with_keys=True), tie_cols=["l_orderkey", "l_linenumber",
+                                                                        "l_suppkey"])
+    last = recent.groupBy("user_id", "item_id", "timestamp").agg(
+        F.min("time_since_last_interaction").alias("time_since_last_interaction"))
+    popular = profiles.item_popularity(inter).select("item_id", "popularity")
+    e = features.profile_lookup(e, profiles.user_profiles(inter).drop("interacted_items"),
+                                profiles.item_features(inter).join(popular, "item_id"))
+    e = e.join(profiles.type_counts(inter, ["purchase"]), "user_id", "left")
+    return e.join(last, ["user_id", "item_id", "timestamp"], "left").na.fill(
+        0.0, ["time_since_last_interaction"])
+
+
+@register("pca_wide", ops="L1,L2,L3,L4")
+def pca_wide(spark, root):
+    """15 standardised columns to 4 components, from folded moments."""
+    e = written(wide_features(Tables(spark, root)).select("user_id", "item_id", *WIDE),
+                "wide-features")
+    scale, loadings, _ = MO.principal_components(
+        MO.merge_moments(MO.partial_moments(e, WIDE), len(WIDE)), WIDE)
+    out = MO.project(e, WIDE, scale, loadings)
+    return out.select("user_id", "item_id", *[f"pc{j + 1}" for j in range(loadings.shape[1])])
+
+
+@register("pca_target", ops="L5")
+def pca_target(spark, root):
+    """As many components of the eight features as explain 95 % of the variance."""
+    cols = feature_columns()
+    m = MO.partial_moments(_enriched(Tables(spark, root)), cols)
+    _, _, explained = MO.principal_components(m, cols, target_variance=0.95)
+    return MO.explained_table(spark, explained, 0.95)

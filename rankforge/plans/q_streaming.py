@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankforge.functions import columns as C
+from rankforge.operators import moments
 from rankforge.operators import monitoring as MO
 from rankforge.operators import profiles
 from rankforge.plans import sql_prelude as P
@@ -75,6 +76,32 @@ def stream_features(spark, root):
     return spark.read.parquet(out["batch_stats"]).select("batch_id", "name", "value")
 
 
+_PAIRS = [(a, b) for i, a in enumerate(J.feature_columns()) for b in J.feature_columns()[i:]]
+
+
+@register("stream_moments", ops="X3,G3", doubles=("mean_a", "cov"), sql=P.INTERACTIONS_ONLY + """,
+e AS (SELECT c.c_acctbal::DOUBLE AS user_acctbal, p.p_retailprice::DOUBLE AS item_price,
+        p.p_size::DOUBLE AS item_size, i.rating, c.c_nationkey::DOUBLE AS user_nation,
+        hour(make_timestamp(CAST(i."timestamp" AS BIGINT) * 1000000))::DOUBLE AS hour_of_day,
+        (dayofweek(make_timestamp(CAST(i."timestamp" AS BIGINT) * 1000000)) + 1)::DOUBLE
+          AS day_of_week,
+        CASE WHEN dayofweek(make_timestamp(CAST(i."timestamp" AS BIGINT) * 1000000)) IN (0, 6)
+             THEN 1.0 ELSE 0.0 END AS is_weekend
+      FROM inter i JOIN customer c ON i.user_id = c.c_custkey JOIN part p ON i.item_id = p.p_partkey)
+""" + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, count(*) AS n, avg({a}) AS mean_a, covar_samp({a}, {b}) AS cov "
+    f"FROM e" for a, b in _PAIRS))
+def stream_moments(spark, root):
+    """Moments of every micro-batch, folded to those of the whole stream."""
+    t = Tables(spark, root)
+    base, replay = _interaction_source(spark, root)
+    out = replay(lambda src: J.feature_job(spark, src, base, users(t), items(t),
+                                           AVAILABLE_NOW))
+    cols = J.feature_columns()
+    whole = moments.merge_moments(spark.read.parquet(out["batch_moments"]), len(cols))
+    return moments.covariances(whole, cols).select("a", "b", "n", "mean_a", "cov")
+
+
 @register("stream_profiles", ops="X5,G11,S4", doubles=("avg_rating", "last_interaction"),
           sql=P.INTERACTIONS_ONLY + """
 SELECT user_id, avg(rating) AS avg_rating, count(*) AS interaction_count,

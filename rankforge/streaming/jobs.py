@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rankforge.functions.columns import from_epoch, is_weekend
-from rankforge.operators import features, monitoring, profiles
+from rankforge.operators import features, moments, monitoring, profiles
 from rankforge.sources.tables import STREAM_INTERACTION_SCHEMA
 
 MESSAGE_SCHEMA = T.StructType([
@@ -234,13 +234,13 @@ def feature_job(spark: SparkSession, source: str, root: str, users: DataFrame,
                 items: DataFrame, trigger=None) -> dict[str, str]:
     """Per micro-batch enrich (stream-static joins), fit
     the feature pipeline once (saved, reloaded after restart), transform,
-    write mergeable user/item partials and per-batch feature statistics."""
+    write mergeable user/item partials and moments, and per-batch feature statistics."""
     msgs = message_stream(spark, source)
     inter = derive(decode_interactions(msgs).filter(~F.col("_bad"))
                    .drop("_bad", "context", "key"))
     model_path = os.path.join(root, "feature_model")
     out = {k: os.path.join(root, k) for k in ("user_partials", "item_partials", "batch_stats",
-                                              "pca_rows")}
+                                              "batch_moments", "pca_rows")}
     cols = feature_columns()
 
     def write_part(df: DataFrame, path: str, batch_id: int):
@@ -267,6 +267,7 @@ def feature_job(spark: SparkSession, source: str, root: str, users: DataFrame,
             write_part(profiles.item_partials(batch, batch_id).drop("batch_id"),
                        out["item_partials"], batch_id)
             write_part(profiles.feature_stats(enriched, cols), out["batch_stats"], batch_id)
+            write_part(moments.partial_moments(enriched, cols), out["batch_moments"], batch_id)
             enriched.unpersist()
         finally:
             batch.unpersist()
