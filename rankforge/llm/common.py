@@ -71,3 +71,20 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
                                           dtype=np.int64)))
     coded = flat.filter(full).dictionary_encode()
     return coded.indices.to_numpy(), coded.dictionary.to_pylist(), kept[ends]
+
+
+def word_dictionary(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """``word_codes`` with the distinct words as an Arrow array."""
+    lists = pc.ascii_split_whitespace(texts)
+    flat = lists.flatten()
+    full = pc.greater(pc.binary_length(flat), 0)
+    kept = np.concatenate(([0], np.cumsum(full.to_numpy(zero_copy_only=False), dtype=np.int64)))
+    ends = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False),
+                                          dtype=np.int64)))
+    coded = (flat if kept[-1] == len(flat) else flat.filter(full)).dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary, kept[ends]
+
+
+def strings(values: pa.Array) -> list[str]:
+    """A string array without nulls as a list."""
+    return values.to_numpy(zero_copy_only=False).tolist()
