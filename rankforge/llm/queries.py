@@ -39,38 +39,56 @@ def _spans(found: DataFrame, spans: str, kinds: tuple[str, ...]) -> DataFrame:
 
 
 def op1_html_extraction(spark: SparkSession, root: str) -> DataFrame:
+    """Visible text of all ``pages``.  Null HTML gives null, HTML without visible
+    text an empty text; repeated rows stay; an empty table gives no rows."""
     pages = table(spark, root, "pages")
     return html.extract(pages.select("page_id", "url", "html")).withColumn(
         "n_chars", F.char_length("text").cast("long"))
 
 
 def op2_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    """Documents that hold a ``benchmark`` item: (doc_id, item_id, similarity,
+    same).  Null and empty texts match nothing; rows that share an id count as one
+    document; an empty table (of either side) gives no rows."""
     return decontaminate.contaminated(table(spark, root, "documents"),
                                       table(spark, root, "benchmark"))
 
 
 def op3_pii(spark: SparkSession, root: str) -> DataFrame:
+    """Personal data in all ``documents``.  Null texts count as empty (no spans);
+    repeated rows stay; an empty table gives no rows."""
     docs = table(spark, root, "documents")
     found = pii.find(docs.select("doc_id", "text"), pii.train(docs))
     return _spans(found.drop("text"), "spans", pii.BASE_KINDS)
 
 
 def op4_secret_scan(spark: SparkSession, root: str) -> DataFrame:
+    """Secrets in all ``documents``.  Null texts count as empty (no spans); equal
+    texts are scanned once, each row gets its findings; an empty table gives no rows."""
     docs = table(spark, root, "documents").select("doc_id", "text")
     return _spans(secrets.scan_versions(docs), "findings", secrets.KINDS[:3])
 
 
 def op5_simhash(spark: SparkSession, root: str) -> DataFrame:
+    """Fingerprints and components of all ``documents``.  Texts without words
+    (null ones too) have fingerprint zero and are linked like any other; rows that
+    share an id share a component; an empty table gives no rows."""
     found = simhash.near_duplicates(table(spark, root, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                         "component_id")
 
 
 def op6_packing(spark: SparkSession, root: str) -> DataFrame:
+    """Places of all pieces of ``documents`` in sequences of 2,048 tokens.  Null and
+    empty texts are the end id alone; repeated rows are documents of their own; an
+    empty table gives no rows."""
     return packing.pack(table(spark, root, "documents"), public_tokenizers.path(TOKENIZER))
 
 
 def op7_fingerprints(spark: SparkSession, root: str) -> DataFrame:
+    """Bottom-k sketches of all ``documents``, of their edited texts, and likeness to
+    these and to the next document (ids ascending, null first; rows of one id by
+    text).  Null texts count as empty; an empty table gives no rows."""
     docs = table(spark, root, "documents").select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("sketch", sketch.sketch_of(F.col("text")))
@@ -92,11 +110,17 @@ def op7_fingerprints(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op8_url_filter(spark: SparkSession, root: str) -> DataFrame:
+    """Rule and verdict of every url of ``pages``.  Null urls and urls without
+    ``://`` have empty parts, no rule and the default verdict; repeated rows stay; an
+    empty table gives no rows."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urls.judge(table(spark, root, "pages").select("page_id", "url"), rules).drop("url")
 
 
 def op9_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    """Toxicity of all ``documents``.  Null and empty texts get the score of a text
+    without words; a null id has a null ``held_out``; repeated rows stay; without labels
+    all scores are equal; an empty table gives no rows."""
     docs = table(spark, root, "documents")
     model = toxicity.train(docs, table(spark, root, "labels"))
     scored = toxicity.score(docs.select("doc_id", "text"), model)
@@ -105,6 +129,9 @@ def op9_toxicity(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op10_quality(spark: SparkSession, root: str) -> DataFrame:
+    """Quality of all ``documents``.  Null and empty texts are one passage of zeros; a
+    null id has a null ``held_out``; repeated rows stay; without labels all scores are
+    0.5; an empty table gives no rows."""
     docs = table(spark, root, "documents")
     model = quality.train(docs, table(spark, root, "labels"))
     scored = quality.score(docs.select("doc_id", "text"), model)
