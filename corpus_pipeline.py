@@ -30,25 +30,34 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id."""
+    """Of each group of near-duplicates the document with the smallest id.
+
+    Texts without words are one group; of rows that share an id one stays; rows
+    without an id stay; an empty table gives no rows.  Other columns, whatever their
+    names, stay as they are, here and in the stages below.
+    """
     configure(spark)
     return simhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
+    """Documents without a benchmark item.  Null and empty texts hold none; rows that
+    share an id (or have none) go or stay together; an empty table gives no rows."""
     configure(spark)
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced by a mark."""
+    """All documents, secrets replaced by a mark.  Null texts stay null; repeated rows
+    stay; an empty table gives no rows."""
     configure(spark)
     return secrets.redact(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in sequences of 2048 tokens."""
+    """The pieces of all documents with their places in sequences of 2048 tokens.  Null
+    and empty texts are the end id alone; repeated rows are documents of their own; an
+    empty table gives no rows."""
     configure(spark)
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
