@@ -11,17 +11,16 @@ first-fit, and pieces take their places by their rank within their length.
 
 from __future__ import annotations
 
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import settle, steps, word_codes
+from rankforge.llm.common import settle, steps, strings, word_dictionary
 
 CAPACITY = 2048
 #: Tokens in a unit of the plan; a piece counts as the units that hold it.
@@ -32,13 +31,17 @@ END_ID = 1
 class WordTokenizer:
     """Token ids of texts by a tokenizer whose pre-tokens never span white space.
 
-    Each distinct word is encoded once; words of plain Latin letters, digits
-    and punctuation are put together from their pre-tokens, everything else
-    is encoded by the tokenizer as it stands.  The caches are bounded.
+    The distinct words of a step are lower-cased and cut into pre-tokens (runs of
+    letters, single digits, runs of symbols) by Arrow's kernels; each distinct
+    pre-token is encoded once.  Words with other characters than plain Latin
+    ones, with apostrophes (the tokenizer's own endings) or with the start of
+    a special token are encoded by the tokenizer as they stand.  The caches are bounded.
     """
 
-    LIMIT = 600_000
-    _PARTS = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+    LIMIT = 300_000
+    #: Latin letters, digits and visible symbols up to U+024F, but for the apostrophe and U+0130.
+    _ODD = r"[^!-&(-~\x{A1}-\x{AC}\x{AE}-\x{12F}\x{131}-\x{24F}]|<\|"
+    _CUT = r"(\p{N}|[^\p{L}\p{N}]+)"
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -47,57 +50,74 @@ class WordTokenizer:
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         for token, i in vocab.items():
             self.last[i] = token.endswith("</w>")
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self._clear()
+
+    def _clear(self) -> None:
+        self.slots: dict[str, int] = {}
+        self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, "<u4")
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.words) > self.LIMIT or len(self.parts) > self.LIMIT:
-            self.words.clear()
-            self.parts.clear()
-        split, odd = {}, []
-        for w in words:
-            plain = w.isascii() or (max(w) < "ɐ" and unicodedata.is_normalized("NFC", w))
-            if plain and w.isprintable() and "'" not in w and "<|" not in w:
-                split[w] = self._PARTS.findall(w.lower())
-            else:
-                odd.append(w)
-        new = list({p for ps in split.values() for p in ps}.difference(self.parts))
+    def _slots(self, keys: list[str], learn) -> np.ndarray:
+        """Places of ``keys`` in the cache; ``learn`` gives (sizes, ids) of new ones."""
+        new = [k for k in keys if k not in self.slots]
         if new:
-            ids, = self._encode([" ".join(new)])
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(new):
-                raise ValueError("the tokenizer doesn't mark ends of words")
-            raw, start = ids.tobytes(), 0
-            for p, end in zip(new, ends.tolist()):
-                self.parts[p] = raw[4 * start:4 * end]
-                start = end
-        for w, ps in split.items():
-            self.words[w] = b"".join([self.parts[p] for p in ps])
-        for w, ids in zip(odd, self._encode(odd) if odd else ()):
-            self.words[w] = ids.tobytes()
+            sizes, ids = learn(new)
+            for k in new:
+                self.slots[k] = len(self.slots)
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.flat = np.concatenate([self.flat, ids])
+        return np.fromiter((self.slots[k] for k in keys), np.int64, len(keys))
+
+    def _learn_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, = self._encode([" ".join(parts)])
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(parts):
+            raise ValueError("the tokenizer doesn't mark ends of words")
+        return np.diff(ends, prepend=0), ids
+
+    def _learn_words(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self._encode([k[1:] for k in keys])
+        return np.array([len(x) for x in found], np.int64), np.concatenate(found)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets) of a slice of texts."""
-        codes, words, offsets = word_codes(texts)
-        new = [w for w in words if w not in self.words]
-        if new:
-            known = {w: self.words[w] for w in words if w in self.words}
-            self._learn(new)
-            raw = [self.words[w] if w in self.words else known[w] for w in words]
-        else:
-            raw = [self.words[w] for w in words]
-        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
-        flat = np.frombuffer(b"".join(raw), "<u4")
-        starts = np.cumsum(sizes) - sizes
+        codes, words, offsets = word_dictionary(texts)
+        if len(self.slots) > self.LIMIT:
+            self._clear()
+        odd = pc.match_substring_regex(words, self._ODD)
+        cut = pc.replace_substring_regex(pc.utf8_lower(words.filter(pc.invert(odd))),
+                                         self._CUT, r" \1 ")
+        lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(cut))
+        parts = lists.flatten().dictionary_encode()
+        part_slots = self._slots(strings(parts.dictionary), self._learn_parts)[
+            parts.indices.to_numpy()]
+        # Odd words have keys of their own, so that none is taken for a pre-token.
+        odd_slots = self._slots(["\n" + w for w in strings(words.filter(odd))],
+                                self._learn_words)
+        is_odd = odd.to_numpy(zero_copy_only=False)
+        many = np.ones(len(words), np.int64)             # slots of each word
+        many[~is_odd] = lists.value_lengths().to_numpy(zero_copy_only=False)
+        first = np.cumsum(many) - many
+        slots = np.empty(int(many.sum()), np.int64)
+        slots[first[is_odd]] = odd_slots
+        mask = np.ones(len(slots), bool)
+        mask[first[is_odd]] = False
+        slots[mask] = part_slots
+        starts = np.cumsum(self.sizes) - self.sizes
+        word_flat = _gather(self.flat, starts[slots], self.sizes[slots])
+        sizes = np.add.reduceat(self.sizes[slots], first) if len(words) else many
         each = sizes[codes]
-        ends = np.cumsum(each)
-        ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(
-            starts[codes] - ends + each, each)]
-        return ids, np.concatenate(([0], ends))[offsets]
+        ids = _gather(word_flat, (np.cumsum(sizes) - sizes)[codes], each)
+        return ids, np.concatenate(([0], np.cumsum(each)))[offsets]
+
+
+def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The slices flat[starts[i]:starts[i] + sizes[i]], joined."""
+    ends = np.cumsum(sizes)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
