@@ -28,12 +28,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import STEP_BYTES, settle, steps
+from rankforge.llm.common import STEP_BYTES, settle, steps, strings
 
 #: Words of a lane.
 LANE = 256
 #: Words whose tokens a worker keeps.
-CACHE = 400_000
+CACHE = 200_000
 SPACE = "▁"
 
 
@@ -173,7 +173,7 @@ class Encoder:
         token bounds of words in A and B, ids of A, ids of B)."""
         lists = pc.split_pattern(texts, " ")
         coded = lists.flatten().dictionary_encode()
-        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        words, codes = strings(coded.dictionary), coded.indices.to_numpy()
         bounds = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(
             zero_copy_only=False), dtype=np.int64)))
         regular = np.fromiter((bool(w) and not w[-1].isspace() for w in words), bool, len(words))
