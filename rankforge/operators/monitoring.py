@@ -162,8 +162,8 @@ def latency_sketches(req: DataFrame, k: int = KLL_K, ts: Column | None = None,
     column as ``ts``); nulls are left out.
 
     A sketch has a bounded size whatever the rows; ranks read from it (or from
-    any merge) are off by about 1.7 / ``k`` of the rows at most, and exact up to
-    ``k`` rows.
+    any merge) are off by less than about 2.3 / k ** 0.9 of the rows (0.44 % for
+    1,024) in 99 of 100 cases, and exact up to ``k`` rows.
     """
     return (req.filter(F.col(value_col).isNotNull())
             .groupBy(F.window(F.col("ts").cast("timestamp") if ts is None else ts, "1 minute")
