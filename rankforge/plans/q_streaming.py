@@ -117,6 +117,20 @@ def stream_profiles(spark, root):
                          F.size("interacted_items").alias("n_items"))
 
 
+@register("stream_items", ops="X5,G11,G2", doubles=("avg_rating", "last_interaction"),
+          sql=P.INTERACTIONS_ONLY + """
+SELECT item_id, avg(rating) AS avg_rating, count(*) AS interaction_count,
+       count(DISTINCT user_id) AS unique_users, max("timestamp") AS last_interaction
+FROM inter GROUP BY item_id""")
+def stream_items(spark, root):
+    """Item partials of every micro-batch (bitmaps of users), folded at read."""
+    t = Tables(spark, root)
+    base, replay = _interaction_source(spark, root)
+    out = replay(lambda src: J.feature_job(spark, src, base, users(t), items(t),
+                                           AVAILABLE_NOW))
+    return profiles.merge_items(spark.read.parquet(out["item_partials"]))
+
+
 @register("stream_sessions", ops="X6", doubles=("duration_s",), sql="""
 WITH g AS (
   SELECT user_id, ts, event_id,
