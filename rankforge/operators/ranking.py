@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.functions.columns import col_
+from rankforge.operators.scan import best_items, score_range
 from rankforge.session import written
 
 DEFAULT_SALT_BUCKETS = 32
@@ -186,7 +187,9 @@ def threshold_blend(users: DataFrame, seen: DataFrame, first: DataFrame, second:
     Threshold algorithm (Fagin, Lotem and Naor, 2003), a round for all users at
     once: read the next unseen ranks of both lists, look up the other score, and
     let a user go once the n-th blend is above what the last ranks read could
-    reach together, or a list is at its end; the others read four times as deep.
+    reach together, or a list is at its end.  The others go to ``blend_scan``
+    (the depth is the longer list then): how deep they would have to read depends
+    on how far the lists agree, and is near the whole catalog if they do not.
     Equal blends (9 digits) rank by item id.
     """
     pools = [written(p.select("item_id", "score", "prank"), "blend-pool") for p in (first, second)]
@@ -200,47 +203,67 @@ def threshold_blend(users: DataFrame, seen: DataFrame, first: DataFrame, second:
         lowest = with_pool(unseen_ranks(active, turn(r), 1), turn(p), 1)
         active = active.join(lowest.select("user_id", F.col("score").alias(f"lo{k}")), "user_id")
     active = written(active, "blend-users")
-    depth, done = depth or 4 * n, []
-    while True:
-        lists = [with_pool(unseen_ranks(active, r, depth), p, depth)
-                 for p, r in zip(pools, ranks)]
-        lists = [written(x, "blend-read") for x in lists]
-        ends = active
-        for k, x in enumerate(lists):
-            ends = ends.join(x.groupBy("user_id").agg(
-                F.max("score").alias(f"hi{k}"), F.min("score").alias(f"at{k}"),
-                F.count(F.lit(1)).alias(f"n{k}")), "user_id")
-
-        def scaled(k: int, score: Column) -> Column:
-            gap = F.col(f"hi{k}") - F.col(f"lo{k}")
-            return F.when(gap > 0, (score - F.col(f"lo{k}")) / gap).otherwise(F.lit(1.0))
-        cands = lists[0].select("user_id", "item_id").union(
-            lists[1].select("user_id", "item_id")).distinct()
-        for k, p in enumerate(pools):
-            cands = cands.join(p.select("item_id", F.col("score").alias(f"s{k}")), "item_id")
-        blend = (scaled(0, F.col("s0")) + scaled(1, F.col("s1"))) / F.lit(2.0)
-        reach = (scaled(0, F.col("at0")) + scaled(1, F.col("at1"))) / F.lit(2.0)
-        whole = (F.col("n0") < depth) | (F.col("n1") < depth)
-        scored = cands.join(ends, "user_id").select(
-            "user_id", "item_id", blend.alias("score"), F.round(blend, 9).alias("_r"),
-            F.when(whole, F.lit(-1.0)).otherwise(reach).alias("_reach"))
-        # At most 2 * depth candidates a user, all in one window only while depth is small.
-        top = written(top_k_per_group(scored, ["user_id"], [F.col("_r").desc(), F.col("item_id")],
-                                      n, salt_col="item_id"), "blend-top")
-        sure = top.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"), F.min("_r").alias("_min"),
-                                          F.max("_reach").alias("_reach"))
-        sure = sure.filter((F.col("_reach") < 0) | ((F.col("_n") >= n) & (
-            F.col("_min") > F.col("_reach") + F.lit(1e-8)))).select("user_id")
-        done.append(top.join(sure, "user_id", "left_semi").select(
-            "user_id", "item_id", "score", "rank", F.lit(depth).alias("depth")))
-        active = written(active.join(sure, "user_id", "left_anti"), "blend-users")
-        if active.isEmpty():
-            break
-        depth *= 4
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
+    depth = depth or 4 * n
+    lists = [with_pool(unseen_ranks(active, r, depth), p, depth)
+             for p, r in zip(pools, ranks)]
+    lists = [written(x, "blend-read") for x in lists]
+    ends = active
+    for k, x in enumerate(lists):
+        ends = ends.join(x.groupBy("user_id").agg(
+            F.max("score").alias(f"hi{k}"), F.min("score").alias(f"at{k}"),
+            F.count(F.lit(1)).alias(f"n{k}")), "user_id")
+
+    def scaled(k: int, score: Column) -> Column:
+        gap = F.col(f"hi{k}") - F.col(f"lo{k}")
+        return F.when(gap > 0, (score - F.col(f"lo{k}")) / gap).otherwise(F.lit(1.0))
+    cands = lists[0].select("user_id", "item_id").union(
+        lists[1].select("user_id", "item_id")).distinct()
+    for k, p in enumerate(pools):
+        cands = cands.join(p.select("item_id", F.col("score").alias(f"s{k}")), "item_id")
+    blend = (scaled(0, F.col("s0")) + scaled(1, F.col("s1"))) / F.lit(2.0)
+    reach = (scaled(0, F.col("at0")) + scaled(1, F.col("at1"))) / F.lit(2.0)
+    whole = (F.col("n0") < depth) | (F.col("n1") < depth)
+    scored = cands.join(ends, "user_id").select(
+        "user_id", "item_id", blend.alias("score"), F.round(blend, 9).alias("_r"),
+        F.when(whole, F.lit(-1.0)).otherwise(reach).alias("_reach"))
+    # At most 2 * depth candidates a user, all in one window only while depth is small.
+    top = written(top_k_per_group(scored, ["user_id"], [F.col("_r").desc(), F.col("item_id")],
+                                  n, salt_col="item_id"), "blend-top")
+    sure = top.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"), F.min("_r").alias("_min"),
+                                      F.max("_reach").alias("_reach"))
+    sure = sure.filter((F.col("_reach") < 0) | ((F.col("_n") >= n) & (
+        F.col("_min") > F.col("_reach") + F.lit(1e-8)))).select("user_id")
+    out = top.join(sure, "user_id", "left_semi").select(
+        "user_id", "item_id", "score", "rank", F.lit(depth).alias("depth"))
+    others = written(active.select("user_id").join(sure, "user_id", "left_anti"), "blend-others")
+    if others.isEmpty():
+        return out
+    return out.unionByName(blend_scan(others, seen, *pools, n).withColumn("depth", F.lit(max(size))))
+
+
+def blend_scan(users: DataFrame, seen: DataFrame, first: DataFrame, second: DataFrame,
+               n: int) -> DataFrame:
+    """The lists of ``threshold_blend``, (user_id, item_id, score, rank), by a
+    scan of the catalog: scores have 9 digits.
+
+    A user's blend is linear in an item's two scores, so it is the dot product of
+    [w1, w2, offset] and [s1, s2, 1]; tiles of items with near scores, whose best
+    corner a user's n-th blend exceeds, are left out."""
+    pools = [written(p.select("item_id", F.col("score").cast("double")), "blend-pool")
+             for p in (first, second)]
+    u = written(users.select("user_id", F.array(F.lit(1.0)).alias("f")).distinct(), "blend-users")
+    own, weights, offset = u.select("user_id"), [], F.lit(0.0)
+    for k, p in enumerate(pools):
+        r = score_range(u, p.select("item_id", F.array("score").alias("f")), u, seen)
+        own = own.join(r.select("user_id", F.col("lo").alias(f"lo{k}"),
+                                (F.col("hi") - F.col("lo")).alias(f"gap{k}")), "user_id")
+        some = F.col(f"gap{k}") > 0
+        weights.append(F.when(some, F.lit(0.5) / F.col(f"gap{k}")).otherwise(F.lit(0.0)))
+        offset = offset + F.when(some, -F.col(f"lo{k}") * weights[k]).otherwise(F.lit(0.5))
+    both = pools[0].join(pools[1].withColumnRenamed("score", "other"), "item_id")
+    return best_items(own.select("user_id", F.array(*weights, offset).alias("f")),
+                      both.select("item_id", F.array("score", "other", F.lit(1.0)).alias("f")),
+                      u, seen, n)
 
 
 def lists_from_ranked(recs: DataFrame, user_col="user_id", item_col="item_id",

@@ -267,7 +267,8 @@ def hybrid_recs(c: Canonical, n: int = 10):
     """Blend of two scorers, popularity and mean rating, each min-max
     scaled per user over all unseen items of the catalog, averaged."""
     imean = c.train.groupBy("item_id").agg(F.avg("rating").alias("score"))
-    return R.threshold_blend(c.truth.select("user_id"), c.seen, c.pool, R.item_ranking(imean), n)
+    popular = c.train.groupBy("item_id").agg(F.count(F.lit(1)).alias("score"))
+    return R.blend_scan(c.truth.select("user_id"), c.seen, popular, imean, n)
 
 
 @register("hybrid_blend", ops="L10", doubles=("score",), sql=HYBRID_SQL)
