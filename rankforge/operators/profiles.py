@@ -61,21 +61,24 @@ def merge_profiles(partials: DataFrame) -> DataFrame:
 
 
 def distinct_bitmaps(df: DataFrame, key: str, member: str) -> DataFrame:
-    """Exact mergeable sets: (key, bucket, members), a bitmap of the 32,768
-    member ids of each bucket that the key has met.  Ids are not negative.
+    """Exact mergeable sets: (key, bucket, members), a bitmap of the 64 member
+    ids of each bucket that the key has met.
 
-    A key with very many members has very many buckets, so its set is spread
-    over rows of 4 KB (mostly zeros, which files and shuffles compress).
+    A row is three numbers, so a set takes no more than its members do, however
+    they are spread, and a 64th of that where they are dense; a key with very
+    many members has very many rows.
     """
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"),
+                          F.pmod(F.col(member).cast("long"), F.lit(64)).cast("int"))
     return (df.filter(F.col(member).isNotNull())
-            .groupBy(key, F.bitmap_bucket_number(F.col(member)).alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col(member))).alias("members")))
+            .groupBy(key, F.call_function("shiftright", F.col(member).cast("long"), F.lit(6)).alias("bucket"))
+            .agg(F.bit_or(bit).alias("members")))
 
 
 def distinct_counts(bitmaps: DataFrame, key: str, out_col: str) -> DataFrame:
     """(key, out_col): members of each key over any number of bitmap tables."""
-    merged = bitmaps.groupBy(key, "bucket").agg(F.bitmap_or_agg("members").alias("members"))
-    return merged.groupBy(key).agg(F.sum(F.bitmap_count("members")).alias(out_col))
+    merged = bitmaps.groupBy(key, "bucket").agg(F.bit_or("members").alias("members"))
+    return merged.groupBy(key).agg(F.sum(F.bit_count("members")).cast("long").alias(out_col))
 
 
 def item_partials(df: DataFrame, batch_id) -> DataFrame:
