@@ -38,6 +38,8 @@ LONG_HISTORY = 1024
 BLOCK_ITEMS = 2048
 BAND = 1.1
 BANDS = 200
+#: Rows of pairs that one task adds up, at most about.
+PAIR_ROWS = 2_000_000
 
 
 def knn_entries(train: DataFrame, min_interactions: int) -> DataFrame:
@@ -56,12 +58,23 @@ def split_histories(x: DataFrame, long_history: int) -> tuple[DataFrame, DataFra
 
 
 def short_pairs(short: DataFrame) -> DataFrame:
-    """(i, j, dot, norms), i < j: sums over short histories."""
+    """(i, j, dot, norms), i < j: sums over short histories.
+
+    Most pairs share one user, so combining before the shuffle only fills memory
+    with a row for each pair: many pairs are dealt to tasks first, in a number
+    that grows with them, and each task adds up its own."""
     a = short.select("user_id", F.col("item_id").alias("i"), F.col("r").alias("ri"),
                      F.col("norm").alias("ni"))
     b = short.select("user_id", F.col("item_id").alias("j"), F.col("r").alias("rj"),
                      F.col("norm").alias("nj"))
-    return (a.join(b, "user_id").filter(F.col("i") < F.col("j")).groupBy("i", "j")
+    pairs = a.join(b, "user_id").filter(F.col("i") < F.col("j"))
+    h = F.col("h")
+    rows = short.groupBy("user_id").agg(F.count(F.lit(1)).alias("h")).agg(
+        F.sum(h * (h - 1))).first()[0] or 0
+    tasks = math.ceil(rows / 2 / PAIR_ROWS)
+    if tasks > int(short.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        pairs = pairs.repartition(tasks, "i", "j")
+    return (pairs.groupBy("i", "j")
             .agg(F.sum(F.col("ri") * F.col("rj")).alias("dot"),
                  F.max(F.col("ni") * F.col("nj")).alias("norms")))
 

@@ -77,3 +77,21 @@ def test_rows_a_pair_stage_makes_are_linear(make):
 def test_no_rows(make):
     assert neighbours.item_knn(make([])).collect() == []
     assert neighbours.item_knn(make([(1, 1, 5.0), (2, 1, 3.0)]), 1).collect() == []
+
+
+def test_many_pairs_are_dealt_to_more_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = sorted({(int(u), int(i)) for u, i in zip(rng.integers(0, 40, 600),
+                                                    rng.integers(0, 50, 600))})
+    train = spark.createDataFrame([(u, i, float(1 + (u + i) % 5)) for u, i in rows],
+                                  "user_id long, item_id long, rating double")
+    x = neighbours.knn_entries(train, 1)
+    want = sorted(map(tuple, neighbours.short_pairs(x).collect()))
+    monkeypatch.setattr(neighbours, "PAIR_ROWS", 100)
+    pairs = neighbours.short_pairs(x)
+    tasks = -(-sum(h * (h - 1) // 2 for h in np.bincount([u for u, _ in rows])) // 100)
+    assert "hashpartitioning(i" in pairs._jdf.queryExecution().executedPlan().toString()
+    assert f", {tasks})" in pairs._jdf.queryExecution().executedPlan().toString()
+    got = sorted(map(tuple, pairs.collect()))
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert np.allclose([r[2:] for r in got], [r[2:] for r in want])
