@@ -157,6 +157,8 @@ def pca_features(spark, root):
     t = Tables(spark, root)
     e = derive(interactions(t)).join(users(t), "user_id", "left").join(items(t), "item_id",
                                                                        "left")
+    # Read three times, by the two fits and the projection; joined once.
+    e = written(e.select("user_id", "item_id", *feature_columns()), "pca-rows")
     _, out = MD.pca_fit_transform(e, feature_columns())
     from pyspark.ml.functions import vector_to_array
     arr = vector_to_array("pca_features")
@@ -168,6 +170,7 @@ def pca_variance(spark, root):
     t = Tables(spark, root)
     e = derive(interactions(t)).join(users(t), "user_id", "left").join(items(t), "item_id",
                                                                        "left")
+    e = written(e.select(*feature_columns()), "pca-rows")
     model, _ = MD.pca_fit_transform(e, feature_columns())
     return MD.explained_variance(spark, model)
 
