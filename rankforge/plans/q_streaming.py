@@ -16,7 +16,7 @@ from rankforge.operators import monitoring as MO
 from rankforge.operators import profiles
 from rankforge.plans import sql_prelude as P
 from rankforge.plans.registry import register
-from rankforge.session import scratch_path
+from rankforge.session import scratch_path, written
 from rankforge.sources.tables import Tables, interactions, items, users
 from rankforge.streaming import jobs as J
 
@@ -26,7 +26,8 @@ N_SLICES = 4
 
 def _interaction_source(spark, root, with_bad: bool = False):
     t = Tables(spark, root)
-    msgs = J.interaction_messages(interactions(t))
+    # The join of lineitem and orders runs once, not for the time bounds and each slice.
+    msgs = J.interaction_messages(written(interactions(t), "stream-rows"))
     if with_bad:
         # Undecodable messages derived from error events (truncated JSON).
         bad = t.events.filter(F.col("event_type") == "error").select(
@@ -42,8 +43,9 @@ def _interaction_source(spark, root, with_bad: bool = False):
 def _event_source(spark, root, copies: int = 1):
     t = Tables(spark, root)
     base = scratch_path(spark, "stream")
-    # Several files per slice, as a cluster would write them.
-    msgs = J.event_messages(t.events, copies).repartition(4)
+    # Several files per slice, as a cluster would write them: one a core.
+    files = max(4, spark.sparkContext.defaultParallelism)
+    msgs = J.event_messages(t.events, copies).repartition(files)
     return base, lambda job: J.replay(msgs, base + "/source", N_SLICES, job)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rankforge.functions import stats
 from rankforge.operators import moments, monitoring, profiles
 from rankforge.sources.tables import Tables, bucketed_tables, interactions
+from rankforge.streaming import jobs
 
 
 # --- quantile sketches ---------------------------------------------------------------
@@ -130,3 +131,21 @@ def test_bucketed_tables_join_without_exchange(spark, sf_small, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
         for name in ("t_test_lineitem", "t_test_orders"):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_sets_take_no_more_than_their_members(spark):
+    """Spread members: a bitmap row is a number, not a buffer of 4 KB."""
+    df = spark.createDataFrame([(1, 64 * k + k % 64) for k in range(-20, 500)] + [(1, 0), (1, None)],
+                               "item_id long, user_id long")
+    sets = profiles.distinct_bitmaps(df, "item_id", "user_id")
+    assert sets.schema["members"].dataType.simpleString() == "bigint"
+    assert profiles.distinct_counts(sets.unionByName(sets), "item_id", "n").first()["n"] == 520
+
+
+def test_messages_are_compressed_and_read_back(spark, tmp_path):
+    m = spark.createDataFrame([("t", str(k), '{"user_id": 1}', float(k)) for k in range(50)],
+                              "topic string, key string, value string, _t double")
+    path = jobs.write_messages(m, str(tmp_path / "source"), 2)
+    assert list((tmp_path / "source").glob("*.json.gz"))
+    assert not list((tmp_path / "source").glob("*.json"))
+    assert spark.read.schema(jobs.MESSAGE_SCHEMA).json(path).count() == 50
