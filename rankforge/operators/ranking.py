@@ -255,8 +255,11 @@ def blend_scan(users: DataFrame, seen: DataFrame, first: DataFrame, second: Data
     own, weights, offset = u.select("user_id"), [], F.lit(0.0)
     for k, p in enumerate(pools):
         r = score_range(u, p.select("item_id", F.array("score").alias("f")), u, seen)
-        own = own.join(r.select("user_id", F.col("lo").alias(f"lo{k}"),
-                                (F.col("hi") - F.col("lo")).alias(f"gap{k}")), "user_id")
+        # Rows without an item are in no list, but nobody has seen them: they count for the range.
+        ends = p.filter(F.col("item_id").isNull()).agg(
+            F.struct(F.min("score").alias("lo"), F.max("score").alias("hi"))).scalar()
+        lo, hi = F.least(F.col("lo"), ends["lo"]), F.greatest(F.col("hi"), ends["hi"])
+        own = own.join(r.select("user_id", lo.alias(f"lo{k}"), (hi - lo).alias(f"gap{k}")), "user_id")
         some = F.col(f"gap{k}") > 0
         weights.append(F.when(some, F.lit(0.5) / F.col(f"gap{k}")).otherwise(F.lit(0.0)))
         offset = offset + F.when(some, -F.col(f"lo{k}") * weights[k]).otherwise(F.lit(0.5))

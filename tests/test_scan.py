@@ -69,3 +69,11 @@ def test_blend_scan_equals_threshold_blend(spark):
                  for x in (ranking.blend_scan(users, seen, a, b, 5), ranking.threshold_blend(
                      users, seen, ranking.item_ranking(a), ranking.item_ranking(b), 5)))
     assert got == want
+
+
+def test_a_row_without_an_item_counts_for_the_range(spark):
+    a = spark.createDataFrame([(1, 2.0), (2, 4.0), (None, 10.0)], "item_id long, score double")
+    users = spark.createDataFrame([(1,)], "user_id long")
+    seen = spark.createDataFrame([], "user_id long, item_id long")
+    got = ranking.blend_scan(users, seen, a, a, 5).collect()
+    assert sorted((r["rank"], r.item_id, r.score) for r in got) == [(1, 2, 0.25), (2, 1, 0.0)]
