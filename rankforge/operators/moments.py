@@ -10,29 +10,100 @@ left out, as the feature assembler does.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankforge.functions.columns import dbl
 
+#: Values of the keys that a task holds before it hands on what it has.
+HELD = 4096
+
 
 def _pairs(k: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(k) for j in range(i, k)]
 
 
+def _folded(a: tuple | None, b: tuple) -> tuple:
+    """(n, means, co-moments) of two sets of rows together."""
+    if a is None:
+        return b
+    n, d = a[0] + b[0], b[1] - a[1]
+    return n, a[1] + d * (b[0] / n), a[2] + b[2] + np.outer(d, d) * (a[0] * b[0] / n)
+
+
+def _by_key(batch: pa.RecordBatch, k: int, x: np.ndarray) -> Iterator[tuple[tuple, np.ndarray]]:
+    """The rows of each value of the first ``k`` columns."""
+    if not k:
+        yield (), x
+        return
+    code = np.zeros(len(x), np.int64)
+    for i in range(k):
+        coded = batch.column(i).dictionary_encode(null_encoding="encode")
+        code = code * len(coded.dictionary) + coded.indices.to_numpy()
+        code = np.unique(code, return_inverse=True)[1]          # stays below the number of rows
+    order = np.argsort(code, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(code[order])) + 1):
+        yield tuple(batch.column(i)[int(rows[0])].as_py() for i in range(k)), x[rows]
+
+
 def partial_moments(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, n, mean, comoment): one row for each value of ``keys``, combined
-    before the shuffle."""
+    """(keys, n, mean, comoment): one row for each value of ``keys``.
+
+    Each task folds its batches, one matrix product each, and sends one row for
+    each value of the keys that it has met.
+    """
+    k, m = len(cols), len(keys)
     x = df.select(*keys, *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
-    x = x.dropna(subset=[f"x{i}" for i in range(len(cols))])
-    k = len(cols)
-    aggs = [F.count(F.lit(1)).alias("n"), F.array(*[F.avg(f"x{i}") for i in range(k)]).alias("mean")]
-    aggs.append(F.array(*[F.covar_pop(f"x{i}", f"x{j}") * F.count(F.lit(1))
-                          for i, j in _pairs(k)]).alias("comoment"))
-    return x.groupBy(*keys).agg(*aggs).filter(F.col("n") > 0)
+    x = x.dropna(subset=[f"x{i}" for i in range(k)])
+    upper = np.triu_indices(k)                                  # the order of _pairs
+
+    def out(held: dict[tuple, tuple], types: list[pa.DataType]) -> pa.RecordBatch:
+        found = list(held.values())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([key[i] for key in held], t) for i, t in enumerate(types)]
+            + [pa.array([n for n, _, _ in found], pa.int64()),
+               pa.array([v.tolist() for _, v, _ in found], pa.list_(pa.float64())),
+               pa.array([c[upper].tolist() for _, _, c in found], pa.list_(pa.float64()))],
+            names=[*(f"k{i}" for i in range(m)), "n", "mean", "comoment"])
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, tuple] = {}
+        types: list[pa.DataType] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            types = [batch.column(i).type for i in range(m)]
+            values = np.column_stack([batch.column(m + i).to_numpy() for i in range(k)])
+            for key, rows in _by_key(batch, m, values):
+                mean = rows.mean(0)
+                d = rows - mean
+                held[key] = _folded(held.get(key), (len(rows), mean, d.T @ d))
+            if len(held) > HELD:
+                yield out(held, types)
+                held.clear()
+        if held:
+            yield out(held, types)
+
+    def fold(table: pa.Table) -> pa.Table:
+        total = None
+        for r in table.select(["n", "mean", "comoment"]).to_pylist():
+            c = np.zeros((k, k))
+            c[upper] = r["comoment"]
+            total = _folded(total, (r["n"], np.array(r["mean"]), c))
+        key = tuple(table.column(i)[0].as_py() for i in range(m))
+        return pa.Table.from_batches([out({key: total}, [table.column(i).type for i in range(m)])])
+    fields = "".join(f"`k{i}` {df.select(key).schema[0].dataType.simpleString()}, "
+                     for i, key in enumerate(keys))
+    schema = fields + "n long, mean array<double>, comoment array<double>"
+    rows = x.mapInArrow(partial, schema)
+    whole = rows.groupBy(*[f"k{i}" for i in range(m)]).applyInArrow(fold, schema)
+    names = [df.select(key).columns[0] for key in keys]
+    return whole.select(*[F.col(f"k{i}").alias(n) for i, n in enumerate(names)],
+                        "n", "mean", "comoment")
 
 
 def merge_moments(partials: DataFrame, k: int, keys: Sequence[str] = ()) -> DataFrame:

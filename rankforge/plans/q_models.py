@@ -276,9 +276,9 @@ MOMENT_COLS = ("user_acctbal", "item_price", "item_size", "rating", "day_of_week
 _PAIRS = [(a, b) for i, a in enumerate(MOMENT_COLS) for b in MOMENT_COLS[i:]]
 
 
-def _enriched(t):
-    return derive(interactions(t)).join(users(t), "user_id", "left").join(items(t), "item_id",
-                                                                          "left")
+def _enriched(t, inter=None):
+    return derive(interactions(t) if inter is None else inter).join(
+        users(t), "user_id", "left").join(items(t), "item_id", "left")
 
 
 @register("moments_fold", ops="G3,X3,L5", doubles=("cov", "mean_a"), sql=P.INTERACTIONS_ONLY + """,
@@ -306,11 +306,12 @@ WIDE = ("user_acctbal", "user_nation", "item_price", "item_size", "rating", "day
 
 
 def wide_features(t):
-    """The 15 columns of the feature pipeline for every interaction."""
-    inter = interactions(t)
-    e = features.session_features(_enriched(t))
-    recent = features.recency(interactions(t, with_keys=True), tie_cols=["l_orderkey", "l_linenumber",
-                                                                        "l_suppkey"])
+    """The 15 columns of the feature pipeline for every interaction, which are
+    joined once and read by each step from what was written."""
+    keyed = written(interactions(t, with_keys=True), "interactions")
+    inter = keyed.drop("l_orderkey", "l_linenumber", "l_suppkey")
+    e = features.session_features(_enriched(t, inter))
+    recent = features.recency(keyed, tie_cols=["l_orderkey", "l_linenumber", "l_suppkey"])
     last = recent.groupBy("user_id", "item_id", "timestamp").agg(
         F.min("time_since_last_interaction").alias("time_since_last_interaction"))
     popular = profiles.item_popularity(inter).select("item_id", "popularity")

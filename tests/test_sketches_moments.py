@@ -149,3 +149,31 @@ def test_messages_are_compressed_and_read_back(spark, tmp_path):
     assert list((tmp_path / "source").glob("*.json.gz"))
     assert not list((tmp_path / "source").glob("*.json"))
     assert spark.read.schema(jobs.MESSAGE_SCHEMA).json(path).count() == 50
+
+
+def test_partial_moments_fold_rows_in_the_tasks(spark):
+    """Many columns are no aggregate of all their pairs; null keys, rows with a
+    null, and more keys than a task holds come out right."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(1e6, 1, (9000, 3)).round(3)
+    rows = [(i % 8000 if i % 9 else None, f"k{i % 2}", *map(float, r)) for i, r in enumerate(x)]
+    rows += [(1, "k1", None, 1.0, 2.0), (None, None, 3.0, 4.0, 5.0)]
+    df = spark.createDataFrame(rows, "a int, b string, x double, y double, z double").repartition(1)
+    cols = ["x", "y", "z"]
+    found = moments.partial_moments(df, cols, ["a", "b"])
+    assert found.columns == ["a", "b", "n", "mean", "comoment"]
+    want = {}
+    for a, b, *v in rows:
+        if None not in v:
+            want.setdefault((a, b), []).append(v)
+    got = {(r.a, r.b): r for r in found.collect()}
+    assert got.keys() == want.keys() and found.count() == len(want) > 4096
+    for key, v in want.items():
+        d = np.array(v) - np.mean(v, axis=0)
+        assert got[key].n == len(v) and np.allclose(got[key]["mean"], np.mean(v, axis=0), rtol=1e-12)
+        assert np.allclose(got[key]["comoment"], (d.T @ d)[np.triu_indices(3)], atol=1e-6)
+    wide = spark.range(10).select(*[(F.col("id") * i).alias(f"c{i}") for i in range(15)])
+    whole = moments.partial_moments(wide, wide.columns)
+    assert "covar" not in whole._jdf.queryExecution().optimizedPlan().toString()
+    assert whole.first().n == 10
+    assert moments.partial_moments(wide.filter("id > 99"), wide.columns).collect() == []
