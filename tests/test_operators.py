@@ -272,3 +272,33 @@ def test_item_ranking_is_dense_and_ordered(spark):
     assert [(r["score"], r["item_id"]) for r in rows] == sorted(
         ((i % 7, i) for i in range(1000)), key=lambda x: (-x[0], x[1]))
     assert ranking.item_ranking(scores.limit(0)).count() == 0
+
+
+def test_sparse_product_moves_no_row_for_each_entry(spark):
+    """Equal to the plain join and sum, null keys and odd values included; the
+    factors reach each block of sums once."""
+    rng = np.random.default_rng(2)
+    cells = {(int(u), int(i)): float(v) for u, i, v in zip(
+        rng.integers(0, 300, 5000), rng.integers(-40, 60, 5000) * 10**15, rng.normal(size=5000))}
+    rows = [(u, i, v) for (u, i), v in cells.items()]
+    rows += [(None, 0, 2.5), (None, 10**15, 1.0), (5, None, 9.0), (10**18 + 1, 0, 4.0), (7, 0, 3.0)]
+    a = spark.createDataFrame(rows, "user_id long, item_id long, v double").repartition(5)
+    f = {i: rng.normal(size=4).tolist() for i in {r[1] for r in rows} - {None}}
+    m = spark.createDataFrame(list(f.items()), "item_id long, f array<double>").repartition(3)
+    want = {}
+    for u, i, v in rows:
+        if i is not None:
+            want[u] = want.get(u, 0) + v * np.array(f[i])
+    for blocks in (1, 3):
+        dealt = models._dealt(a, "user_id", "item_id", blocks)
+        out = models.sparse_product(dealt, m, "user_id", "item_id", blocks, 4)
+        got = {r.user_id: r.f for r in out.collect()}
+        assert got.keys() == want.keys() and out.count() == len(want)
+        for u, x in want.items():
+            assert np.allclose(got[u], x, atol=1e-12)
+    assert models._factor_rows(m, "item_id", 3, 4).agg(
+        F.sum(F.length("b"))).first()[0] == 3 * len(f) * 4 * 8
+    for x in (np.array([1, 2**53 + 1]), np.array([0.1, 3]), np.array([5.0, np.nan]),
+              np.array([], float), np.array([2**40 + 0.5]), np.array([-1, 127])):
+        back = models._unpack(models._pack(x))
+        assert back.astype(x.dtype).tobytes() == x.tobytes()
