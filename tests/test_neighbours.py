@@ -95,3 +95,31 @@ def test_many_pairs_are_dealt_to_more_tasks(spark, monkeypatch):
     got = sorted(map(tuple, pairs.collect()))
     assert [r[:2] for r in got] == [r[:2] for r in want]
     assert np.allclose([r[2:] for r in got], [r[2:] for r in want])
+
+
+@pytest.mark.parametrize("long_history", [20, 1024])
+@pytest.mark.parametrize("products", [50, 1 << 21])
+def test_blocks_of_items_give_the_best_pairs(make, monkeypatch, long_history, products):
+    """Entries of two blocks multiplied in a task, in parts or whole, with nulls and zeros."""
+    monkeypatch.setattr(neighbours, "PRODUCTS", products)
+    monkeypatch.setattr(neighbours, "FEW_ENTRIES", 500)
+    rows = hot_rows(4)
+    rows += [(None, i, 2.0) for i in range(0, 40, 3)] + [(7, None, 1.0), (401, 3, 0.0), (401, 5, 0.0)]
+    train = make(rows)
+    plain, blocks = (sorted(tuple(r) for r in neighbours.item_knn(
+        train, min_interactions=2, top=5, long_history=long_history, few_pairs=few).collect())
+        for few in (1 << 40, 0))
+    assert len(blocks) > 500 and blocks == [pytest.approx(x) for x in plain]
+
+
+def test_no_row_for_each_pair_is_moved(make):
+    """Many pairs move packed entries alone: no shuffle of the plan is by pair before the
+    products, and what leaves the tasks is bounded by ``top``, not by the pairs."""
+    rng = np.random.default_rng(6)
+    rows = [(u, int(i), float(rng.integers(1, 6))) for u in range(300)
+            for i in rng.choice(400, 60, replace=False)]
+    x = neighbours.knn_entries(make(rows), 1)
+    short, entries = neighbours.split_histories(x, 1024)
+    got = neighbours.block_pairs(x, short, entries, 3, 0.1, blocks=2)
+    assert "hashpartitioning(i#" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() < 400 * 3 * 4 < neighbours.pair_rows(short) / 50
