@@ -77,3 +77,27 @@ def test_a_row_without_an_item_counts_for_the_range(spark):
     seen = spark.createDataFrame([], "user_id long, item_id long")
     got = ranking.blend_scan(users, seen, a, a, 5).collect()
     assert sorted((r["rank"], r.item_id, r.score) for r in got) == [(1, 2, 0.25), (2, 1, 0.0)]
+
+
+def test_seen_pairs_never_meet_the_items(spark, monkeypatch):
+    """Pairs go to the block of their user, once and packed: no join with the items' tiles;
+    blocks grow in number with the pairs."""
+    u, v, pairs, seen = case(spark)
+    uf, vf = table(spark, u, "user_id"), table(spark, v, "item_id")
+    want = scan.best_items(uf, vf, uf.select("user_id"), seen, 7)
+    plan = want._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "hashpartitioning" not in plan
+    monkeypatch.setattr(scan, "PAIRS", 100)
+    monkeypatch.setattr(scan, "PIECE", 64)
+    got = scan.best_items(uf, vf, uf.select("user_id"), seen, 7)
+    assert str(-(-seen.dropna().count() // 100)) in str(got._jdf.queryExecution().optimizedPlan())
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_a_few_users_of_many_with_seen_pairs(spark):
+    u, v, pairs, seen = case(spark)
+    uf, vf = table(spark, u, "user_id"), table(spark, v, "item_id")
+    some = spark.createDataFrame([(5,), (9,), (9,), (None,), (999,)], "user_id long")
+    every = scan.best_items(uf, vf, uf.select("user_id"), seen, 7).collect()
+    got = scan.best_items(uf, vf, some, seen, 7).collect()
+    assert sorted(got) == sorted(r for r in every if r.user_id in (5, 9)) and len(got) == 14
