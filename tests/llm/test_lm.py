@@ -273,3 +273,12 @@ def test_ids_as_bytes_give_back_streams_and_words():
     assert list(np.diff(at)) == [len(words_of(t)) + 1 for t in texts]
     flat = [w for t in texts for w in [*words_of(t), None]]
     assert len(distinct) == len(set(flat)) == len(set(zip(kept, flat)))
+
+
+def test_every_corpus_is_passed_twice_at_least():
+    """Whatever its size, each eighth of the training documents is learned from twice."""
+    for targets in (1, 10 ** 6, lm.TARGETS - 1, lm.TARGETS, 10 ** 9, 10 ** 12):
+        rounds, *_ = lm.rounds_of(targets, lm.PASSES)
+        for eighth in range(lm.ROUNDS[-1]):
+            assert sum(first <= eighth < end for first, end in rounds) >= 2, targets
+    assert len(lm.rounds_of(1, lm.PASSES)[0]) == lm.PASSES[1]
