@@ -85,15 +85,17 @@ def enrich(df: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     return df.join(users, "user_id", "left").join(items, "item_id", "left")
 
 
-def session_features(df: DataFrame, session_col: str = "session_id") -> DataFrame:
-    """Session duration (max - min time) and interactions per session.
+def session_features(df: DataFrame, session_col: str = "session_id",
+                     copies_col: str | None = None) -> DataFrame:
+    """Session duration (max - min time) and interactions per session, a row of
+    ``copies_col`` as so many.
 
     Aggregate per session (map-side combined), then join back, instead of a
     window over a possibly huge session.
     """
     s = df.groupBy(session_col).agg(
         (F.max("timestamp") - F.min("timestamp")).alias("session_duration"),
-        F.count(F.lit(1)).alias("interactions_in_session"))
+        (F.sum(copies_col) if copies_col else F.count(F.lit(1))).alias("interactions_in_session"))
     return df.join(s, session_col, "left")
 
 
@@ -173,13 +175,23 @@ def with_value_bucket(df: DataFrame, key_cols: Sequence[str], value_col: str, bu
 
 
 def recency(df: DataFrame, user_col: str = "user_id", tie_cols: Sequence[str] = (),
-            bucket_seconds: float = 86400.0 * 30) -> DataFrame:
+            bucket_seconds: float = 86400.0 * 30, least_by: Sequence[str] = ()) -> DataFrame:
     """Seconds since the user's previous interaction (NULL for the first),
-    by ``lag_in_buckets`` over time buckets (skew-aware)."""
+    by ``lag_in_buckets`` over time buckets (skew-aware).
+
+    With ``least_by``, the least of all rows of the user that are equal in these
+    columns and in time (NULL where one of these is): they share a bucket, so
+    they are where they have to be already."""
     b = df.withColumn("_tb", F.floor(F.col("timestamp") / dbl(bucket_seconds)))
     r = lag_in_buckets(b, [user_col], ["timestamp", *tie_cols], "timestamp", "_tb", "_prev")
-    return (r.withColumn("time_since_last_interaction", F.col("timestamp") - F.col("_prev"))
-            .drop("_prev", "_tb"))
+    since = F.col("timestamp") - F.col("_prev")
+    if least_by:
+        same = [user_col, *least_by, "timestamp"]
+        known = F.lit(True)
+        for c in same:
+            known = known & F.col(c).isNotNull()
+        since = F.when(known, F.min(since).over(Window.partitionBy("_tb", *same)))
+    return r.withColumn("time_since_last_interaction", since).drop("_prev", "_tb")
 
 
 def profile_asof(df: DataFrame, user_col: str = "user_id",

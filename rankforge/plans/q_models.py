@@ -306,20 +306,34 @@ WIDE = ("user_acctbal", "user_nation", "item_price", "item_size", "rating", "day
 
 
 def wide_features(t):
-    """The 15 columns of the feature pipeline for every interaction, which are
-    joined once and read by each step from what was written."""
-    keyed = written(interactions(t, with_keys=True), "interactions")
-    inter = keyed.drop("l_orderkey", "l_linenumber", "l_suppkey")
-    e = features.session_features(_enriched(t, inter))
-    recent = features.recency(keyed, tie_cols=["l_orderkey", "l_linenumber", "l_suppkey"])
-    last = recent.groupBy("user_id", "item_id", "timestamp").agg(
-        F.min("time_since_last_interaction").alias("time_since_last_interaction"))
+    """The 15 columns of the feature pipeline for every interaction.
+
+    Few columns are moved, and seldom: sessions are orders, which the join has together
+    already; the time since the last interaction is added to the rows where it is found;
+    then all that hangs on the user is joined, and all that hangs on the item.
+    """
+    keys = ["l_orderkey", "l_linenumber", "l_suppkey"]
+    def repeated(dim, key):
+        """Keys that the dimension has more than once; its joins repeat their rows."""
+        return written(dim.groupBy(key).agg(F.count(F.lit(1)).alias(f"n_{key}")).filter(
+            F.col(f"n_{key}") > 1), "repeated")
+    rows = interactions(t, with_keys=True).drop("session_id")
+    for dim, key in ((users(t), "user_id"), (items(t), "item_id")):
+        rows = rows.join(repeated(dim, key), key, "left")
+    one = F.lit(1).cast("long")
+    rows = rows.withColumn("copies", F.coalesce("n_user_id", one) * F.coalesce("n_item_id", one))
+    keyed = written(features.session_features(
+        rows.drop("n_user_id", "n_item_id"), "l_orderkey", "copies").drop("copies"), "interactions")
+    inter = keyed.drop(*keys)
+    recent = features.recency(keyed, tie_cols=keys, least_by=["item_id"])
+    e = written(recent.select("user_id", "item_id", "rating", "timestamp", "session_duration",
+                              "interactions_in_session", "time_since_last_interaction"), "recent")
+    e = derive(e).join(users(t), "user_id", "left")
+    e = e.join(profiles.type_counts(inter, ["purchase"]), "user_id", "left")
     popular = profiles.item_popularity(inter).select("item_id", "popularity")
     e = features.profile_lookup(e, profiles.user_profiles(inter).drop("interacted_items"),
                                 profiles.item_features(inter).join(popular, "item_id"))
-    e = e.join(profiles.type_counts(inter, ["purchase"]), "user_id", "left")
-    return e.join(last, ["user_id", "item_id", "timestamp"], "left").na.fill(
-        0.0, ["time_since_last_interaction"])
+    return e.join(items(t), "item_id", "left").na.fill(0.0, ["time_since_last_interaction"])
 
 
 @register("pca_wide", ops="L1,L2,L3,L4")
